@@ -118,7 +118,7 @@ def numeric_bins(df: DataFrame, columns: Sequence[str], reference: str, exact: b
 
 
 def _shares(counts: str) -> str:
-    return f"transform({counts}, c -> c / aggregate({counts}, 0L, (s, x) -> s + x))"
+    return f"transform({counts}, k -> k / aggregate({counts}, 0L, (s, x) -> s + x))"
 
 
 def numeric_psi(df: DataFrame, columns: Sequence[str], reference: str, exact: bool = True) -> DataFrame:
@@ -156,7 +156,7 @@ def smoothed_psi(df: DataFrame, columns: Sequence[str], reference: str, exact: b
         .groupBy("feature", "bins")
         .agg(bin_counts(10, "e", reference), bin_counts(10, "a", f"not {reference}"))
     )
-    share = "transform(slice({0}, 1, bins), c -> (c + 1D) / (aggregate(slice({0}, 1, bins), 0L, (s, x) -> s + x) + bins))"
+    share = "transform(slice({0}, 1, bins), k -> (k + 1D) / (aggregate(slice({0}, 1, bins), 0L, (s, x) -> s + x) + bins))"
     psi = counts.selectExpr("feature", f"{share.format('e')} as e", f"{share.format('a')} as a").selectExpr(
         "feature", PSI_SUM.format(e="e", a="a") + " as psi")
     names = F.array(*(F.lit(c) for c in columns))
