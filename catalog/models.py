@@ -1 +1,168 @@
+"""Model fitting and what is built on it. Fits have no SQL; their resampling and weights do.
 
+The learners are those of the library with fewer trees, so that a check takes
+seconds; rows are never left out.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from catalog.base import APPLICATIONS, CUT, DATA_START, LOWER, R, UPPER, applications, query, tidy, with_
+from scorewarden.functions import level_code
+from scorewarden.operators import learners, metrics, monitoring
+from scorewarden.operators.splits import rolling_windows
+from scorewarden.plans import challengers, training, watch
+from scorewarden.storage import settled
+
+_FEATURES = ["amount", "balance", "band_code", "month_of_year"]
+_CANDIDATES = {
+    "logistic_regression": ("logistic_regression", {"C": 0.5, "max_iter": 20}),
+    "random_forest": ("random_forest", {"trees": 5, "depth": 4, "min_leaf": 20}),
+    "boosted_trees": ("boosted_trees", {"trees": 4, "depth": 3, "rate": 0.1, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
+}
+_FOREST = _CANDIDATES["random_forest"]
+_CUT = dt.date(2000, 1, 1)
+
+
+def _table(spark, folder):
+    """Scaled order features; a third of the rows has no label."""
+    df = applications(spark, folder)
+    return df.select(
+        "case_id", "day", "label", "dev", (F.col("amount") / 500000).alias("amount"), (F.col("balance") / 10000).alias("balance"),
+        (level_code(F.col("band"), {"1-URGENT": 5, "2-HIGH": 4, "3-MEDIUM": 3, "4-NOT SPECIFIED": 2, "5-LOW": 1}) / 5).alias("band_code"),
+        (F.month("day") / 12).alias("month_of_year"))
+
+
+def _setup(names, **more):
+    return training.Setup(day="day", label="label", keys=["case_id"], features=_FEATURES, tie="case_id", folds=3,
+                          candidates={n: _CANDIDATES[n] for n in names}, **more)
+
+
+def _windows(spark):
+    return rolling_windows(spark, DATA_START, CUT, 24, 12, 24)
+
+
+def _parts(spark, folder):
+    df = settled(_table(spark, folder))
+    return df.where("dev").drop("dev"), df.where("not dev").drop("dev")
+
+
+@query("undersample", with_(APPLICATIONS, "small AS (SELECT * FROM applications WHERE label = 1 OR (label = 0 AND nation <> 'NATION_1' AND segment = 'BUILDING'))",
+       "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM small)",
+       select="SELECT 1 AS label, LEAST(p, 2 * q) AS n FROM n UNION ALL SELECT 0, q FROM n"))
+def undersample(spark, folder):
+    few = applications(spark, folder).where("label = 1 or (label = 0 and nation != 'NATION_1' and segment = 'BUILDING')")
+    return learners.undersampled(few, "label", ["case_id"]).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("oversample", with_(APPLICATIONS, "few AS (SELECT label FROM applications WHERE label = 1 OR (label = 0 AND segment = 'BUILDING'))",
+       "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM few)",
+       select="SELECT 1 AS label, FALSE AS is_synthetic, p AS n FROM n UNION ALL SELECT 0, FALSE, q FROM n UNION ALL SELECT 0, TRUE, p - q FROM n"))
+def oversample(spark, folder):
+    few = applications(spark, folder).where("label = 1 or (label = 0 and segment = 'BUILDING')").withColumn("scaled", F.col("amount") / 500000)
+    made = learners.oversampled(few, "label", ["case_id"], ["scaled", "balance"])
+    return made.groupBy("label", "is_synthetic").agg(F.count("*").alias("n"))
+
+
+@query("class_weights", with_(APPLICATIONS, "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM applications)", select=f"""
+  SELECT 'class_weight' AS strategy, 1 AS label, {R('(p + q) / (2e0 * p)')} AS weight FROM n UNION ALL SELECT 'class_weight', 0, {R('(p + q) / (2e0 * q)')} FROM n
+  UNION ALL SELECT 'scale_weight', 1, {R('q / CAST(p AS DOUBLE)')} FROM n UNION ALL SELECT 'scale_weight', 0, 1e0 UNION ALL SELECT 'none', 1, 1e0 UNION ALL SELECT 'none', 0, 1e0"""))
+def class_weights(spark, folder):
+    rows = applications(spark, folder).where("label is not null")
+    parts = [learners.weighted(rows, "label", s).groupBy(F.lit(s).alias("strategy"), "label").agg(F.max("weight").alias("weight"))
+             for s in ("class_weight", "scale_weight", "none")]
+    return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("train_rolling")
+def train_rolling(spark, folder):
+    development, _ = _parts(spark, folder)
+    return training.evaluate_candidates(development, _windows(spark), _setup(_CANDIDATES, cv_splits=1))
+
+
+@query("calibrated_scores")
+def calibrated_scores(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = training.retrain(development, _setup(["random_forest"]), "random_forest", "isotonic")
+    return model.score(oot).select("case_id", "pred_prob")
+
+
+@query("sigmoid_scores")
+def sigmoid_scores(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = training.retrain(development, _setup(["logistic_regression"]), "logistic_regression", "sigmoid")
+    return model.score(oot).select("case_id", "pred_prob")
+
+
+@query("batch_scores")
+def batch_scores(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = training.retrain(development, _setup(["logistic_regression"]), "logistic_regression", "none")
+    batch = watch.score_batch(oot, model, ["case_id"], "v1", LOWER, UPPER)
+    return monitoring.batch_summary(batch, "pred_prob", "pred_zone")
+
+
+@query("tree_importance")
+def tree_importance(spark, folder):
+    development, _ = _parts(spark, folder)
+    model = learners.fit(development, _FEATURES, "label", *_FOREST, keys=["case_id"])
+    return learners.tree_importance(model, _FEATURES, development)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = learners.fit(development, _FEATURES, "label", *_FOREST, keys=["case_id"])
+    return learners.permutation_importance(oot, lambda df: learners.scored(df, model, _FEATURES), _FEATURES, "label", ["case_id"])
+
+
+@query("training_run")
+def training_run(spark, folder):
+    development, oot = _parts(spark, folder)
+    results = training.run_training(development, oot, _windows(spark), _setup(["logistic_regression"], cv_splits=1), method="sigmoid")
+    return results["stage_metrics"]
+
+
+@query("conservative_tuning")
+def conservative_tuning(spark, folder):
+    development, oot = _parts(spark, folder)
+    setup = _setup(["random_forest"])
+    policy = training.split_policy_holdout(oot, setup).where("split = 'policy'").drop("split")
+    return training.tune(development, policy, _windows(spark), setup, [("forest", *_FOREST)], ["isotonic", "none"])
+
+
+def _baseline(holdout):
+    zoned = holdout.where("label is not null").select(
+        F.col("label").alias("actual_label"), F.col("amount").alias("pred_prob")).withColumn(
+        "pred_zone", F.when(F.col("pred_prob") < LOWER, 0).when(F.col("pred_prob") >= UPPER, 2).otherwise(1))
+    return settled(challengers.holdout_figures(zoned, "baseline"))
+
+
+@query("pruned_challenger")
+def pruned_challenger(spark, folder):
+    development, oot = _parts(spark, folder)
+    setup = _setup(["logistic_regression"], cv_splits=1)
+    holdout = training.split_policy_holdout(oot.where("label is not null"), setup).where("split = 'holdout'")
+    results = challengers.pruned_challenger(development, oot, _windows(spark), setup, ["month_of_year"], _baseline(holdout), method="none")
+    return results["comparison"]
+
+
+@query("decision_tuning_challenger")
+def decision_tuning_challenger(spark, folder):
+    development, oot = _parts(spark, folder)
+    setup = _setup(["random_forest"])
+    parts = settled(training.split_policy_holdout(oot.where("label is not null"), setup))
+    policy, holdout = (parts.where(F.col("split") == p).drop("split") for p in ("policy", "holdout"))
+    results = challengers.decision_tuning_challenger(
+        development, policy, holdout, _windows(spark), setup, _baseline(holdout), [("forest", *_FOREST)], ["isotonic"])
+    return results["decision"].select("challenger", "final_selection_score", "selection_rank", "upgrade_candidate", "upgrade_reason")
+
+
+@query("rescored_metrics")
+def rescored_metrics(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = learners.fit(development, _FEATURES, "label", *_CANDIDATES["boosted_trees"], keys=["case_id"])
+    return metrics.classification_metrics(learners.scored(oot, model, _FEATURES), "label", "pred_prob")

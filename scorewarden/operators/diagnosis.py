@@ -23,7 +23,9 @@ def _feature_rows(stats: DataFrame, features: Sequence[str], fields: dict[str, s
     return stats.select(*keys, F.inline(rows))
 
 
-def reject_correlation(df: DataFrame, label: str, features: Sequence[str], exact: bool = True) -> DataFrame:
+def reject_correlation(
+    df: DataFrame, label: str, features: Sequence[str], exact: bool = True, places: int = 4
+) -> DataFrame:
     """Correlation of each feature (null as 0) with rejection, and reject rates at and beyond its quartiles."""
     kept = df.where(F.col(label).isNotNull()).select(
         (1 - F.col(label)).cast("double").alias("_reject"),
@@ -38,9 +40,10 @@ def reject_correlation(df: DataFrame, label: str, features: Sequence[str], exact
     correlation = F.coalesce(F.nanvl("c", F.lit(0.0)), F.lit(0.0))
     low, high = (F.when(F.col("spread"), F.col(c)).otherwise(F.col("all")) for c in ("low", "high"))
     return stats.select(
-        "feature", F.round(correlation, 4).alias("corr_with_reject"), F.round(F.abs(correlation), 4).alias("abs_corr_with_reject"),
-        F.round(low, 4).alias("reject_rate_q25"), F.round(high, 4).alias("reject_rate_q75"),
-        F.round(high - low, 4).alias("reject_lift_q75_vs_q25"))
+        "feature",
+        F.round(correlation, places).alias("corr_with_reject"), F.round(F.abs(correlation), places).alias("abs_corr_with_reject"),
+        F.round(low, places).alias("reject_rate_q25"), F.round(high, places).alias("reject_rate_q75"),
+        F.round(high - low, places).alias("reject_lift_q75_vs_q25"))
 
 
 def window_means(df: DataFrame, windows: DataFrame, day: str, features: Sequence[str]) -> DataFrame:
@@ -117,7 +120,7 @@ def _bins(df: DataFrame, numbers: Sequence[str], exact: bool, bins: int = 5) ->
 
 def segment_errors(
     df: DataFrame, *, levels: Sequence[str], numbers: Sequence[str], score: str, zone: str, minimum: int = 30,
-    exact: bool = True,
+    exact: bool = True, places: int = 4,
 ) -> DataFrame:
     """Error rates per segment of at least ``minimum`` rows; null levels are left out.
 
@@ -132,10 +135,10 @@ def segment_errors(
     if numbers:
         parts.append(_bins(df.select(*measures, *numbers), numbers, exact))
     rows = reduce(DataFrame.unionByName, parts)
-    share = lambda code: F.round(F.avg(flag(F.col(zone) == code)), 4)
-    rate = lambda c: F.round(F.avg(c), 4)
+    share = lambda code: F.round(F.avg(flag(F.col(zone) == code)), places)
+    rate = lambda c: F.round(F.avg(c), places)
     return rows.groupBy("segment_feature", "segment_value").agg(
-        F.count("*").alias("count"), F.round(ratio(F.count("*"), total), 4).alias("count_pct"),
+        F.count("*").alias("count"), F.round(ratio(F.count("*"), total), places).alias("count_pct"),
         rate("actual_reject").alias("reject_rate"), rate("is_FP").alias("fp_rate"), rate("is_FN").alias("fn_rate"),
         F.sum("is_FP").alias("fp_count"), F.sum("is_FN").alias("fn_count"), rate(score).alias("avg_pred_prob"),
         share(2).alias("high_zone_pct"), share(1).alias("manual_zone_pct"), share(0).alias("low_zone_pct"),
@@ -161,17 +164,17 @@ def error_profile(df: DataFrame, error: str, features: Sequence[str]) -> DataFra
         "mean_diff_zscore", gap / (F.col("overall_std") + 1e-8)).withColumnRenamed("errors", "error_count")
 
 
-def zone_errors(df: DataFrame, score: str, zone: str) -> DataFrame:
+def zone_errors(df: DataFrame, score: str, zone: str, places: int = 4) -> DataFrame:
     """Error counts and rates per zone."""
     total = df.agg(F.count("*")).scalar()
-    rate = lambda c: F.round(F.avg(c), 4)
+    rate = lambda c: F.round(F.avg(c), places)
     return df.groupBy(zone).agg(
-        F.count("*").alias("count"), F.round(ratio(F.count("*"), total), 4).alias("count_pct"),
+        F.count("*").alias("count"), F.round(ratio(F.count("*"), total), places).alias("count_pct"),
         F.sum("actual_reject").alias("actual_reject_count"), rate("actual_reject").alias("actual_reject_rate"),
         F.sum("is_FP").alias("fp_count"), rate("is_FP").alias("fp_rate"),
         F.sum("is_FN").alias("fn_count"), rate("is_FN").alias("fn_rate"),
-        rate(score).alias("avg_pred_prob"), F.round(F.stddev(score), 4).alias("std_pred_prob"),
-        F.round(1 - F.avg("actual_reject"), 4).alias("_approve"),
+        rate(score).alias("avg_pred_prob"), F.round(F.stddev(score), places).alias("std_pred_prob"),
+        F.round(1 - F.avg("actual_reject"), places).alias("_approve"),
     ).withColumns({
         "precision_approve": F.when(F.col(zone) == 2, F.col("_approve")),
         "precision_reject": F.when(F.col(zone) == 0, F.col("actual_reject_rate")),
