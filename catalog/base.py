@@ -152,13 +152,14 @@ MODEL_SCORES = """model_scores AS (
   UNION ALL SELECT 'linear', day, label, segment, coarse FROM scored)"""
 
 
-def model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Three score columns of the same rows in long form; one scan."""
+def model_scores(spark: SparkSession, folder: str, rows: DataFrame | None = None, ids: Sequence[str] = ()) -> DataFrame:
+    """Three score columns of the same rows in long form; one scan. ``ids`` are kept beside day, label and segment."""
+    rows = scored(spark, folder) if rows is None else rows
     s, c, y = F.col("score"), F.col("coarse"), F.col("label")
-    return scored(spark, folder).select(
-        "day", "label", "segment", (s * 0.3 + y * 0.7).alias("boosted"),
-        (s * 0.5 + c * 0.2 + y * 0.3).alias("forest"), c.alias("linear")).unpivot(
-        ["day", "label", "segment"], MODELS, "model", "p")
+    kept = ["day", "label", "segment", *ids]
+    return rows.select(
+        *kept, (s * 0.3 + y * 0.7).alias("boosted"), (s * 0.5 + c * 0.2 + y * 0.3).alias("forest"), c.alias("linear")
+    ).unpivot(kept, MODELS, "model", "p")
 
 
 # ---- SQL of the metrics, written from ranks instead of running counts ------------------

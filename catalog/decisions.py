@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    CUT, DATA_START, LOWER, MODEL_SCORES, R, SCORED, UPPER, WINDOWS, metric_ctes, model_scores, query, tidy, with_,
+    CUT, DATA_START, LOWER, MODEL_SCORES, R, SCORED, UPPER, WINDOWS, metric_ctes, model_scores, query, scored, tidy, with_,
 )
 from catalog.metrics import TAGGED_SQL
 from scorewarden import vocabulary as v
@@ -35,11 +35,13 @@ CYCLES = [
 
 def cycles(spark, folder):
     """Rolling results of the three scores: train, monitor and walk-forward validation figures."""
-    tagged = tag_windows(model_scores(spark, folder), rolling_windows(spark, DATA_START, CUT), "day")
-    pair = ["window_id", "model"]
-    both = settled(metrics.classification_metrics(tagged, "label", "p", [*pair, "phase"]))
+    # windows and folds are found on the rows, before the three scores multiply them
+    tagged = tag_windows(scored(spark, folder), rolling_windows(spark, DATA_START, CUT), "day")
     folded = month_folds(tagged.where("phase = 'train'"), "day", ["window_id"]).where("role = 'validate'")
-    cv = metrics.classification_metrics(folded, "label", "p", [*pair, "fold"]).groupBy(*pair).agg(
+    long = lambda rows, *ids: model_scores(spark, folder, rows, ["window_id", *ids])
+    pair = ["window_id", "model"]
+    both = settled(metrics.classification_metrics(long(tagged, "phase"), "label", "p", [*pair, "phase"]))
+    cv = metrics.classification_metrics(long(folded, "fold"), "label", "p", [*pair, "fold"]).groupBy(*pair).agg(
         *(f(m).alias(f"cv_{m}_{s}") for m in ("auc", "f1", "f1_reject") for f, s in ((F.avg, "mean"), (F.stddev_pop, "std"))))
     monitor = both.where("phase = 'monitor'").select(*pair, F.col("rows").alias("monitor_rows"), *(F.col(m).alias(f"monitor_{n}") for n, m in _MONITOR.items()))
     train = both.where("phase = 'train'").select(*pair, F.col("auc").alias("train_auc"), F.col("brier_score").alias("train_brier"))

@@ -10,6 +10,7 @@ from catalog.clean import CLEANED, FILLED, SILVER, UNIQUE
 from scorewarden import vocabulary as v
 from scorewarden.operators import cleaning, encoders, features
 from scorewarden.plans import layers
+from scorewarden.storage import settled
 
 _BANDS = {"1-URGENT": 5, "2-HIGH": 4, "3-MEDIUM": 3, "5-LOW": 1}
 _NUMBERS = ["amount", "balance"]
@@ -119,10 +120,15 @@ GOLD = "gold AS (SELECT \"案件編號\", \"進件日\", \"進件年月\", split
     f'COALESCE(("{c}" - lo{i}) / CAST(CASE WHEN hi{i} = lo{i} THEN 1 ELSE hi{i} - lo{i} END AS DOUBLE), 0) AS "{c}_scaled"' for i, c in enumerate(_SCALED)) + " FROM encoded, bounds)"
 
 
+def _silver(spark, folder):
+    # the gold step reads its input several times; the job reads the written silver table instead
+    return settled(layers.silver_table(raw_applications(spark, folder)))
+
+
 @query("gold_features", with_(RAW, CLEANED, UNIQUE, FILLED, SILVER, PARTS, ENCODED, BOUNDS, GOLD, select="SELECT * EXCLUDE ("
        + ", ".join(f'"{c}_scaled"' for c in _SCALED) + "), " + ", ".join(f'{R(chr(34) + c + "_scaled" + chr(34))} AS "{c}_scaled"' for c in _SCALED) + " FROM gold"))
 def gold_features(spark, folder):
-    final, _ = layers.gold_table(layers.silver_table(raw_applications(spark, folder)), _OOT)
+    final, _ = layers.gold_table(_silver(spark, folder), _OOT)
     return tidy(final)
 
 
@@ -130,7 +136,7 @@ def gold_features(spark, folder):
     f"SELECT '{c}' AS \"column\", {R(f'lo{i}')} AS \"min\", {R(f'hi{i}')} AS \"max\", {R(f'CASE WHEN hi{i} = lo{i} THEN 1 ELSE hi{i} - lo{i} END')} AS \"range\" FROM bounds"
     for i, c in enumerate(_SCALED))))
 def fitted_ranges(spark, folder):
-    _, fitted = layers.gold_table(layers.silver_table(raw_applications(spark, folder)), _OOT)
+    _, fitted = layers.gold_table(_silver(spark, folder), _OOT)
     return tidy(fitted["scaler"])
 
 

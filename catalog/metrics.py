@@ -41,8 +41,9 @@ TAGGED_SQL = """tagged AS (SELECT m.*, window_id, CASE WHEN day <= train_end THE
 @query("metrics_by_window", with_(SCORED, MODEL_SCORES, WINDOWS, TAGGED_SQL, *metric_ctes("tagged", ["window_id", "phase", "model"], "label", "p"),
        select=metric_select(["window_id", "phase", "model"])))
 def metrics_by_window(spark, folder):
-    tagged = tag_windows(model_scores(spark, folder), rolling_windows(spark, DATA_START, CUT), "day")
-    return tidy(metrics.classification_metrics(tagged, "label", "p", ["window_id", "phase", "model"]))
+    tagged = tag_windows(scored(spark, folder), rolling_windows(spark, DATA_START, CUT), "day")
+    long = model_scores(spark, folder, tagged, ["window_id", "phase"])
+    return tidy(metrics.classification_metrics(long, "label", "p", ["window_id", "phase", "model"]))
 
 
 def _bands(source: str, label: str, score: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scorewarden.functions import amount, band, blank_to_null, flag, level_code, parse_day, whole_number
@@ -54,13 +55,12 @@ def keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of every key with the largest ``order`` columns.
 
-    ``order`` should end in a tie-break that is unique within a key. This is an
-    aggregate, not a window: map tasks keep one row per key, so a key that
-    holds a third of the table costs no more than any other.
+    ``order`` should end in a tie-break that is unique within a key. Spark limits
+    each map task to its first row per key before the shuffle, so a key that
+    holds a third of the table sends one row per task like any other.
     """
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
-    return df.groupBy(*key).agg(best).select(*key, "_best.*").select(*df.columns)
+    newest = W.partitionBy(*key).orderBy(*(F.desc(c) for c in order))
+    return df.withColumn("_place", F.row_number().over(newest)).where("_place = 1").drop("_place")
 
 
 def encode_target(df: DataFrame, outcome: str, label: str, table: Mapping[str, int]) -> DataFrame:

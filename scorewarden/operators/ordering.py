@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from scorewarden.storage import small_side
 
 FEWEST_BUCKETS, MOST_BUCKETS = 64, 4096
+EDGE_SAMPLE = 0.05
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -32,12 +33,15 @@ def bucket_count(df: DataFrame) -> int:
 def bucket_edges(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
     """Fewer than ``buckets`` increasing cut points of about equal weight.
 
-    One pass with a mergeable sketch. The cut points steer only how the work is
-    spread, never the result, so their error does not matter.
+    One pass with a mergeable sketch of a sample. The cut points steer only how
+    the work is spread, never the result, so their error does not matter.
     """
     buckets = buckets or bucket_count(df)
     shares = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(value, shares, 0.25 / buckets)))
+    if not shares:
+        return []
+    sampled = df.select(value).sample(EDGE_SAMPLE, seed=1)
+    return sorted(set(sampled.approxQuantile(value, shares, 0.25 / buckets)))
 
 
 def add_bucket(df: DataFrame, value: str, edges: Sequence[float], name: str = "_bucket") -> DataFrame:

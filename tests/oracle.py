@@ -57,6 +57,9 @@ KINDS = {"bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"}, "string
 def compare(spark, con, name, build, sql, folder):
     """None when equal, else a text that says what differs."""
     df = build(spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+        return "the plan forms pairs without a key"
     got_columns, got = rows_of(df.columns, df.collect())
     result = con.execute(sql)
     want_columns, want = rows_of([d[0] for d in result.description], result.fetchall())
