@@ -1,10 +1,10 @@
-"""Stage audit rows whose counts come for free with the write they describe."""
+"""Stage audit rows."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AUDIT_SCHEMA = (
@@ -13,16 +13,6 @@ AUDIT_SCHEMA = (
 )
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The table with a row counter that fills when some action runs the plan, without a pass of its own."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
-def rows_seen(seen: Observation) -> int:
-    return int(seen.get["rows"])
-
-
 def audit_row(
     spark: SparkSession, *, run_id: str, stage: str, action: str, input_path: str, output_path: str, rows_before: int,
     rows_after: int, drop_reasons: Mapping[str, int] | None = None, warnings: Sequence[str] = (), errors: Sequence[str] = (),
