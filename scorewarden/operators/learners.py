@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from scorewarden.operators.features import assembled
 from scorewarden.operators.metrics import class_balance, classification_metrics
-from scorewarden.operators.ordering import add_bucket, bucket_edges, smallest_by_hash
-from scorewarden.operators.splits import month_folds, tag_windows
+from scorewarden.operators.ordering import add_bucket, bucket_count, bucket_edges, smallest_by_hash
+from scorewarden.operators.splits import month_folds
 from scorewarden.storage import settled
 
 SEED = 42
@@ -230,40 +230,48 @@ def fit_calibrated(
 def rolling_cycles(
     df: DataFrame, windows: DataFrame, *, day: str, label: str, keys: Sequence[str], features: Sequence[str],
     candidates: Mapping[str, tuple[str, Mapping[str, float]]], strategy: str = "scale_weight", cv_splits: int = 2,
-    at_once: int = FITS_AT_ONCE, cv: bool = True,
+    at_once: int = FITS_AT_ONCE, cv: bool = True, month: str | None = None,
 ) -> DataFrame:
     """One row per (window, model): walk-forward CV means and deviations, monitor and train metrics.
 
     ``candidates`` maps a name to (learner, parameters). The number of fits is
     windows x models x (1 + folds); every fit and every scoring pass is
-    distributed, and all metrics are computed in one grouped plan per kind.
+    distributed, and all metrics are computed in one grouped plan. Each window
+    reads its own days only; with ``month``, the yyyy-MM partition column of the
+    table, it opens only its own folders.
     """
-    labelled = df.where(F.col(label).isNotNull()).select(*keys, day, label, *features)
-    tagged = settled(tag_windows(labelled, windows, day))
-    ids = [r["window_id"] for r in windows.select("window_id").orderBy("window_id").collect()]  # generated windows
-    part = lambda w, phase: tagged.where((F.col("window_id") == w) & (F.col("phase") == phase))
-    folded = month_folds(tagged.where("phase = 'train'"), day, ["window_id"], n_splits=cv_splits) if cv else None
-    if folded is not None:
-        folded = settled(folded)
-
-    def whole(w: int, name: str) -> DataFrame:
-        kind, params = candidates[name]
-        model = fit(part(w, "train"), features, label, kind, params, strategy=strategy, keys=keys)
-        rows = tagged.where(F.col("window_id") == w)
-        return scored(rows, model, features).select(
-            "window_id", F.lit(name).alias("model_name"), "phase", F.lit(0).alias("fold"), label, "pred_prob")
+    labelled = df.where(F.col(label).isNotNull())
+    spans = windows.orderBy("window_id").collect()  # generated windows, a few dozen at most
+
+    def days(first, last) -> DataFrame:
+        rows = labelled.where(F.col(day).between(F.lit(first), F.lit(last)))
+        if month:
+            rows = rows.where(F.col(month).cast("string").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+        return rows.select(*keys, day, label, *features)
+
+    def result(rows: DataFrame, model: Model, w, name: str, phase: Column, fold: int) -> DataFrame:
+        return settled(scored(rows, model, features).select(
+            F.lit(w["window_id"]).alias("window_id"), F.lit(name).alias("model_name"), phase.alias("phase"),
+            F.lit(fold).alias("fold"), label, "pred_prob"))
 
-    def one_fold(w: int, name: str, k: int) -> DataFrame:
+    def train(rows: DataFrame, name: str) -> Model:
         kind, params = candidates[name]
-        rows = folded.where((F.col("window_id") == w) & (F.col("fold") == k))
-        model = fit(rows.where("role = 'train'"), features, label, kind, params, strategy=strategy, keys=keys)
-        return scored(rows.where("role = 'validate'"), model, features).select(
-            "window_id", F.lit(name).alias("model_name"), F.lit("cv").alias("phase"), "fold", label, "pred_prob")
-
-    jobs = [lambda w=w, n=n: whole(w, n) for w in ids for n in candidates]
-    if folded is not None:
-        present = {(r["window_id"], r["fold"]) for r in folded.select("window_id", "fold").distinct().collect()}
-        jobs += [lambda w=w, n=n, k=k: one_fold(w, n, k) for w, k in sorted(present) for n in candidates]
+        return fit(rows, features, label, kind, params, strategy=strategy, keys=keys)
+
+    def whole(w, name: str) -> DataFrame:
+        model = train(days(w["train_start"], w["train_end"]), name)
+        phase = F.when(F.col(day) <= F.lit(w["train_end"]), "train").otherwise("monitor")
+        return result(days(w["train_start"], w["monitor_end"]), model, w, name, phase, 0)
+
+    def one_fold(w, rows: DataFrame, name: str, k: int) -> DataFrame:
+        model = train(rows.where(f"fold = {k} and role = 'train'"), name)
+        return result(rows.where(f"fold = {k} and role = 'validate'"), model, w, name, F.lit("cv"), k)
+
+    jobs = [lambda w=w, n=n: whole(w, n) for w in spans for n in candidates]
+    for w in spans if cv else ():
+        rows = month_folds(days(w["train_start"], w["train_end"]), day, n_splits=cv_splits)
+        present = sorted(r["fold"] for r in rows.select("fold").distinct().collect())  # at most cv_splits
+        jobs += [lambda w=w, rows=rows, n=n, k=k: one_fold(w, rows, n, k) for k in present for n in candidates]
     everything = reduce(DataFrame.unionByName, fit_all(jobs, at_once))
     group = ["window_id", "model_name", "phase", "fold"]
     metrics = settled(classification_metrics(everything, label, "pred_prob", group))
@@ -299,7 +307,7 @@ def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> Dat
 
 def permutation_importance(
     df: DataFrame, score: Callable[[DataFrame], DataFrame], features: Sequence[str], label: str, keys: Sequence[str],
-    out: str = "pred_prob", groups: int = 1024, seed: int = SEED,
+    out: str = "pred_prob", groups: int | None = None, seed: int = SEED,
 ) -> DataFrame:
     """(feature, auc, permuted_auc, importance): AUC lost when a feature's values change hands.
 
@@ -309,6 +317,7 @@ def permutation_importance(
     scored in one plan.
     """
     kept = df.where(F.col(label).isNotNull()).select(*keys, label, *features)
+    groups = groups or 4 * bucket_count(df)
     dealt = kept.withColumn("_g", F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(groups)))
     order = f"over (partition by _g order by xxhash64({seed + 1}, {', '.join(f'`{k}`' for k in keys)}), {', '.join(f'`{k}`' for k in keys)}"
     moved = dealt.selectExpr(

@@ -152,14 +152,14 @@ def gold_table(silver: DataFrame, oot_start: dt.date = v.OOT_START) -> tuple[Dat
 
 def run_gold(
     spark: SparkSession, silver_path: str, root: str, run_id: str, *, data_start: dt.date = v.DATA_START,
-    oot_start: dt.date = v.OOT_START, files_per_month: int | None = None,
+    oot_start: dt.date = v.OOT_START,
 ) -> dict[str, str]:
     """Write both parts by month, the windows, the encoders, and drift, unseen, statistics and audit reports."""
     silver = read_table(spark, silver_path)
     final, fitted = gold_table(silver, oot_start)
     paths = {name: f"{root}/{name}" for name in ("features", "windows", "encoders", "reports")}
     paths |= {name: f"{paths['features']}/split={name}" for name in ("development", "oot")}
-    write_by_month(final, paths["features"], v.MONTH, files_per_month, first=["split"])  # both parts in one pass
+    write_by_month(final, paths["features"], v.MONTH, first=["split"])  # both parts in one pass
     write_table(splits.rolling_windows(
         spark, data_start, oot_start, v.TRAIN_MONTHS, v.MONITOR_MONTHS, v.STEP_MONTHS), paths["windows"])
     write_encoders(fitted, paths["encoders"])

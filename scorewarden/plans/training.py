@@ -21,13 +21,17 @@ LEGACY_SPREAD = ["cv_auc", "monitor_auc", "monitor_f1_reject"]
 
 @dataclass
 class Setup:
-    """What a training run needs to know about its table. ``tie`` is numeric and unique within a day."""
+    """What a training run needs to know about its table.
+
+    ``tie`` is numeric and unique within a day; ``month`` is the partition column, if there is one.
+    """
 
     day: str
     label: str
     keys: Sequence[str]
     features: Sequence[str]
     tie: str
+    month: str | None = None
     candidates: Mapping[str, tuple[str, Mapping[str, float]]] = field(
         default_factory=lambda: {k: (k, p) for k, p in v.BASE_CANDIDATES.items()})
     strategy: str = "scale_weight"
@@ -42,7 +46,7 @@ class Setup:
 def evaluate_candidates(development: DataFrame, windows: DataFrame, s: Setup, candidates=None, cv: bool = True) -> DataFrame:
     return settled(learners.rolling_cycles(
         development, windows, day=s.day, label=s.label, keys=s.keys, features=s.features,
-        candidates=candidates or s.candidates, strategy=s.strategy, cv_splits=s.cv_splits, at_once=s.at_once, cv=cv))
+        candidates=candidates or s.candidates, strategy=s.strategy, cv_splits=s.cv_splits, at_once=s.at_once, cv=cv, month=s.month))
 
 
 def split_policy_holdout(oot: DataFrame, s: Setup) -> DataFrame:

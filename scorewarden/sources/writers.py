@@ -12,19 +12,15 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_month(
-    df: DataFrame, path: str, month: str, files_per_month: int | None = None, first: Sequence[str] = ()
-) -> None:
+def write_by_month(df: DataFrame, path: str, month: str, first: Sequence[str] = ()) -> None:
     """Overwrite a table with one folder per month, below folders for the ``first`` columns.
 
-    Each task writes a file per month it holds. With ``files_per_month`` rows are
-    first dealt to that many tasks per month, so that neither thousands of small
-    files nor one huge file appear, however uneven the months are.
+    Rows are rebalanced by folder first: adaptive execution then splits a month
+    that is too big for one file and merges small ones, so that neither thousands
+    of small files nor a single huge one appear, however uneven the months are.
     """
-    if files_per_month:
-        turn = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-        df = df.withColumn("_turn", turn).repartition(month, "_turn").drop("_turn")
-    df.write.mode("overwrite").partitionBy(*first, month).parquet(path)
+    folders = [f"`{c}`" for c in (*first, month)]
+    df.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*first, month).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -27,7 +27,7 @@ def gold(spark, tmp_path_factory):
     raw.coalesce(2).write.option("header", True).csv(f"{root}/raw")
     assert layers.run_bronze(spark, f"{root}/raw", f"{root}/bronze") == raw.count()
     layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/reports", "r1")
-    paths = layers.run_gold(spark, f"{root}/silver", f"{root}/gold", "r1", data_start=dt.date(1995, 1, 1), oot_start=OOT, files_per_month=1)
+    paths = layers.run_gold(spark, f"{root}/silver", f"{root}/gold", "r1", data_start=dt.date(1995, 1, 1), oot_start=OOT)
     return root, paths
 
 
@@ -84,7 +84,7 @@ def trained(spark, gold):
     number = lambda df: df.withColumn("_tie", F.col(v.CASE).cast("bigint"))
     names = ["年齡_scaled", "原申辦金額_log_scaled", "教育程度_序位", "性別_二元"]
     setup = training.Setup(
-        day=v.DAY, label=v.LABEL, keys=[v.CASE], features=names, tie="_tie", folds=2, cv_splits=1,
+        day=v.DAY, label=v.LABEL, keys=[v.CASE], features=names, tie="_tie", month=v.MONTH, folds=2, cv_splits=1,
         candidates={"random_forest": ("random_forest", {"trees": 3, "depth": 3, "min_leaf": 5})})
     windows = splits.rolling_windows(spark, dt.date(1995, 1, 1), OOT, 24, 12, 24)
     return number(development), number(oot), windows, setup, training.run_training(number(development), number(oot), windows, setup)
