@@ -154,7 +154,7 @@ def pruned_challenger(spark, folder):
 def decision_tuning_challenger(spark, folder):
     development, oot = _parts(spark, folder)
     setup = _setup(["random_forest"])
-    parts = settled(training.split_policy_holdout(oot.where("label is not null"), setup))
+    parts = training.split_policy_holdout(oot.where("label is not null"), setup)
     policy, holdout = (parts.where(F.col("split") == p).drop("split") for p in ("policy", "holdout"))
     results = challengers.decision_tuning_challenger(
         development, policy, holdout, _windows(spark), setup, _baseline(holdout), [("forest", *_FOREST)], ["isotonic"])

@@ -104,18 +104,22 @@ def compatible(df: DataFrame, required: Sequence[str], fail: bool = True) -> boo
 
 
 # ---- one aggregate for everything that is a statistic of the whole table ------
-def profile(df: DataFrame, nulls: Sequence[str] = (), ranges: Sequence[str] = ()) -> DataFrame:
-    """One row: ``n``, ``nulls`` map column -> null count, ``lows`` and ``highs`` maps."""
+def _profile_aggregates(nulls: Sequence[str] = (), ranges: Sequence[str] = ()) -> list[Column]:
     def as_map(parts: Sequence[tuple[str, Column]], kind: str) -> Column:
         if not parts:
             return F.create_map().cast(f"map<string,{kind}>")
         return F.create_map(*(x for c, e in parts for x in (F.lit(c), e.cast(kind))))
-    return df.agg(
+    return [
         F.count("*").alias("n"),
         as_map([(c, F.count("*") - F.count(F.col(c))) for c in nulls], "bigint").alias("nulls"),
         as_map([(c, F.min(F.col(c))) for c in ranges], "double").alias("lows"),
         as_map([(c, F.max(F.col(c))) for c in ranges], "double").alias("highs"),
-    )
+    ]
+
+
+def profile(df: DataFrame, nulls: Sequence[str] = (), ranges: Sequence[str] = ()) -> DataFrame:
+    """One row: ``n``, ``nulls`` map column -> null count, ``lows`` and ``highs`` maps."""
+    return df.agg(*_profile_aggregates(nulls, ranges))
 
 
 def null_ratios(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -188,15 +192,27 @@ def check_levels(df: DataFrame, allowed: Mapping[str, Sequence[str | None]]) ->
         {"unexpected_levels": F.col("levels"), "rows": F.col("rows")}))))
 
 
-def label_counts(df: DataFrame, outcome: str, table: Mapping[str, int]) -> DataFrame:
-    """One row: rows, positive rows, rows with an outcome outside the table (nulls are in rows only)."""
+def _label_aggregates(outcome: str, table: Mapping[str, int]) -> list[Column]:
     value = F.col(outcome)
     positive = [k for k, v in table.items() if v == 1]
-    return df.agg(
-        F.count("*").alias("n"),
+    return [
         F.coalesce(F.sum(flag(value.isin(*positive))), F.lit(0)).alias("positive"),
         F.coalesce(F.sum(flag(value.isNotNull() & ~value.isin(*table))), F.lit(0)).alias("other"),
-    ).select(
+    ]
+
+
+def _label_check(outcome: str, low: float, high: float, other: float) -> Column:
+    share, foreign = ratio(F.col("positive"), F.col("n")), ratio(F.col("other"), F.col("n"))
+    details = {"n": F.col("n"), "positive_ratio": share, "other_ratio": foreign}
+    return (
+        F.when(F.col("n") == 0, _row("labels", outcome, "LB002", F.lit(False), details))
+        .when((share < low) | (share > high), _row("labels", outcome, "LB001", F.lit(False), details))
+        .otherwise(_row("labels", outcome, "LB003", ~(foreign > other), details)))
+
+
+def label_counts(df: DataFrame, outcome: str, table: Mapping[str, int]) -> DataFrame:
+    """One row: rows, positive rows, rows with an outcome outside the table (nulls are in rows only)."""
+    return df.agg(F.count("*").alias("n"), *_label_aggregates(outcome, table)).select(
         "*", ratio(F.col("positive"), F.col("n")).alias("positive_ratio"),
         ratio(F.col("other"), F.col("n")).alias("other_ratio"),
     )
@@ -206,15 +222,7 @@ def check_labels(
     df: DataFrame, outcome: str, table: Mapping[str, int], low: float = 0.05, high: float = 0.95, other: float = 0.05
 ) -> DataFrame:
     """No rows, else positive share out of range, else too many other outcomes: the first that fails."""
-    counts = label_counts(df, outcome, table)
-    details = {c: F.col(c) for c in ("n", "positive_ratio", "other_ratio")}
-    empty = F.col("n") == 0
-    skewed = (F.col("positive_ratio") < low) | (F.col("positive_ratio") > high)
-    foreign = F.col("other_ratio") > other
-    return counts.select(F.inline(F.array(
-        F.when(empty, _row("labels", outcome, "LB002", F.lit(False), details))
-        .when(skewed, _row("labels", outcome, "LB001", F.lit(False), details))
-        .otherwise(_row("labels", outcome, "LB003", ~foreign, details)))))
+    return _rows(label_counts(df, outcome, table), [_label_check(outcome, low, high, other)])
 
 
 # ---- limits that are declared but never enforced upstream ---------------------
@@ -265,19 +273,20 @@ def bronze_suite(
     null_limits: Mapping[str, float], null_default: float, allowed: Mapping[str, Sequence[str | None]],
     outcome: str, target: Mapping[str, int],
 ) -> DataFrame:
-    """All checks of raw records. Missing required columns end the suite at once."""
+    """All checks of raw records. Missing required columns end the suite at once.
+
+    Row count, null ratios and labels come from one aggregate, levels from a second pass.
+    """
     first = required_columns(df, required)
     if not compatible(df, required, fail=False):
         return first
-    whole_table = _rows(profile(df, df.columns), [
-        _row_count_check(minimum_rows), *_null_checks(null_limits, null_default, df.columns)])
-    parts = [
-        unexpected_columns(df, required, ignored), whole_table, check_levels(df, allowed),
-        check_labels(df, outcome, target),
-    ]
-    for part in parts:
-        first = first.unionByName(part)
-    return first
+    statistics = df.agg(*_profile_aggregates(df.columns), *_label_aggregates(outcome, target))
+    whole_table = _rows(statistics, [
+        _row_count_check(minimum_rows), *_null_checks(null_limits, null_default, df.columns),
+        _label_check(outcome, 0.05, 0.95, 0.05)])
+    return (
+        first.unionByName(unexpected_columns(df, required, ignored))
+        .unionByName(whole_table).unionByName(check_levels(df, allowed)))
 
 
 def silver_suite(df: DataFrame, *, minimum_rows: int, encoded: Sequence[str], label: str) -> DataFrame:

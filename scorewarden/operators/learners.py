@@ -157,8 +157,9 @@ def fit(
     stop = None
     if kind == "boosted_trees" and stop_share and keys and strategy != "smote":
         stop, ready = "_stop", ready.withColumn("_stop", hash_share(keys, seed) < stop_share)
-    ready = settled(ready)  # the learner reads it once per tree level
-    return learner(kind, params, ready.count(), early_stop=stop, seed=seed).fit(ready)
+    # the learners keep their own compact copy of the rows; only a penalty needs to know how many there are
+    rows = train.where(F.col(label).isNotNull()).count() if kind == "logistic_regression" else 0
+    return learner(kind, params, rows, early_stop=stop, seed=seed).fit(ready)
 
 
 def fit_all(jobs: Sequence[Callable[[], object]], at_once: int = FITS_AT_ONCE) -> list:

@@ -198,8 +198,12 @@ def smallest_by_hash(df: DataFrame, key: Sequence[str], take: str, seed: int = 4
     """
     # 53 bits survive the cast to double unchanged, so the order is exact
     spot = F.shiftright(F.xxhash64(F.lit(seed), *key), 11).cast("double")
+    last = f"array(cast({take} as bigint) - 1)"
+    if not by:
+        marked = df.withColumn("_spot", spot)
+        cut = values_at_ranks(marked, "_spot", last).select(F.get("picks", F.lit(0))["value"]).scalar()
+        return marked.where(F.col("_spot") <= cut).drop("_spot")
     marked = df.withColumn("_spot", spot).withColumn("_group", _group_column(by))
-    cut = values_at_ranks(marked, "_spot", f"array(cast({take} as bigint) - 1)", ["_group"])
-    cut = cut.select("_group", F.get("picks", F.lit(0))["value"].alias("_cut"))
-    cut = small_side(cut) if by else F.broadcast(cut)  # one row without groups
-    return marked.join(cut, "_group").where(F.col("_spot") <= F.col("_cut")).drop("_spot", "_cut", "_group")
+    cuts = values_at_ranks(marked, "_spot", last, ["_group"]).select(
+        "_group", F.get("picks", F.lit(0))["value"].alias("_cut"))
+    return marked.join(small_side(cuts), "_group").where(F.col("_spot") <= F.col("_cut")).drop("_spot", "_cut", "_group")

@@ -101,7 +101,7 @@ def run_training(
     results["rolling_results"] = cycles = evaluate_candidates(development, windows, s)
     results["strategies"] = ranked = settled(selection.rank_champions(cycles, v.CHAMPION_WEIGHTS, SPREAD))
     champion = ranked.where("model_rank = 1").first()["model_name"]
-    parts = settled(split_policy_holdout(oot.where(F.col(s.label).isNotNull()), s))
+    parts = split_policy_holdout(oot.where(F.col(s.label).isNotNull()), s)  # a comparison with two constants
     policy_rows, holdout_rows = (parts.where(F.col("split") == p).drop("split") for p in ("policy", "holdout"))
     candidates = dict(s.candidates)
     if tuning:
