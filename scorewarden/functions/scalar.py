@@ -45,7 +45,7 @@ def blank_to_null(col: Column) -> Column:
 
 def parse_day(col: Column, pattern: str = "yyyyMMdd") -> Column:
     """Date from text, null instead of an error when the text does not fit."""
-    return F.to_date(F.try_to_timestamp(col.cast("string"), F.lit(pattern)))
+    return F.try_to_date(col.cast("string"), pattern)
 
 
 def whole_number(col: Column) -> Column:
