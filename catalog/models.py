@@ -50,21 +50,26 @@ def _parts(spark, folder):
     return df.where("dev").drop("dev"), df.where("not dev").drop("dev")
 
 
-@query("undersample", with_(APPLICATIONS, "small AS (SELECT * FROM applications WHERE label = 1 OR (label = 0 AND nation <> 'NATION_1' AND segment = 'BUILDING'))",
-       "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM small)",
-       select="SELECT 1 AS label, LEAST(p, 2 * q) AS n FROM n UNION ALL SELECT 0, q FROM n"))
+# every row takes part; one market segment in five makes the small class
+_SKEWED = "skewed AS (SELECT CASE WHEN segment = 'BUILDING' THEN 0 ELSE 1 END AS y FROM applications)"
+_COUNTS = "n AS (SELECT COUNT(*) FILTER (WHERE y = 1) AS p, COUNT(*) FILTER (WHERE y = 0) AS q FROM skewed)"
+
+
+def _skewed(spark, folder):
+    return applications(spark, folder).withColumns({
+        "y": F.when(F.col("segment") == "BUILDING", 0).otherwise(1), "scaled": F.col("amount") / 500000})
+
+
+@query("undersample", with_(APPLICATIONS, _SKEWED, _COUNTS, select="SELECT 1 AS y, LEAST(p, 2 * q) AS n FROM n UNION ALL SELECT 0, q FROM n"))
 def undersample(spark, folder):
-    few = applications(spark, folder).where("label = 1 or (label = 0 and nation != 'NATION_1' and segment = 'BUILDING')")
-    return learners.undersampled(few, "label", ["case_id"]).groupBy("label").agg(F.count("*").alias("n"))
+    return learners.undersampled(_skewed(spark, folder), "y", ["case_id"]).groupBy("y").agg(F.count("*").alias("n"))
 
 
-@query("oversample", with_(APPLICATIONS, "few AS (SELECT label FROM applications WHERE label = 1 OR (label = 0 AND segment = 'BUILDING'))",
-       "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM few)",
-       select="SELECT 1 AS label, FALSE AS is_synthetic, p AS n FROM n UNION ALL SELECT 0, FALSE, q FROM n UNION ALL SELECT 0, TRUE, p - q FROM n"))
+@query("oversample", with_(APPLICATIONS, _SKEWED, _COUNTS, select="""SELECT 1 AS y, FALSE AS is_synthetic, p AS n FROM n
+  UNION ALL SELECT 0, FALSE, q FROM n UNION ALL SELECT 0, TRUE, p - q FROM n"""))
 def oversample(spark, folder):
-    few = applications(spark, folder).where("label = 1 or (label = 0 and segment = 'BUILDING')").withColumn("scaled", F.col("amount") / 500000)
-    made = learners.oversampled(few, "label", ["case_id"], ["scaled", "balance"])
-    return made.groupBy("label", "is_synthetic").agg(F.count("*").alias("n"))
+    made = learners.oversampled(_skewed(spark, folder), "y", ["case_id"], ["scaled", "balance"])
+    return made.groupBy("y", "is_synthetic").agg(F.count("*").alias("n"))
 
 
 @query("class_weights", with_(APPLICATIONS, "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM applications)", select=f"""
