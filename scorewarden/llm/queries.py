@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import linededup, mixing, quality
+from scorewarden.llm import linededup, mixing, neardup, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +58,8 @@ FROM kept JOIN docs d USING (r) GROUP BY r""")
 def _(spark, folder):
     docs = linededup.drop_frequent_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_jaccard_join")
+def _(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
