@@ -263,21 +263,8 @@ def _shingles(rows: DataFrame, n: int) -> DataFrame:
     return rows.select("_id", "_text").mapInArrow(run, "_id long, _set binary")
 
 
-def near_duplicates(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4,
-    tolerance: float = 1e-6, block: int = 256,
-) -> DataFrame:
-    """One row per document: ``key``, class_id, n_links, n_copies.
-
-    Documents whose sets of ``words``-word shingles have a Jaccard similarity of at least ``threshold`` are linked, and
-    ``class_id`` is the smallest key among the documents that links connect. ``n_copies`` counts the documents with the
-    same set, itself included; ``n_links`` counts the different sets that its set is linked with, so copies are not
-    expanded into pairs. A pair exactly at 0.8 is missed by all 32 bands of 4 with a chance of 5e-8.
-
-    Words are separated by space and the control characters 9 to 13. A text of fewer words is one shingle; null texts and
-    texts without words link to nothing and are each a class of their own. Repeated rows are copies. A null key takes part;
-    a class without any key has a null ``class_id``. Other columns are left out; an empty table gives no rows.
-    """
+def classified(docs: DataFrame, *, key: str, text: str, words: int, threshold: float, bands: int, rows: int, tolerance: float, block: int) -> DataFrame:
+    """Per document (_key, _k1, _k2): _n, _class (null without words), class_id, n_links, n_copies; see ``near_duplicates``."""
     texts = docs.select(F.col(key).cast("long").alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
     sketched = settled(sketches(texts, words, bands, rows))
     sets = settled(
@@ -322,8 +309,48 @@ def near_duplicates(
         sets.select("_d1", "_d2", "_id", "_least", "_copies").join(counts, "_id", "left")
         .join(joined.withColumnRenamed("node", "_id"), "_id", "left").withColumn("_class", F.coalesce("root", "_id")))
     classes = known.groupBy("_class").agg(F.min("_least").alias("class_id"))
-    found = known.join(classes, "_class").select("_d1", "_d2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "_copies")
-    alone = sketched.where("_n = 0").select(
-        F.col("_key").alias(key), F.col("_key").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
-    return sketched.where("_n > 0").select("_key", "_d1", "_d2").join(found, ["_d1", "_d2"]).select(
-        F.col("_key").alias(key), "class_id", "n_links", F.col("_copies").alias("n_copies")).unionByName(alone)
+    found = known.join(classes, "_class").select(
+        "_d1", "_d2", "_class", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("_copies").alias("n_copies"))
+    alone = sketched.where("_n = 0").selectExpr(
+        "_key", "_k1", "_k2", "_n", "cast(null as long) as _class", "_key as class_id", "0L as n_links", "1L as n_copies")
+    return sketched.where("_n > 0").select("_key", "_k1", "_k2", "_n", "_d1", "_d2").join(found, ["_d1", "_d2"]).drop("_d1", "_d2").unionByName(alone)
+
+
+def near_duplicates(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4,
+    tolerance: float = 1e-6, block: int = 256,
+) -> DataFrame:
+    """One row per document: ``key``, class_id, n_links, n_copies.
+
+    Documents whose sets of ``words``-word shingles have a Jaccard similarity of at least ``threshold`` are linked, and
+    ``class_id`` is the smallest key among the documents that links connect. ``n_copies`` counts the documents with the
+    same set, itself included; ``n_links`` counts the different sets that its set is linked with, so copies are not
+    expanded into pairs. A pair exactly at 0.8 is missed by all 32 bands of 4 with a chance of 5e-8.
+
+    Words are separated by space and the control characters 9 to 13. A text of fewer words is one shingle; null texts and
+    texts without words link to nothing and are each a class of their own. Repeated rows are copies. A null key takes part;
+    a class without any key has a null ``class_id``. Other columns are left out; an empty table gives no rows.
+    """
+    found = classified(
+        docs, key=key, text=text, words=words, threshold=threshold, bands=bands, rows=rows, tolerance=tolerance, block=block)
+    return found.select(F.col("_key").alias(key), "class_id", "n_links", "n_copies")
+
+
+def one_of_each(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4,
+    tolerance: float = 1e-6, block: int = 256,
+) -> DataFrame:
+    """The documents, with all their columns, that stay when each class of ``near_duplicates`` keeps one.
+
+    The one with the smallest key stays, nulls first, then the smallest text key; of repeated rows one stays. Documents
+    without words are no duplicates of each other and all stay. Columns of ``docs`` must not begin with ``_``.
+    """
+    found = settled(classified(
+        docs, key=key, text=text, words=words, threshold=threshold, bands=bands, rows=rows, tolerance=tolerance, block=block))
+    this = F.struct("_key", "_k1", "_k2")
+    kept = found.where("_n > 0").groupBy("_class").agg(F.min(this).alias("_this")).select("_this", F.lit(True).alias("_once"))
+    kept = kept.unionByName(found.where("_n = 0").select(this.alias("_this"), F.lit(False).alias("_once")).distinct())
+    body = F.coalesce(F.col(text), F.lit(""))
+    keyed = docs.withColumn("_this", F.struct(F.col(key).cast("long").alias("_key"), *text_key(body)))
+    return keyed.join(kept, "_this").withColumn("_place", F.expr("row_number() over (partition by _this order by _once)")).where(
+        "_place = 1 or not _once").select(*(f"`{c}`" for c in docs.columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import linededup, mixing, neardup, quality
+from scorewarden.llm import decontamination, linededup, mixing, neardup, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,14 @@ def _(spark, folder):
 @query("op9_jaccard_join")
 def _(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_decontamination")
+def _(spark, folder):
+    return decontamination.contaminated(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+
+
+@query("op8_repeated_strings")
+def _(spark, folder):
+    return substrings.drop_repeats(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("_kept", 256).alias("kept_sha256"))
