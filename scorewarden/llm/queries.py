@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import decontamination, linededup, mixing, neardup, quality, substrings
+from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,8 @@ def _(spark, folder):
 def _(spark, folder):
     return substrings.drop_repeats(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+@query("op7_fingerprints")
+def _(spark, folder):
+    return fingerprints.version_fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
