@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, quality, substrings
+from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,12 @@ def _(spark, folder):
 @query("op7_fingerprints")
 def _(spark, folder):
     return fingerprints.version_fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op3_secrets")
+def _(spark, folder):
+    found = secrets.secret_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [secrets.of_kind("_spans", i).alias(f"n_{k}") for i, k in enumerate(secrets.STRONG)]
+    base = F.filter("_spans", lambda s: s["kind"] < len(secrets.STRONG))
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("_spans")).alias("spans"))
