@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, quality, secrets, substrings
+from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, personal, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,3 +88,12 @@ def _(spark, folder):
     base = F.filter("_spans", lambda s: s["kind"] < len(secrets.STRONG))
     return found.select(
         "doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("_spans")).alias("spans"))
+
+
+@query("op4_personal_data")
+def _(spark, folder):
+    found = personal.personal_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [secrets.of_kind("_base", i).alias(f"n_{k}") for i, k in enumerate(personal.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_list(F.col("_base"), personal.KINDS), 256).alias("base_sha256"),
+        secrets.span_list(F.col("_spans"), personal.KINDS).alias("spans"))
