@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import decontamination, fingerprints, linededup, mixing, neardup, personal, quality, secrets, substrings
+from scorewarden.llm import decontamination, fingerprints, linededup, lmscore, mixing, neardup, personal, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,9 @@ def _(spark, folder):
     return found.select(
         "doc_id", *counts, F.sha2(secrets.span_list(F.col("_base"), personal.KINDS), 256).alias("base_sha256"),
         secrets.span_list(F.col("_spans"), personal.KINDS).alias("spans"))
+
+
+@query("op6_lm_difference")
+def _(spark, folder):
+    good = learnable(table(spark, folder, "labels")).where("quality = 1")
+    return lmscore.cross_entropy_difference(table(spark, folder, "documents").select("doc_id", "text"), good.select("doc_id"))
