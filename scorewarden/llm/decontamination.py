@@ -137,7 +137,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The documents, with all their columns, that hold no item. Columns of ``docs`` must not begin with ``_``."""
+    """The documents, with all their columns, that hold no item. Columns may have any name."""
     found = small_side(leaked_items(docs, items, text=text, **options).select("_k1", "_k2").distinct())
-    keyed = docs.withColumns(dict(zip(["_k1", "_k2"], text_key(F.coalesce(F.col(text), F.lit(""))), strict=True)))
-    return keyed.join(found, ["_k1", "_k2"], "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    keyed = docs.select(F.struct("*").alias("_row"), *text_key(F.coalesce(F.col(text), F.lit(""))))
+    return keyed.join(found, ["_k1", "_k2"], "left_anti").select("_row.*")

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from scorewarden.llm.common import SPACE, settled, text_key
 from scorewarden.storage import use_checkpoint_folder
 
+#: Keys in at least one of so many documents are hot.
+HOT_SHARE = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ID = ["_a", "_b"]
+_COUNTS = ("_n_lines", "_n_dropped")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -96,7 +99,7 @@ def drop_frequent_lines(
     Keeps all columns of ``docs``; ``text`` loses the lines, and ``_n_lines`` and ``_n_dropped`` count them. A key is the
     line without white space at its ends and with A-Z in lower case; keys under ``least_chars`` code points stay. A key
     counts once per document, and a repeated row is a document of its own. A null text is one empty line and comes back
-    as an empty text. Columns of ``docs`` must not begin with ``_``; others may have any name. An empty table stays empty.
+    as an empty text. Other columns may have any name; ``_n_lines`` and ``_n_dropped`` are replaced. An empty table stays empty.
 
     Documents are told apart by a 128-bit key of their text: equal texts lose equal lines, so the lines of copies are
     looked up once.
@@ -109,12 +112,20 @@ def drop_frequent_lines(
     for i in range(batches):
         part = texts.where(F.pmod("_k1", F.lit(batches)) == i)
         runs.add(part.select(F.explode("_keys").alias("_key"), "_copies").select("_key.*", F.col("_copies").alias("documents")))
-    hits = (
-        texts.select("_k1", "_k2", F.explode("_keys").alias("_key")).select("_k1", "_k2", "_key.*")
-        .join(runs.frequent(), _ID).groupBy("_k1", "_k2").agg(F.collect_list(F.struct(*_ID)).alias("_bad")))
-    lines = lines_of(F.col(text))
-    joined = docs.withColumns(dict(zip(["_k1", "_k2"], text_key(F.col(text)), strict=True))).join(hits, ["_k1", "_k2"], "left")
-    good = F.when(F.col("_bad").isNull(), lines).otherwise(F.filter(lines, lambda line: (F.length(line_key(line)) < least_chars) | ~F.array_contains("_bad", _hashed(line))))
-    return joined.withColumn("_lines", lines).withColumn("_good", good).select(
-        *(F.array_join("_good", "\n").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns),
-        F.size("_lines").cast("long").alias("_n_lines"), (F.size("_lines") - F.size("_good")).cast("long").alias("_n_dropped"))
+    frequent = settled(runs.counts().where(F.col("documents") >= least_documents))
+    total = texts.agg(F.sum("_copies")).first()[0] or 0
+    # Keys of at least one document in HOT_SHARE: their number is at most HOT_SHARE times the mean number of keys of a
+    # document. They are marked in place, so that the join by key moves no hot key.
+    hot = frequent.where(F.col("documents") * HOT_SHARE >= total).select(*_ID, F.lit(True).alias("_hot"))
+    placed = texts.select("_k1", "_k2", F.explode("_keys").alias("_key")).select("_k1", "_k2", "_key.*").join(F.broadcast(hot), _ID, "left")
+    cold = placed.where("_hot is null").select("_k1", "_k2", *_ID).join(frequent.select(*_ID), _ID)
+    hits = placed.where("_hot").select("_k1", "_k2", *_ID).unionByName(cold.select("_k1", "_k2", *_ID)).groupBy("_k1", "_k2").agg(
+        F.collect_list(F.struct(*_ID)).alias("_bad"))
+    # the row travels as one value, so that no name of its columns can clash
+    joined = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"), *text_key(F.col(text))).join(hits, ["_k1", "_k2"], "left")
+    lines = lines_of(F.col("_text"))
+    good = F.when(F.col("_bad").isNull(), lines).otherwise(F.filter(
+        lines, lambda line: (F.length(line_key(line)) < least_chars) | ~F.array_contains("_bad", _hashed(line))))
+    return joined.select("_row", lines.alias("_lines"), good.alias("_good")).select(
+        *(F.array_join("_good", "\n").alias(text) if c == text else F.col("_row")[c].alias(c) for c in docs.columns if c not in _COUNTS),
+        F.size("_lines").cast("long").alias(_COUNTS[0]), (F.size("_lines") - F.size("_good")).cast("long").alias(_COUNTS[1]))

@@ -343,14 +343,15 @@ def one_of_each(
     """The documents, with all their columns, that stay when each class of ``near_duplicates`` keeps one.
 
     The one with the smallest key stays, nulls first, then the smallest text key; of repeated rows one stays. Documents
-    without words are no duplicates of each other and all stay. Columns of ``docs`` must not begin with ``_``.
+    without words are no duplicates of each other and all stay. Columns may have any name.
     """
     found = settled(classified(
         docs, key=key, text=text, words=words, threshold=threshold, bands=bands, rows=rows, tolerance=tolerance, block=block))
     this = F.struct("_key", "_k1", "_k2")
     kept = found.where("_n > 0").groupBy("_class").agg(F.min(this).alias("_this")).select("_this", F.lit(True).alias("_once"))
     kept = kept.unionByName(found.where("_n = 0").select(this.alias("_this"), F.lit(False).alias("_once")).distinct())
-    body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumn("_this", F.struct(F.col(key).cast("long").alias("_key"), *text_key(body)))
-    return keyed.join(kept, "_this").withColumn("_place", F.expr("row_number() over (partition by _this order by _once)")).where(
-        "_place = 1 or not _once").select(*(f"`{c}`" for c in docs.columns))
+    this = F.struct(F.col(key).cast("long").alias("_key"), *text_key(F.coalesce(F.col(text), F.lit(""))))
+    # the row travels as one value, so that no name of its columns can clash
+    placed = docs.select(F.struct("*").alias("_row"), this.alias("_this")).join(kept, "_this").withColumn(
+        "_place", F.expr("row_number() over (partition by _this order by _once)"))
+    return placed.where("_place = 1 or not _once").select("_row.*")
