@@ -132,6 +132,12 @@ def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that the links (a, b) touch, and for each the smallest id it is connected with."""
+    ids = np.unique(np.concatenate([a, b]))
+    return ids, forest(ids, np.searchsorted(ids, a), np.searchsorted(ids, b))
+
+
 def triangle(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs inside groups of consecutive rows: groups of one size at once, large ones alone."""
     for n in np.unique(sizes[(sizes > 1) & (sizes <= 24)]):
@@ -195,7 +201,9 @@ def candidate_groups(sets: DataFrame, threshold: float, tolerance: float, hashes
             moved = np.flatnonzero(low != np.arange(len(low)))
             left.append(ids[moved])
             right.append(ids[low[moved]])
-        return pd.DataFrame({"a": np.concatenate([*left, np.zeros(0, np.int64)]), "b": np.concatenate([*right, np.zeros(0, np.int64)])})
+        # one link per id and pack, whatever the number of bands that show it
+        a, b = joined(np.concatenate([*left, np.zeros(0, np.int64)]), np.concatenate([*right, np.zeros(0, np.int64)]))
+        return pd.DataFrame({"a": a, "b": b})[a != b]
 
     return components(in_packs(rows, 40_000, prune, "a long, b long"))
 
@@ -241,7 +249,8 @@ def verified(sets: DataFrame, threshold: float) -> DataFrame:
             links[s] = near.sum(1)
             i, j = np.nonzero(np.triu(near, 1))
             root[s] = forest(ids[s], i, j)
-        return pd.DataFrame({"_id": ids, "_links": links, "_root": root})
+        known, least = joined(ids, root)
+        return pd.DataFrame({"_id": ids, "_links": links, "_root": least[np.searchsorted(known, ids)]})
 
     return in_packs(sets, 4_000, check, "_id long, _links long, _root long")
 
@@ -303,11 +312,11 @@ def classified(docs: DataFrame, *, key: str, text: str, words: int, threshold: f
     wanted = units.select("_id", "_k1", "_k2").dropDuplicates(["_id"])
     bodies = texts.select(*text_key(F.col("_text")), "_text").groupBy("_k1", "_k2").agg(F.first("_text").alias("_text")).join(wanted, ["_k1", "_k2"])
     links = settled(verified(settled(units.select("_id", "_unit", "_side").join(_shingles(bodies, words), "_id")), threshold))
-    joined = components(links.where("_id != _root").select(F.col("_id").alias("a"), F.col("_root").alias("b")))
+    connected = components(links.where("_id != _root").select(F.col("_id").alias("a"), F.col("_root").alias("b")))
     counts = links.groupBy("_id").agg(F.sum("_links").alias("n_links"))
     known = (
         sets.select("_d1", "_d2", "_id", "_least", "_copies").join(counts, "_id", "left")
-        .join(joined.withColumnRenamed("node", "_id"), "_id", "left").withColumn("_class", F.coalesce("root", "_id")))
+        .join(connected.withColumnRenamed("node", "_id"), "_id", "left").withColumn("_class", F.coalesce("root", "_id")))
     classes = known.groupBy("_class").agg(F.min("_least").alias("class_id"))
     found = known.join(classes, "_class").select(
         "_d1", "_d2", "_class", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("_copies").alias("n_copies"))
