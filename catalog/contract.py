@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import APPLICATIONS, R, RAW, RAW_COLUMNS, SCORED, applications, query, raw_applications, scored, tidy, with_
 from catalog.clean import CLEANED, FILLED, SILVER, UNIQUE
 from scorewarden import vocabulary as v
-from scorewarden.operators import contract
+from scorewarden.operators import contract, drift
 from scorewarden.plans import layers
 
 _VERDICT = ["check", "column", "code", "severity", "is_valid"]
@@ -29,7 +29,7 @@ def null_ratios(spark, folder):
 
 def _check_sql(check: str, column: str, ok: str, code: str, severity: str) -> str:
     return (f"SELECT '{check}' AS \"check\", {column} AS \"column\", CASE WHEN NOT ({ok}) THEN '{code}' END AS code,"
-            f" CASE WHEN {ok} THEN 'INFO' ELSE '{severity}' END AS severity, ({ok}) AS is_valid")
+            f" CASE WHEN {ok} THEN 'INFO' ELSE '{severity}' END AS severity, {'TRUE' if severity == 'WARNING' else f'({ok})'} AS is_valid")
 
 
 _NULL_CHECK = _check_sql("null_ratio", '"column"', "NOT (null_count / CAST(n AS DOUBLE) > lim)", "DQ001", "ERROR") + " FROM null_counts"
@@ -81,7 +81,7 @@ def label_distribution(spark, folder):
 @query("label_check", with_(RAW, CLEANED, _LABELS, select="""SELECT 'labels' AS "check", '授信結果' AS "column",
   CASE WHEN n = 0 THEN 'LB002' WHEN positive < 0.05e0 * n OR positive > 0.95e0 * n THEN 'LB001' WHEN other > 0.05e0 * n THEN 'LB003' END AS code,
   CASE WHEN n = 0 THEN 'FATAL' WHEN positive < 0.05e0 * n OR positive > 0.95e0 * n THEN 'ERROR' WHEN other > 0.05e0 * n THEN 'WARNING' ELSE 'INFO' END AS severity,
-  n > 0 AND positive BETWEEN 0.05e0 * n AND 0.95e0 * n AND other <= 0.05e0 * n AS is_valid FROM labels_seen"""))
+  n > 0 AND positive BETWEEN 0.05e0 * n AND 0.95e0 * n AS is_valid FROM labels_seen"""))
 def label_check(spark, folder):
     return contract.check_labels(layers.cleaned_table(raw_applications(spark, folder)), v.OUTCOME, v.TARGET).select(_VERDICT)
 
@@ -165,7 +165,7 @@ def label_drift_by_month(spark, folder):
   UNION ALL SELECT 'place', place, COUNT(*) FROM applications GROUP BY 2)""", select=f"""
   SELECT "column", value AS top_value, {R("n / CAST(total AS DOUBLE)")} AS top_ratio, n <= 0.95e0 * total AS within_limit FROM (
     SELECT *, SUM(n) OVER (PARTITION BY "column") AS total,
-      ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY n DESC, COALESCE(value, '') DESC) AS rn FROM seen) WHERE rn = 1"""))
+      ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY n DESC, COALESCE(value, '')) AS rn FROM seen) WHERE rn = 1"""))
 def top_level_share(spark, folder):
     return tidy(contract.top_level_share(applications(spark, folder), ["segment", "place"]))
 
@@ -174,3 +174,38 @@ def top_level_share(spark, folder):
 def score_range_profile(spark, folder):
     rows = contract.profile(scored(spark, folder), ranges=["score"])
     return tidy(rows.select(F.lit("score").alias("column"), F.col("lows")["score"].alias("low"), F.col("highs")["score"].alias("high"), "n"))
+
+
+@query("schema_checks", f"""{_check_sql("required_columns", "CAST(NULL AS VARCHAR)", "FALSE", "SCH001", "FATAL").replace(" AS is_valid", " AS is_valid, COUNT(*) AS rows")} FROM orders
+  UNION ALL {_check_sql("unexpected_columns", "CAST(NULL AS VARCHAR)", "FALSE", "SCH003", "WARNING")}, COUNT(*) FROM orders
+  UNION ALL {_check_sql("column_types", "'o_orderkey'", "FALSE", "SCH002", "ERROR")}, COUNT(*) FROM orders
+  UNION ALL {_check_sql("column_types", "'o_totalprice'", "TRUE", "SCH002", "ERROR")}, COUNT(*) FROM orders""")
+def schema_checks(spark, folder):
+    """A table that lacks a required column, has an undeclared one and a mistyped one."""
+    from catalog.base import table
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string"), "o_totalprice", "o_custkey")
+    declared = {"o_orderkey": "integer", "o_totalprice": "double", "o_orderdate": "date"}
+    rows = orders.agg(F.count("*")).scalar()
+    checks = contract.required_columns(orders, list(declared)).unionByName(contract.unexpected_columns(orders, list(declared))).unionByName(
+        contract.column_types(orders, declared))
+    return checks.select(*_VERDICT, rows.alias("rows"))
+
+
+@query("limit_checks", with_(APPLICATIONS, """months AS (SELECT strftime(day, '%Y-%m') AS month, COUNT(*) AS n, AVG(label) AS p FROM applications GROUP BY 1),
+labelled AS (SELECT strftime(day, '%Y-%m') AS month, AVG(label) AS p FROM applications WHERE label IS NOT NULL GROUP BY 1),
+jumps AS (SELECT ABS(p - LAG(p) OVER (ORDER BY month)) AS c FROM labelled),
+tops AS (SELECT MAX(n) / CAST(SUM(n) AS DOUBLE) AS share FROM (SELECT segment, COUNT(*) AS n FROM applications GROUP BY 1)),
+known AS (SELECT DISTINCT place FROM applications WHERE dev AND place IS NOT NULL),
+late AS (SELECT COUNT(*) FILTER (WHERE place IS NOT NULL AND place NOT IN (SELECT place FROM known)) / CAST(COUNT(*) AS DOUBLE) AS share FROM applications WHERE NOT dev)""", select=f"""
+  {_check_sql("duplicates", "'day'", "(COUNT(*) - COUNT(DISTINCT day)) / CAST(COUNT(*) AS DOUBLE) <= 0.01e0", "DQ001", "WARNING")} FROM applications
+  UNION ALL {_check_sql("monthly_rows", "'day'", "COUNT(*) FILTER (WHERE n < 180) = 0", "DQ002", "WARNING")} FROM months
+  UNION ALL {_check_sql("top_level", "'segment'", "share <= 0.15e0", "DR001", "WARNING")} FROM tops
+  UNION ALL {_check_sql("label_drift", "'label'", "COUNT(*) FILTER (WHERE c > 0.02e0) = 0", "DR001", "WARNING")} FROM jumps
+  UNION ALL {_check_sql("unseen_levels", "'place'", "share <= 0.05e0", "DR002", "WARNING")} FROM late"""))
+def limit_checks(spark, folder):
+    """Limits of keys, months, values, label drift and unseen values as check rows."""
+    rows = applications(spark, folder)
+    return (
+        contract.check_duplicates(rows, ["day"], 0.01).unionByName(contract.check_monthly_rows(rows, "day", 180))
+        .unionByName(contract.check_top_levels(rows, ["segment"], 0.15)).unionByName(contract.check_label_drift(rows, "day", "label", 0.02))
+        .unionByName(contract.check_unseen(drift.unseen_summary(rows, ["place"], "dev"), 0.05))).select(_VERDICT)

@@ -194,19 +194,19 @@ def top_reject_features(spark, folder):
     return diagnosis.top_reject_features(diagnosis.reject_correlation(_featured(spark, folder), "label", _FEATURES, places=6), 3)
 
 
-@query("predictions_with_features", with_(SCORED, """held AS (SELECT l_orderkey, MAX(score) AS score FROM scored WHERE day >= DATE '2001-01-01' GROUP BY 1)""", select=f"""
+@query("predictions_with_features", with_(SCORED, """held AS (SELECT l_orderkey, MAX(score) AS score FROM scored GROUP BY 1)""", select=f"""
   SELECT h.l_orderkey, {R('h.score')} AS score, CAST(o.o_orderdate AS DATE) AS day, {R('o.o_totalprice')} AS score_gold FROM held h LEFT JOIN orders o ON h.l_orderkey = o.o_orderkey"""))
 def predictions_with_features(spark, folder):
     from catalog.base import table
-    held = scored(spark, folder).where(F.col("day") >= F.lit(dt.date(2001, 1, 1))).groupBy("l_orderkey").agg(F.max("score").alias("score"))
+    held = scored(spark, folder).groupBy("l_orderkey").agg(F.max("score").alias("score"))
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").alias("score"))
     return tidy(diagnosis.with_features(held, orders, "l_orderkey", "label"))
 
 
-@query("held_out_rows", with_(SCORED, """held AS (SELECT DISTINCT day FROM scored WHERE score >= 0.999e0)""", select="""
+@query("held_out_rows", with_(SCORED, """held AS (SELECT DISTINCT day FROM scored)""", select="""
   SELECT strftime(CAST(o_orderdate AS DATE), '%Y') AS year, COUNT(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) IN (SELECT day FROM held) GROUP BY 1"""))
 def held_out_rows(spark, folder):
     from catalog.base import table
     orders = table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
-    kept = diagnosis.held_out(orders, scored(spark, folder).where(F.col("score") >= 0.999), ["day"])
+    kept = diagnosis.held_out(orders, scored(spark, folder), ["day"])
     return kept.groupBy(F.date_format("day", "yyyy").alias("year")).agg(F.count("*").alias("n"))

@@ -143,7 +143,7 @@ def level_statistics(spark, folder):
 
 
 def _spread(x: str) -> str:
-    return f"""COUNT({x}) AS n, {R(f'AVG({x})')} AS mean, {R(f'STDDEV_POP({x})')} AS std, {R(f'MIN({x})')} AS min, {R(f'MAX({x})')} AS max,
+    return f"""COUNT({x}) AS n, CAST(0 AS BIGINT) AS n_nan, {R(f'AVG({x})')} AS mean, {R(f'STDDEV_POP({x})')} AS std, {R(f'MIN({x})')} AS min, {R(f'MAX({x})')} AS max,
       {R(f'quantile_cont({x}, 0.25)')} AS q25, {R(f'quantile_cont({x}, 0.5)')} AS median, {R(f'quantile_cont({x}, 0.75)')} AS q75"""
 
 

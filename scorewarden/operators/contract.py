@@ -48,15 +48,19 @@ def catalogue(spark: SparkSession) -> DataFrame:
 
 
 def _row(check: str, column, code: str, ok: Column, details: Mapping[str, Column], severity: str | None = None) -> Column:
-    """One check row as a struct: the code's severity and meaning where it fails, INFO where it holds."""
+    """One check row as a struct: the code's severity and meaning where it fails, INFO where it holds.
+
+    A warning keeps its code but leaves the row valid.
+    """
     bad, meaning, _ = CATALOGUE[code]
+    bad = severity or bad
     pairs = [x for k, v in details.items() for x in (F.lit(k), v.cast("string"))]
     return F.struct(
         F.lit(check).alias("check"),
         (column if isinstance(column, Column) else F.lit(column)).cast("string").alias("column"),
         F.when(~ok, code).alias("code"),
-        F.when(ok, "INFO").otherwise(severity or bad).alias("severity"),
-        ok.alias("is_valid"),
+        F.when(ok, "INFO").otherwise(bad).alias("severity"),
+        (F.lit(True) if bad == "WARNING" else ok).alias("is_valid"),
         F.when(ok, "ok").otherwise(meaning).alias("message"),
         F.create_map(*pairs).alias("details"),
     )
@@ -251,9 +255,9 @@ def top_level_share(df: DataFrame, columns: Sequence[str], limit: float = 0.95)
         .unpivot([], list(columns), "column", "value")
         .groupBy("column", "value").agg(F.count("*").alias("n"))
     )
-    # largest count first, then smallest value, as one maximum that map tasks can combine
+    # largest count first, then smallest value, as one minimum that map tasks can combine
     return counts.groupBy("column").agg(
-        F.max_by("value", F.struct("n", F.coalesce("value", F.lit("")))).alias("top_value"),
+        F.min_by("value", F.struct(-F.col("n"), F.coalesce("value", F.lit("")))).alias("top_value"),
         ratio(F.max("n"), F.sum("n")).alias("top_ratio"),
     ).withColumn("within_limit", F.col("top_ratio") <= limit)
 
@@ -267,11 +271,41 @@ def label_drift_by_month(df: DataFrame, day: str, label: str, limit: float = 0.1
         "within_limit", F.coalesce(F.abs("change") <= limit, F.lit(True)))
 
 
+def check_monthly_rows(df: DataFrame, day: str, minimum: int = 50) -> DataFrame:
+    """One row: how many months have fewer than ``minimum`` rows."""
+    months = monthly_rows(df, day, minimum).agg(F.count("*").alias("months"), F.count_if(~F.col("enough")).alias("short"))
+    return _rows(months, [_row("monthly_rows", day, "DQ002", F.col("short") == 0, {
+        "months": F.col("months"), "short_months": F.col("short"), "minimum": F.lit(minimum)}, "WARNING")])
+
+
+def check_top_levels(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> DataFrame:
+    """One row per column: whether its most frequent value stays within ``limit`` of the rows."""
+    return top_level_share(df, columns, limit).select(F.inline(F.array(_row(
+        "top_level", F.col("column"), "DR001", F.col("within_limit"),
+        {"value": F.col("top_value"), "ratio": F.col("top_ratio"), "limit": F.lit(limit)}))))
+
+
+def check_label_drift(df: DataFrame, day: str, label: str, limit: float = 0.10) -> DataFrame:
+    """One row: how many months differ from the month before by more than ``limit`` in their positive share."""
+    months = label_drift_by_month(df, day, label, limit).agg(
+        F.count("*").alias("months"), F.count_if(~F.col("within_limit")).alias("jumps"), F.max(F.abs("change")).alias("largest"))
+    return _rows(months, [_row("label_drift", label, "DR001", F.col("jumps") == 0, {
+        "months": F.col("months"), "jumps": F.col("jumps"), "largest_change": F.col("largest"), "limit": F.lit(limit)})])
+
+
+def check_unseen(unseen: DataFrame, limit: float = 0.05) -> DataFrame:
+    """One row per line of an unseen-values summary (feature, unseen_ratio): whether the share of rows stays within ``limit``."""
+    return unseen.select(F.inline(F.array(_row(
+        "unseen_levels", F.col("feature"), "DR002", F.coalesce(F.col("unseen_ratio") <= limit, F.lit(True)),
+        {"unseen_ratio": F.col("unseen_ratio"), "limit": F.lit(limit)}))))
+
+
 # ---- suites -------------------------------------------------------------------
 def bronze_suite(
     df: DataFrame, *, required: Sequence[str], ignored: Sequence[str], minimum_rows: int,
     null_limits: Mapping[str, float], null_default: float, allowed: Mapping[str, Sequence[str | None]],
-    outcome: str, target: Mapping[str, int],
+    outcome: str, target: Mapping[str, int], positive_range: tuple[float, float] = (0.05, 0.95), most_other: float = 0.05,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """All checks of raw records. Missing required columns end the suite at once.
 
@@ -283,10 +317,11 @@ def bronze_suite(
     statistics = df.agg(*_profile_aggregates(df.columns), *_label_aggregates(outcome, target))
     whole_table = _rows(statistics, [
         _row_count_check(minimum_rows), *_null_checks(null_limits, null_default, df.columns),
-        _label_check(outcome, 0.05, 0.95, 0.05)])
-    return (
+        _label_check(outcome, *positive_range, most_other)])
+    suite = (
         first.unionByName(unexpected_columns(df, required, ignored))
         .unionByName(whole_table).unionByName(check_levels(df, allowed)))
+    return suite.unionByName(column_types(df, types)) if types else suite
 
 
 def silver_suite(df: DataFrame, *, minimum_rows: int, encoded: Sequence[str], label: str) -> DataFrame:

@@ -238,10 +238,12 @@ def level_statistics(df: DataFrame, columns: Sequence[str], top: int = 5) -> Dat
 
 
 def score_distribution(df: DataFrame, score: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """(by, n, mean, std, median, min, max, q25, q75) with the population deviation."""
+    """(by, n, n_nan, mean, std, median, min, max, q25, q75) with the population deviation; NaN scores are only counted."""
+    nan = F.isnan(F.col(score).cast("double"))
+    number = F.when(~nan, F.col(score))
     moments = df.groupBy(*by).agg(
-        F.count(score).alias("n"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"),
-        F.min(score).alias("min"), F.max(score).alias("max"))
+        F.count(number).alias("n"), F.count_if(nan).alias("n_nan"), F.avg(number).alias("mean"), F.stddev_pop(number).alias("std"),
+        F.min(number).alias("min"), F.max(number).alias("max"))
     points = _quantiles(df, score, [0.25, 0.5, 0.75], by, exact).selectExpr(
         *(f"`{c}`" for c in by), "quantiles[0] as q25", "quantiles[1] as median", "quantiles[2] as q75")
     return attach(moments, points, by)

@@ -83,8 +83,8 @@ def apply_frequency(df: DataFrame, fitted: DataFrame, columns: Sequence[str], su
     for c in columns:
         if c not in known or c not in df.columns:
             continue
-        table = fitted.where(F.col("column") == c).select(F.col("value").alias(c), F.col("freq").alias("_freq"))
-        df = left_lookup(df, table, [c]).withColumn(f"{c}{suffix}", F.coalesce("_freq", F.lit(known[c]))).drop("_freq")
+        table = fitted.where(F.col("column") == c).select(F.col("value").alias(c), F.col("freq").alias("_freq"), F.col("freq").alias("_weight"))
+        df = left_lookup(df, table, [c], weight="_weight").withColumn(f"{c}{suffix}", F.coalesce("_freq", F.lit(known[c]))).drop("_freq")
     return df
 
 

@@ -68,6 +68,8 @@ def classify_features(df: DataFrame, name: str, classes: Sequence[tuple[Sequence
     """First class, in order of priority, one of whose texts occurs in the feature's name."""
     chain = F.lit("other")
     for texts, label in reversed(list(classes)):
-        hit = F.col(name).rlike("|".join(texts))
+        hit = F.lit(False)
+        for text in texts:
+            hit = hit | F.contains(F.col(name), F.lit(text))
         chain = F.when(hit, label).otherwise(chain)
     return df.withColumn(out, chain)

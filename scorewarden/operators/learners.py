@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from scorewarden.operators.features import assembled
 from scorewarden.operators.metrics import class_balance, classification_metrics
-from scorewarden.operators.ordering import add_bucket, bucket_count, bucket_edges, smallest_by_hash
+from scorewarden.operators.ordering import bucket_count, numbered, smallest_by_hash
 from scorewarden.operators.splits import month_folds
 from scorewarden.storage import settled
 
 SEED = 42
+#: Consecutive rows along a direction that one task looks at together.
+NEAR_BLOCK = 10_000
 FITS_AT_ONCE = 4
 
 
@@ -62,10 +64,12 @@ def oversampled(
     """The rows plus synthetic rows of the minority class, so that both classes are equally many.
 
     A synthetic row lies between a minority row and one of its k nearest minority
-    rows. Neighbours are looked for among the rows next to it along a few random
-    directions, sorted in buckets of bounded size, so the work grows with rows x
-    projections x k and no pair of distant rows is ever formed. Result columns:
-    keys (null on synthetic rows), features, label, ``is_synthetic``.
+    rows. Neighbours are the k rows before and after it along a few random
+    directions, so the work grows with rows x projections x k and no pair of
+    distant rows is ever formed. The result depends on the rows alone, not on how
+    they are spread over tasks. A single minority row has no neighbour and is
+    repeated. Result columns: keys (null on synthetic rows), features, label,
+    ``is_synthetic``.
     """
     balance = class_balance(df, label).first()
     minority = 1 if balance["positives"] < balance["negatives"] else 0
@@ -82,14 +86,13 @@ def oversampled(
         draw = Random(f"{seed} {direction}")
         weights = F.array(*(F.lit(draw.uniform(-1, 1)) for _ in features))
         spot = F.aggregate(F.zip_with("_x", weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        placed = rows.withColumn("_spot", spot)
-        cut = add_bucket(placed, "_spot", bucket_edges(placed, "_spot"))
-        # equal rows share a bucket however many there are, so big buckets are split by hash
-        sizes = cut.groupBy("_bucket").agg(F.ceil(F.count("*") / 50_000).alias("_parts"))  # one row per bucket
-        spread = cut.join(F.broadcast(sizes), "_bucket").withColumn("_part", F.pmod("_h", "_parts"))
-        near = (f"collect_list(struct(_id, _x)) over (partition by _bucket, _part order by _spot, _h"
+        ranked = numbered(rows.withColumn("_spot", spot), "_spot", ["_h", "_id"])
+        # rows near a border take part in the block on its other side too
+        blocks = F.array_distinct(F.transform(F.array(F.lit(-k), F.lit(0), F.lit(k)), lambda d: F.floor((F.col("_rank") + d) / NEAR_BLOCK)))
+        near = (f"collect_list(struct(_id, _x)) over (partition by _block order by _rank"
                 f" rows between {k} preceding and {k} following)")
-        return spread.selectExpr("_id", "_x", "_h", f"{near} as _near")
+        return ranked.withColumn("_block", F.explode(blocks)).selectExpr("_id", "_x", "_h", "_rank", "_block", f"{near} as _near").where(
+            F.floor(F.col("_rank") / NEAR_BLOCK) == F.col("_block")).select("_id", "_x", "_h", "_near")
 
     seen = reduce(DataFrame.unionByName, (beside(d) for d in range(projections)))
     distance = "aggregate(zip_with(p._x, _x, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)"
@@ -98,7 +101,7 @@ def oversampled(
             F.first("_x").alias("_x"), F.first("_h").alias("_h"), F.flatten(F.collect_list("_near")).alias("_near"))
         .selectExpr("_id", "_x", "_h", f"slice(array_sort(transform(filter(array_distinct(_near), p -> p._id != _id),"
                     f" p -> struct({distance} as d, p._x as x))), 1, {k}) as _near")
-        .where("size(_near) > 0")
+        .selectExpr("_id", "_x", "_h", "if(size(_near) > 0, _near, array(struct(0D as d, _x as x))) as _near")
     )
     times, extra = divmod(many - few, few)
     plan = nearest.select("*", F.lit(times).alias("_times"))
@@ -151,12 +154,18 @@ def fit(
     df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *,
     strategy: str = "scale_weight", keys: Sequence[str] = (), stop_share: float = 0.15, seed: int = SEED,
 ) -> Model:
-    """Fit one model. Boosting stops early on a part of the training rows, never on later ones."""
-    train = weighted(resampled(df, label, strategy, keys, features), label, strategy)
-    ready = assembled(train.select(*features, F.col(label).alias("label"), "weight", *keys), features, "label")
-    stop = None
-    if kind == "boosted_trees" and stop_share and keys and strategy != "smote":
-        stop, ready = "_stop", ready.withColumn("_stop", hash_share(keys, seed) < stop_share)
+    """Fit one model. Boosting stops early on a part of the training rows, never on later ones.
+
+    That part is set aside by its keys before rows are made or left out, and keeps its true mix of classes.
+    """
+    stop = "_stop" if kind == "boosted_trees" and stop_share and keys else None
+    aside = hash_share(keys, seed) < stop_share if stop else F.lit(False)
+    train = weighted(resampled(df.where(~aside), label, strategy, keys, features), label, strategy).withColumn("_stop", F.lit(False))
+    if stop:
+        train = train.unionByName(
+            df.where(aside).withColumns({"weight": F.lit(1.0), "_stop": F.lit(True)}).select(*(
+                F.col(c).cast(t).alias(c) for c, t in train.dtypes)))
+    ready = assembled(train.select(*features, F.col(label).alias("label"), "weight", "_stop", *keys), features, "label")
     # the learners keep their own compact copy of the rows; only a penalty needs to know how many there are
     rows = train.where(F.col(label).isNotNull()).count() if kind == "logistic_regression" else 0
     return learner(kind, params, rows, early_stop=stop, seed=seed).fit(ready)
@@ -196,27 +205,45 @@ class Calibrated:
         return mapped.select(*kept, value.alias(out))
 
 
-def calibration_cells(df: DataFrame, label: str, score: str, places: int = 4) -> DataFrame:
-    """Mean label and row count per rounded score: at most 10^places + 1 rows for a calibrator to see."""
-    return df.groupBy(F.round(score, places).alias("_raw")).agg(
+def calibration_cells(df: DataFrame, label: str, score: str, places: int | None = None) -> DataFrame:
+    """Mean label and row count per distinct score; with ``places``, per rounded score, at most 10^places + 1 rows."""
+    return df.groupBy((F.col(score) if places is None else F.round(score, places)).alias("_raw")).agg(
         F.avg(F.col(label).cast("double")).alias("label"), F.count("*").cast("double").alias("weight"))
 
 
 def fit_calibrated(
     df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *, keys: Sequence[str],
-    method: str = "isotonic", folds: int = 5, strategy: str = "scale_weight", at_once: int = FITS_AT_ONCE,
+    method: str = "isotonic", folds: int = 5, strategy: str = "scale_weight", at_once: int = FITS_AT_ONCE, places: int | None = None,
 ) -> Calibrated:
     """Fit on all rows; calibrate on scores that each row got from a model that did not see it."""
+    return fit_methods(
+        df, features, label, kind, params, keys=keys, methods=[method], folds=folds, strategy=strategy, at_once=at_once,
+        places=places)[method]
+
+
+def fit_methods(
+    df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *, keys: Sequence[str],
+    methods: Sequence[str], folds: int = 5, strategy: str = "scale_weight", at_once: int = FITS_AT_ONCE, places: int | None = None,
+) -> dict[str, Calibrated]:
+    """One model per calibration method, all from the same fits: one on all rows and, if any method needs it, one per fold.
+
+    Out-of-fold scores are computed once. A map sees every distinct score; ``places`` rounds them first, which bounds the
+    rows that the isotonic map sees.
+    """
     labelled = df.where(F.col(label).isNotNull())
     fit_on = lambda rows: fit(rows, features, label, kind, params, strategy=strategy, keys=keys)
-    if method == "none":
-        return Calibrated(fit_on(labelled), None, features)
     fold = F.pmod(F.xxhash64(*keys), F.lit(folds))
-    parts = [labelled.where(fold != i) for i in range(folds)]
+    parts = [labelled.where(fold != i) for i in range(folds if set(methods) - {"none"} else 0)]
     *models, final = fit_all([*(lambda p=p: fit_on(p) for p in parts), lambda: fit_on(labelled)], at_once)
+    if not models:
+        return {m: Calibrated(final, None, features) for m in methods}
     held_out = reduce(DataFrame.unionByName, (
         scored(labelled.where(fold == i), m, features, "_raw").select("_raw", label) for i, m in enumerate(models)))
-    cells = settled(assembled(calibration_cells(held_out, label, "_raw"), ["_raw"], "label", "features"))
+    cells = settled(assembled(calibration_cells(held_out, label, "_raw", places), ["_raw"], "label", "features"))
+    return {m: Calibrated(final, None if m == "none" else _score_map(cells, m), features) for m in methods}
+
+
+def _score_map(cells: DataFrame, method: str) -> Model:
     if method == "isotonic":
         mapping = IsotonicRegression(weightCol="weight", predictionCol="_cal").fit(cells)
     else:  # two weighted rows per cell turn the mean label back into labels
@@ -224,7 +251,7 @@ def fit_calibrated(
             F.struct(F.lit(1.0).alias("y"), (F.col("weight") * F.col("label")).alias("w")),
             F.struct(F.lit(0.0).alias("y"), (F.col("weight") * (1 - F.col("label"))).alias("w"))))
         mapping = LogisticRegression(labelCol="y", weightCol="w").fit(cells.select("features", both).where("w > 0"))
-    return Calibrated(final, mapping, features)
+    return mapping
 
 
 # ---- rolling evaluation -----------------------------------------------------------

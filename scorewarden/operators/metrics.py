@@ -25,9 +25,9 @@ METRICS = [
 def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: ``pos`` and ``neg`` with their ``_before`` and ``_all`` sums.
 
-    Rows without label or score do not take part.
+    Rows without label or score, NaN included, do not take part.
     """
-    kept = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    kept = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     totals = {"pos": (F.col(label) == 1).cast("bigint"), "neg": (F.col(label) != 1).cast("bigint")}
     return running_totals(kept, score, totals, by)
 

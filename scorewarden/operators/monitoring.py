@@ -62,7 +62,7 @@ def monitor_periods(
     has no label of one of the classes.
     """
     row = zone_shift(scored, score, baseline, lower, upper, by, rules["warning_zone_shift"])
-    row = attach(row, score_distribution(scored, score, by, exact).drop("n").withColumnsRenamed(
+    row = attach(row, score_distribution(scored, score, by, exact).drop("n", "n_nan").withColumnsRenamed(
         {c: f"score_{c}" for c in ("mean", "std", "median", "min", "max", "q25", "q75")}), by)
     row = attach(row, label_coverage(scored, label, by).drop("total"), by)
     if by:

@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 
 from scorewarden.storage import small_side
 
-FEWEST_BUCKETS, MOST_BUCKETS = 64, 4096
+FEWEST_BUCKETS = 64
 EDGE_SAMPLE = 0.05
 
 
 def bucket_count(df: DataFrame) -> int:
-    """One bucket per shuffle task, so that a bucket is about one task's work."""
+    """One bucket per shuffle task, so that a bucket is about one task's work; the setting follows the data."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, tasks))
+    return max(FEWEST_BUCKETS, tasks)
 
 
 def bucket_edges(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
@@ -57,6 +57,32 @@ def _group_column(by: Sequence[str]) -> Column:
     return F.struct(*by) if by else F.lit(0)
 
 
+def numbered(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
+    """The rows with ``_rank`` from 0 in the order of (value, ties), which must tell rows apart; values are not null.
+
+    Each bucket is numbered on its own and shifted by the rows before it. A value that fills whole buckets gets a bucket
+    of its own, which is cut by the first tie column, a 64-bit hash.
+    """
+    buckets = bucket_count(df)
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = df.select(value).sample(EDGE_SAMPLE, seed=1).approxQuantile(value, shares, 0.25 / buckets) or [0.0]
+    heavy = {a for a, b in zip(cuts, cuts[1:]) if a == b}
+    edges = sorted({*cuts, *heavy, *(math.nextafter(v, math.inf) for v in heavy)})
+    place = F.when(F.col(value).isin(*heavy), F.shiftright(ties[0], 56) + 128).otherwise(0) if heavy else F.lit(0)
+    placed = add_bucket(df, value, edges, "_bucket").withColumn("_part", place.cast("int"))
+    before = "rows between unbounded preceding and 1 preceding"
+    offsets = placed.groupBy("_bucket", "_part").count().selectExpr(
+        "_bucket", "_part", f"coalesce(sum(count) over (order by _bucket, _part {before}), 0) as _offset")  # one row per bucket part
+    order = ", ".join(f"`{c}`" for c in (value, *ties))
+    inside = f"row_number() over (partition by _bucket, _part order by {order}) - 1"
+    return placed.join(offsets, ["_bucket", "_part"]).selectExpr(*_quoted(df.columns), f"{inside} + _offset as _rank")
+
+
+def _has_rank(value: str) -> Column:
+    """Neither null nor NaN: those have no place among the values."""
+    return F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+
+
 def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
@@ -75,7 +101,7 @@ def running_totals(
     ``n_before`` (at smaller values of the group) and ``n_all`` (in the group).
     """
     names = list(totals)
-    kept = df.where(F.col(value).isNotNull()).withColumn("_group", _group_column(by))
+    kept = df.where(_has_rank(value)).withColumn("_group", _group_column(by))
     kept = kept.select("_group", F.col(value).cast("double").alias(value), *(c.alias(n) for n, c in totals.items()))
     cells = (
         add_bucket(kept, value, bucket_edges(kept, value, buckets), "_bucket")
@@ -124,7 +150,7 @@ def values_at_ranks(
     Bucket counts alone tell which buckets hold the ranks. Only their rows, about
     (ranks / buckets) of the table, are shuffled and sorted.
     """
-    kept = df.where(F.col(value).isNotNull()).select(
+    kept = df.where(_has_rank(value)).select(
         _group_column(by).alias("_group"), F.col(value).cast("double").alias("_value")
     )
     tagged = add_bucket(kept, "_value", bucket_edges(kept, "_value", buckets))
@@ -186,8 +212,9 @@ def quick_quantiles(
     df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = (), accuracy: int = 10_000
 ) -> DataFrame:
     """Same shape as ``exact_quantiles`` in one pass, with a rank error of n / accuracy."""
-    wanted = F.percentile_approx(value, [float(s) for s in shares], accuracy)
-    return df.groupBy(*by).agg(F.count(value).alias("n"), wanted.cast("array<double>").alias("quantiles"))
+    df = df.withColumn("_ranked", F.when(_has_rank(value), F.col(value)))
+    wanted = F.percentile_approx("_ranked", [float(s) for s in shares], accuracy)
+    return df.groupBy(*by).agg(F.count("_ranked").alias("n"), wanted.cast("array<double>").alias("quantiles"))
 
 
 def smallest_by_hash(df: DataFrame, key: Sequence[str], take: str, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scorewarden.operators.cleaning import latest_per_key
 from scorewarden.operators.metrics import gini
+from scorewarden.storage import settled
 
 
 def current_records(history: DataFrame, key: str = "model_version", at: str = "created_at", tie: Sequence[str] = ()) -> DataFrame:
@@ -53,9 +53,18 @@ def latest_version(df: DataFrame, key: str = "model_version") -> DataFrame:
 
 
 def ranked_records(df: DataFrame, auc: str = "auc_test", key: str = "model_version") -> DataFrame:
-    """Records with their Gini, newest name first."""
-    return df.withColumn("gini", gini(F.col(auc))).withColumn("place", F.row_number().over(  # one row per model
-        W.orderBy(F.desc(key))))
+    """Records with their Gini and their place, newest name first, names being unique.
+
+    Ranges of names are numbered on their own and shifted by the rows before them, so that no task ranks all records.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, F.desc(key)).sortWithinPartitions(F.desc(key)).withColumn("_at", F.monotonically_increasing_id())
+    rows = settled(rows.withColumn("gini", gini(F.col(auc))).withColumn("_part", F.shiftright("_at", 33)))
+    before = rows.groupBy("_part").count().selectExpr(
+        "_part", "coalesce(sum(count) over (order by _part rows between unbounded preceding and 1 preceding), 0) as _before")
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    # one row per range
+    return rows.join(F.broadcast(before), "_part").withColumn("place", place.cast("int")).drop("_part", "_at", "_before")
 
 
 def zones_wide(zones: DataFrame, by: Sequence[str], names: dict[int, str]) -> DataFrame:

@@ -77,27 +77,46 @@ def three_way_split(
     )
 
 
+def _exact_levels(df: DataFrame, key: str) -> list[Column]:
+    """Numbers that a double holds exactly and whose order, one after the other, is that of the key.
+
+    Whole numbers go by their upper and lower 32 bits; other keys, such as text, by two seeded hashes, an order as good
+    as any to decide ties. Null keys come first.
+    """
+    kind = dict(df.dtypes)[key]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        value = F.col(key).cast("bigint")
+        parts = [F.shiftright(value, 32), value.bitwiseAND((1 << 32) - 1)]
+    else:
+        parts = [F.shiftright(F.xxhash64(F.lit(seed), F.col(key).cast("string")), 11) for seed in (1, 2)]
+    return [F.when(F.col(key).isNull(), F.lit(-1.0 * (1 << 60))).otherwise(p.cast("double")) for p in parts]
+
+
 def two_thirds_split(
     df: DataFrame, day: str, tie: str, out: str = "split", share: tuple[int, int] = (2, 3)
 ) -> DataFrame:
     """First floor(2n/3) rows in (day, tie) order are policy, the rest holdout.
 
-    No row is numbered. The day at the cut is found by rank, then the last tie
-    value on the near side within that day; the two numbers are literals of the
-    final projection. ``tie`` must be numeric and unique within a day.
+    All rows count; those without a day come last. No row is numbered: the day at the cut is found by rank, then the
+    last tie value on the near side within that day; these few numbers are literals of the final projection. ``tie``
+    must be unique within a day; text keys are ordered by a hash.
     """
-    order = F.unix_date(F.col(day).cast("date")).cast("double")
+    last = 1e9  # after any day
+    levels = [F.coalesce(F.unix_date(F.col(day).cast("date")).cast("double"), F.lit(last)), *_exact_levels(df, tie)]
+    names = [f"_level{i}" for i in range(len(levels))]
     part, whole = share
-    placed = df.select(order.alias("_day"), F.col(tie).cast("double").alias("_tie"))
-    at_cut = values_at_ranks(placed, "_day", f"array(cast(floor(n * {part} / {whole}) as bigint) - 1)").first()
-    if not at_cut or not at_cut["picks"]:
-        return df.withColumn(out, F.lit("holdout"))
-    pick = at_cut["picks"][0]
-    same_day = placed.where(F.col("_day") == pick["value"])
-    tie_cut = values_at_ranks(same_day, "_tie", f"array({pick['rank'] - pick['start']}L)").first()["picks"][0]["value"]
-    near = (order < pick["value"]) | ((order == pick["value"]) & (F.col(tie).cast("double") <= tie_cut))
-    return df.withColumn(out, F.when(near, "policy").otherwise("holdout"))
-
+    placed = df.select(*(level.alias(n) for level, n in zip(levels, names, strict=True)))
+    rank, near, equal = f"cast(floor(n * {part} / {whole}) as bigint) - 1", F.lit(False), F.lit(True)
+    for level, name in zip(levels, names, strict=True):
+        found = values_at_ranks(placed, name, f"array({rank})").first()
+        if not found or not found["picks"]:
+            return df.withColumn(out, F.lit("holdout"))
+        pick = found["picks"][0]
+        near = near | (equal & (level < pick["value"]))
+        equal = equal & (level == pick["value"])
+        placed = placed.where(F.col(name) == pick["value"])
+        rank = f"{pick['rank'] - pick['start']}L"
+    return df.withColumn(out, F.when(near | equal, "policy").otherwise("holdout"))
 
 def month_folds(
     df: DataFrame, day: str, by: Sequence[str] = (), first_train: int = 2, n_splits: int = 2

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewarden import vocabulary as v
 from scorewarden.operators import metrics, routing, selection
-from scorewarden.plans.training import Setup, choose_thresholds, evaluate_candidates, retrain, run_training
+from scorewarden.plans.training import Setup, choose_thresholds, evaluate_candidates, retrain_methods, run_training
 from scorewarden.storage import settled
 
 METRIC_COLUMNS = [
@@ -82,11 +82,10 @@ def decision_tuning_challenger(
     rows, grids = [], []
     labelled = development.where(F.col(s.label).isNotNull())
     for config in chosen:
-        for method in methods or v.DECISION_CALIBRATIONS:
-            model = retrain(development, s, config, method, chosen)
+        for method, model in retrain_methods(development, s, config, methods or v.DECISION_CALIBRATIONS, chosen).items():
             tag = lambda df: df.select(F.lit(config).alias("config_id"), F.lit(method).alias("calibration_method"), "*")  # noqa: B023, E731
-            grid, pair = choose_thresholds(model.score(policy), s)
-            held = model.score(holdout)
+            grid, pair = choose_thresholds(settled(model.score(policy).select(s.label, "pred_prob")), s)
+            held = settled(model.score(holdout).select(s.label, "pred_prob"))
             zones = routing.routing_kpis(held, s.label, "pred_prob", pair["lower_threshold"], pair["upper_threshold"])
             test = metrics.classification_metrics(held, s.label, "pred_prob").select(
                 F.col("auc").alias("holdout_auc"), F.col("f1_reject").alias("holdout_f1_reject"),

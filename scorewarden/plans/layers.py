@@ -15,7 +15,7 @@ from scorewarden import vocabulary as v
 from scorewarden.operators import cleaning, contract, drift, encoders, features, splits
 from scorewarden.operators.audit import audit_row
 from scorewarden.sources.readers import read_raw_csv, read_table
-from scorewarden.sources.writers import append_rows, write_by_month, write_encoders, write_table
+from scorewarden.sources.writers import write_by_month, write_encoders, write_report, write_table
 from scorewarden.storage import settled
 
 STAMPS = ["bronze_load_timestamp", "silver_process_timestamp", "gold_process_timestamp"]
@@ -73,7 +73,17 @@ def bronze_checks(bronze: DataFrame) -> DataFrame:
     return contract.bronze_suite(
         bronze, required=v.REQUIRED_COLUMNS, ignored=[*STAMPS, v.LEAK], minimum_rows=v.MIN_TOTAL_ROWS,
         null_limits=v.NULL_RATIO_LIMITS, null_default=v.NULL_RATIO_DEFAULT, allowed=v.ALLOWED_LEVELS,
-        outcome=v.OUTCOME, target=v.TARGET)
+        outcome=v.OUTCOME, target=v.TARGET, positive_range=v.POSITIVE_RATIO_RANGE, most_other=v.MAX_OTHER_LABEL_RATIO)
+
+
+def limit_checks(tagged: DataFrame, unseen: DataFrame) -> DataFrame:
+    """Check rows for the declared limits of keys, months, values and labels; warnings all."""
+    return (
+        contract.check_duplicates(tagged, [v.CASE], v.MAX_DUPLICATE_RATIO)
+        .unionByName(contract.check_monthly_rows(tagged, v.DAY, v.MIN_MONTHLY_ROWS))
+        .unionByName(contract.check_top_levels(tagged, v.HIGH_CARDINALITY, v.MAX_SINGLE_LEVEL_RATIO))
+        .unionByName(contract.check_label_drift(tagged, v.DAY, v.LABEL, v.MAX_LABEL_DRIFT))
+        .unionByName(contract.check_unseen(unseen, v.MAX_UNSEEN_RATIO)))
 
 
 def silver_checks(silver: DataFrame) -> DataFrame:
@@ -90,9 +100,10 @@ def run_silver(
     status, problems = "PASS", []
     if validate:
         checks = settled(bronze_checks(cleaning.without(bronze, v.LEAK)))
-        append_rows(checks.withColumn("run_id", F.lit(run_id)), f"{reports}/validation")
+        write_report(checks, f"{reports}/validation", run_id, "bronze")
         status = contract.suite_status(checks).first()["status"]
-        problems = [f"{r['check']} {r['column']}" for r in checks.where("not is_valid").limit(1000).collect()]
+        # one row per check and column of the contract
+        problems = [f"{r['check']} {r['column']}" for r in checks.where("not is_valid").orderBy("check", "column").collect()]
         if status == "FAIL" and fail_on_error:
             raise ValueError(f"input breaks the contract: {problems}")
     write_table(silver_table(bronze), out)
@@ -100,12 +111,12 @@ def run_silver(
     before, after = bronze.count(), read_table(spark, out).count()
     complete = cleaning.keyed(cleaned_table(bronze), [v.CASE, v.DAY, v.OUTCOME]).count()
     if validate:
-        append_rows(silver_checks(read_table(spark, out)).withColumn("run_id", F.lit(run_id)), f"{reports}/validation")
-    append_rows(audit_row(
+        write_report(silver_checks(read_table(spark, out)), f"{reports}/validation", run_id, "silver")
+    write_report(audit_row(
         spark, run_id=run_id, stage="silver", action="run_silver", input_path=bronze_path, output_path=out,
         rows_before=before, rows_after=after,
         drop_reasons={"missing_key_date_label": before - complete, "duplicate": complete - after},
-        warnings=problems if status != "PASS" else []), f"{reports}/audit")
+        warnings=problems if status != "PASS" else []), f"{reports}/audit", run_id, "silver")
     return status
 
 
@@ -164,20 +175,21 @@ def run_gold(
         spark, data_start, oot_start, v.TRAIN_MONTHS, v.MONITOR_MONTHS, v.STEP_MONTHS), paths["windows"])
     write_encoders(fitted, paths["encoders"])
     tagged = split_table(read_table(spark, silver_path), oot_start).withColumn("_dev", F.col("split") == "development")
-    stamp = lambda df: df.withColumn("run_id", F.lit(run_id))
+    reported = lambda df, name: write_report(df, f"{paths['reports']}/{name}", run_id, "gold")
     report = settled(drift.drift_report(tagged, "_dev", v.HIGH_CARDINALITY, v.NUMERIC_TO_SCALE, v.LABEL))
-    append_rows(stamp(report), f"{paths['reports']}/drift")
-    append_rows(stamp(drift.unseen_summary(tagged, v.HIGH_CARDINALITY, "_dev")), f"{paths['reports']}/unseen")
+    reported(report, "drift")
+    unseen = settled(drift.unseen_summary(tagged, v.HIGH_CARDINALITY, "_dev"))
+    reported(unseen, "unseen")
     development = read_table(spark, paths["development"])
     scaled = [c for c in development.columns if c.endswith("_scaled")]
-    append_rows(stamp(drift.number_statistics(development, scaled)), f"{paths['reports']}/number_statistics")
-    append_rows(stamp(drift.level_statistics(development, v.ORDINAL_FEATURES)), f"{paths['reports']}/level_statistics")
+    reported(drift.number_statistics(development, scaled), "number_statistics")
+    reported(drift.level_statistics(development, v.ORDINAL_FEATURES), "level_statistics")
     written = read_table(spark, paths["features"])
-    append_rows(stamp(contract.gold_suite(
-        written, split="split", features=[*v.ORDINAL_FEATURES, *v.BINARY_FEATURES])), f"{paths['reports']}/validation")
+    reported(contract.gold_suite(written, split="split", features=[*v.ORDINAL_FEATURES, *v.BINARY_FEATURES]).unionByName(
+        limit_checks(tagged, unseen)), "validation")
     critical = drift.drift_summary(report).first()["critical_drift_count"]
-    append_rows(audit_row(
+    reported(audit_row(
         spark, run_id=run_id, stage="gold", action="run_gold", input_path=silver_path, output_path=root,
         rows_before=silver.count(), rows_after=written.count(),  # both from file footers
-        warnings=[f"critical drift in {critical} columns"] if critical else []), f"{paths['reports']}/audit")
+        warnings=[f"critical drift in {critical} columns"] if critical else []), "audit")
     return paths

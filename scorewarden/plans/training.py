@@ -23,7 +23,7 @@ LEGACY_SPREAD = ["cv_auc", "monitor_auc", "monitor_f1_reject"]
 class Setup:
     """What a training run needs to know about its table.
 
-    ``tie`` is numeric and unique within a day; ``month`` is the partition column, if there is one.
+    ``tie`` is unique within a day, a number or text; ``month`` is the partition column, if there is one.
     """
 
     day: str
@@ -61,6 +61,14 @@ def retrain(development: DataFrame, s: Setup, name: str, method: str = "isotonic
         at_once=s.at_once)
 
 
+def retrain_methods(development: DataFrame, s: Setup, name: str, methods: Sequence[str], candidates=None) -> dict[str, learners.Calibrated]:
+    """The model under every calibration method, from one set of fits."""
+    kind, params = (candidates or s.candidates)[name]
+    return learners.fit_methods(
+        development, s.features, s.label, kind, params, keys=s.keys, methods=methods, folds=s.folds, strategy=s.strategy,
+        at_once=s.at_once)
+
+
 def choose_thresholds(policy: DataFrame, s: Setup) -> tuple[DataFrame, dict]:
     """The scored threshold grid and the chosen pair (one row)."""
     grid = settled(routing.score_policies(
@@ -82,11 +90,10 @@ def tune(development: DataFrame, policy: DataFrame, windows: DataFrame, s: Setup
         (F.stddev_pop("monitor_auc") + F.stddev_pop("monitor_f1_reject") + F.stddev_pop("monitor_ks")).alias("_spread"),
     ).withColumn("stability_score", F.col("_spread") / 3).drop("_spread")
     scores = [
-        retrain(development, s, c, m, chosen).score(policy).select(
-            F.lit(c).alias("config_id"), F.lit(m).alias("calibration_method"), s.label, "pred_prob")
-        for c in chosen for m in (methods or v.TUNING_CALIBRATIONS)]
+        model.score(policy).select(F.lit(c).alias("config_id"), F.lit(m).alias("calibration_method"), s.label, "pred_prob")
+        for c in chosen for m, model in retrain_methods(development, s, c, methods or v.TUNING_CALIBRATIONS, chosen).items()]
     held = metrics.classification_metrics(
-        reduce(DataFrame.unionByName, scores), s.label, "pred_prob", ["config_id", "calibration_method"]).select(
+        settled(reduce(DataFrame.unionByName, scores)), s.label, "pred_prob", ["config_id", "calibration_method"]).select(
         "config_id", "calibration_method",
         *(F.col(m).alias(f"holdout_{n}") for m, n in (("auc", "auc"), ("f1_reject", "f1_reject"), ("ks", "ks"), ("brier_score", "brier"))))
     return settled(selection.tuning_score(held.join(rolling, "config_id"), v.TUNING_WEIGHTS))

@@ -12,7 +12,7 @@ from scorewarden import vocabulary as v
 from scorewarden.operators import diagnosis, monitoring, routing
 from scorewarden.operators.learners import Calibrated
 from scorewarden.operators.splits import retraining_periods
-from scorewarden.sources.writers import append_rows
+from scorewarden.sources.writers import write_report
 from scorewarden.storage import settled
 
 
@@ -25,9 +25,9 @@ def score_batch(df: DataFrame, model: Calibrated, keys: Sequence[str], version:
 
 def run_monitoring(
     scored: DataFrame, baseline: DataFrame, out: str, *, label: str, score: str = "pred_prob", by: Sequence[str] = (),
-    thresholds: DataFrame | None = None, trained_on: dt.date | None = None, today: dt.date | None = None,
+    thresholds: DataFrame | None = None, trained_on: dt.date | None = None, today: dt.date | None = None, run_id: str = "latest",
 ) -> DataFrame:
-    """Append the monitored rows, and a decision with the retraining periods for each that asks for it.
+    """Write the monitored rows of the run, and a decision with the retraining periods for each that asks for it.
 
     ``thresholds``: candidate sources (source, priority, lower_threshold, upper_threshold).
     """
@@ -39,11 +39,11 @@ def run_monitoring(
     rows = settled(monitoring.monitor_periods(
         scored, baseline, score=score, label=label, lower=lower, upper=upper, rules=v.MONITORING, by=by,
         trained_on=F.lit(trained_on) if trained_on else None, today=now))
-    append_rows(rows.withColumn("monitored_at", F.current_timestamp()), f"{out}/monitoring_results")
+    write_report(rows.withColumn("monitored_at", F.current_timestamp()), f"{out}/monitoring_results", run_id)
     decisions = retraining_periods(rows.where("needs_retraining").withColumn("decided_on", now), "decided_on").select(
         *by, "decided_on", "retraining_trigger_reason", "alerts", "warnings", "development_start", "development_end",
         "policy_validation_start", "policy_validation_end", "final_holdout_start", "final_holdout_end")
-    append_rows(decisions, f"{out}/retraining_decisions")
+    write_report(decisions, f"{out}/retraining_decisions", run_id)
     return rows
 
 

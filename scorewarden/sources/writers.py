@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -23,9 +24,9 @@ def write_by_month(df: DataFrame, path: str, month: str, first: Sequence[str] =
     df.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*first, month).parquet(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to a report or history table."""
-    df.write.mode("append").parquet(path)
+def write_report(df: DataFrame, path: str, run_id: str, part: str = "all") -> None:
+    """The rows of one run, and of one part of it, in a report or history table; a retry replaces them."""
+    df.drop("run_id", "part").write.mode("overwrite").parquet(f"{path}/run_id={run_id}/part={part}")
 
 
 def write_results(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, str]:
@@ -38,8 +39,11 @@ def write_results(tables: Mapping[str, DataFrame], root: str, run_id: str) -> di
 
 
 def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A result table of all runs, with its run_id as text."""
-    return spark.read.parquet(f"{root}/{name}").withColumn("run_id", F.col("run_id").cast("string"))
+    """A result or report table of all runs, with its run_id as the text it was written with."""
+    found = spark.read.parquet(f"{root}/{name}").schema
+    # declared, as inference would read the run 007 as the number 7
+    declared = StructType([StructField(f.name, StringType()) if f.name in ("run_id", "part") else f for f in found.fields])
+    return spark.read.schema(declared).parquet(f"{root}/{name}")
 
 
 def write_encoders(encoders: Mapping[str, DataFrame], root: str) -> None:

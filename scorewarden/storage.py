@@ -7,8 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a lookup table that may be shipped to every executor (a few MB each).
-BROADCAST_ROWS = 100_000
+# Bytes of a table that may be shipped to every executor.
+BROADCAST_BYTES = 16 << 20
+_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "bigint": 8, "double": 8, "timestamp": 8}
 
 
 def use_checkpoint_folder(spark: SparkSession) -> None:
@@ -34,25 +35,35 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Settle a table and mark it for broadcast if, and only if, its counted size allows."""
+def estimated_bytes(table: DataFrame, rows: int) -> int:
+    """Size of a counted table in memory, from the declared width of its columns and 64 bytes for anything without one."""
+    return rows * sum(_WIDTHS.get(kind, 64) + 8 for _, kind in table.dtypes)
+
+
+def small_side(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Settle a table and mark it for broadcast if, and only if, its counted rows fit."""
     table = settled(table)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return F.broadcast(table) if estimated_bytes(table, table.count()) <= max_bytes else table
 
 
-def left_lookup(
-    df: DataFrame, table: DataFrame, on: list[str], *, max_rows: int = BROADCAST_ROWS, salts: int = 32
-) -> DataFrame:
-    """Left join rows to a lookup table with one row per key.
+def left_lookup(df: DataFrame, table: DataFrame, on: list[str], *, weight: str, max_bytes: int = BROADCAST_BYTES, hot_share: int = 10_000) -> DataFrame:
+    """Left join rows to a lookup table with one row per key, without its ``weight`` column.
 
-    The table is settled and counted first. Up to ``max_rows`` it is broadcast,
-    so the rows never move. A larger one is repeated once per salt and joined on
-    (key, salt), which spreads a key that holds a large share of the rows over
-    ``salts`` tasks; adaptive execution splits whatever skew remains.
+    ``weight`` is the share of the rows that have the key. A table that fits is broadcast, so the rows never move. Of a
+    larger one only the keys of at least one row in ``hot_share`` are, at most ``hot_share`` of them as shares sum to 1;
+    the remaining rows, none of whose keys is frequent, are joined by key, and null keys stay where they are.
     """
     table = settled(table)
-    if table.count() <= max_rows:
-        return df.join(F.broadcast(table), on, "left")
-    every_salt = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    return salted.join(every_salt, [*on, "_salt"], "left").drop("_salt")
+    if estimated_bytes(table, table.count()) <= max_bytes:
+        return df.join(F.broadcast(table.drop(weight)), on, "left")
+    values = [c for c in table.columns if c not in (*on, weight)]
+    packed = table.select(*on, weight, F.struct(*values).alias("_found"))
+    hot = packed.where(F.col(weight) * hot_share >= 1).select(*on, F.col("_found").alias("_hot"))
+    marked = df.join(F.broadcast(hot), on, "left")
+    settled_here = F.col("_hot").isNotNull()
+    for c in on:
+        settled_here = settled_here | F.col(c).isNull()
+    near = marked.where(settled_here).withColumn("_found", F.col("_hot"))
+    far = marked.where(~settled_here).join(packed.where(F.col(weight) * hot_share < 1).drop(weight), on, "left")
+    both = near.drop("_hot").unionByName(far.drop("_hot"))
+    return both.select(*df.columns, *(F.col("_found")[c].alias(c) for c in values))

@@ -69,25 +69,27 @@ def test_encoders_survive_a_round_trip(spark, gold):
     assert text.count() == loaded["frequency"].count()
 
 
-def test_a_large_lookup_table_is_salted_not_broadcast(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    table = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
-    small, large = (left_lookup(rows, table, ["k"], max_rows=m) for m in (10_000, 10))
+def test_a_large_lookup_table_is_joined_by_key_but_for_hot_ones(spark):
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 != 0, F.col("id"))
+    rows = spark.range(3000).select(key.alias("k"), "id")
+    shares = rows.groupBy("k").agg((F.count("*") / 3000).alias("w"))
+    table = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x")).join(shares, "k", "left").fillna(0, ["w"])
+    small, large = (left_lookup(rows, table, ["k"], weight="w", max_bytes=m, hot_share=100) for m in (1 << 20, 10))
     assert sorted(map(tuple, small.select("k", "id", "x").collect()), key=str) == sorted(map(tuple, large.select("k", "id", "x").collect()), key=str)
-    hints = large._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in hints and "_salt" in hints
+    assert small.columns == large.columns and large.count() == 3000
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3 and plan.count("strategy=broadcast") == 2
 
 
 @pytest.fixture(scope="module")
 def trained(spark, gold):
     development, oot = (readers.read_table(spark, gold[1][p]) for p in ("development", "oot"))
-    number = lambda df: df.withColumn("_tie", F.col(v.CASE).cast("bigint"))
     names = ["年齡_scaled", "原申辦金額_log_scaled", "教育程度_序位", "性別_二元"]
     setup = training.Setup(
-        day=v.DAY, label=v.LABEL, keys=[v.CASE], features=names, tie="_tie", month=v.MONTH, folds=2, cv_splits=1,
+        day=v.DAY, label=v.LABEL, keys=[v.CASE], features=names, tie=v.CASE, month=v.MONTH, folds=2, cv_splits=1,
         candidates={"random_forest": ("random_forest", {"trees": 3, "depth": 3, "min_leaf": 5})})
     windows = splits.rolling_windows(spark, dt.date(1995, 1, 1), OOT, 24, 12, 24)
-    return number(development), number(oot), windows, setup, training.run_training(number(development), number(oot), windows, setup)
+    return development, oot, windows, setup, training.run_training(development, oot, windows, setup)
 
 
 def test_training_results_are_complete(spark, gold, trained):
