@@ -196,14 +196,15 @@ TUNING_CANDIDATES = [
     ("forest_conservative", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
 ]
 TUNING_CALIBRATIONS = ["isotonic", "sigmoid", "none"]
+# Named by what Spark's learners take of them: trees, depth, rate; penalties and step limits have no counterpart.
 DECISION_CANDIDATES = [
-    ("pruned_baseline", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("conservative_strong_reg", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.02, "min_leaf": 30, "subsample": 0.65, "columns": 0.6}),
-    ("conservative_high_gamma", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.025, "min_leaf": 25, "subsample": 0.7, "columns": 0.65}),
-    ("depth4_moderate_reg", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.75, "columns": 0.7}),
-    ("depth4_strong_reg", "boosted_trees", {"trees": 400, "depth": 4, "rate": 0.02, "min_leaf": 25, "subsample": 0.7, "columns": 0.6}),
-    ("high_delta_step", "boosted_trees", {"trees": 350, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("low_rate_many_trees", "boosted_trees", {"trees": 800, "depth": 3, "rate": 0.01, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("forest_conservative", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
+    ("boosted_300_depth3", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
+    ("boosted_500_depth2", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.02, "min_leaf": 30, "subsample": 0.65, "columns": 0.6}),
+    ("boosted_400_depth3", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.025, "min_leaf": 25, "subsample": 0.7, "columns": 0.65}),
+    ("boosted_300_depth4", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.75, "columns": 0.7}),
+    ("boosted_400_depth4", "boosted_trees", {"trees": 400, "depth": 4, "rate": 0.02, "min_leaf": 25, "subsample": 0.7, "columns": 0.6}),
+    ("boosted_350_depth3", "boosted_trees", {"trees": 350, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
+    ("boosted_800_slow", "boosted_trees", {"trees": 800, "depth": 3, "rate": 0.01, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
+    ("forest_500_depth5", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
 ]
 DECISION_CALIBRATIONS = ["isotonic", "sigmoid"]
