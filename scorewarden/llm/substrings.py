@@ -5,12 +5,15 @@ refine groups of suffixes by more and more of the window and drop whoever is
 alone, so that after the last pass the groups are exactly the repeated windows:
 
 1. Every window is led by its smallest hashed 32-byte gram, the digit of the
-   first pass. Runs of windows with one leader are handled as one row.
-2. Whole runs, from the first byte of the first window to the last of the last.
-   A run that occurs twice is settled; a leader with one run only is dropped.
-3. What is left is cut into cells of neighbouring windows and grouped by the bytes
-   that all windows of a cell share.
-4. Inside the groups that remain, single windows are told apart by the few bytes
+   first pass. Neighbouring windows with one leader form a run, handled as one row.
+   Leaders that occur once are dropped.
+2. Runs are compared whole, from the first byte of their first window to the last
+   of their last. A run that occurs twice is settled.
+3. A repeated window reaches at least a given way to the left or to the right of
+   its leader. Runs that agree with no other on either reach are dropped.
+4. What is left is cut into cells of neighbouring windows and grouped by the bytes
+   that all windows of a cell share, then by all bytes of the cell.
+5. Inside the groups that remain, single windows are told apart by the few bytes
    in which windows of a cell differ.
 """
 
@@ -26,6 +29,9 @@ from pyspark.sql import functions as F
 from scorewarden.llm.common import prefix_sums, ranges, settled, span_hashes, text_key
 
 _LOW = np.uint64((1 << 32) - 1)
+_TEXT = ["_k1", "_k2"]
+#: Leaders of at least one run in so many are hot.
+HOT_SHARE = 10_000
 
 
 def leaders(sums: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -52,126 +58,167 @@ def leaders(sums: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return value[place[first]], place[first], first, last
 
 
-def _digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+def _digests(parts: list[bytes], size: int) -> np.ndarray:
+    """One 64-bit number per part for ``size`` 8, two for 16."""
+    raw = b"".join(hashlib.blake2b(p, digest_size=size).digest() for p in parts)
+    return np.frombuffer(raw, np.int64).reshape(len(parts), size // 8)
 
 
-def runs_of_windows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Rows (_k1, _k2, _lead, _run, _place, _first, _last) of the texts (_k1, _k2, _text); _run is a digest of the run's bytes."""
+def _by_text(rows: DataFrame, schema: str, work) -> DataFrame:
+    """Rows (_k1, _k2, columns of ``work``): per text (_k1, _k2, _text, ...) the arrays that ``work`` makes of its bytes."""
     import pyarrow as pa
-    schema = "_k1 long, _k2 long, _lead long, _run binary, _place int, _first int, _last int"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ranges(batch.column(2))
-            rows, parts, digests, size = [], [], [], 0
+            more = batch.column(3).to_pylist() if batch.num_columns > 3 else [None] * batch.num_rows
+            found: list[list] = [[] for _ in names]
+            counts, size = [], 0
 
             def flush():
-                lead, place, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
-                row = pa.array(np.repeat(rows, [len(p[0]) for p in parts]))
-                return pa.RecordBatch.from_arrays([
-                    batch.column(0).take(row), batch.column(1).take(row), pa.array(lead.view(np.int64)), pa.array(digests, pa.binary()),
-                    *(pa.array(x.astype(np.int32)) for x in (place, first, last))], names=["_k1", "_k2", "_lead", "_run", "_place", "_first", "_last"])
+                row = pa.array(np.repeat([c[0] for c in counts], [c[1] for c in counts]))
+                columns = [pa.array(np.concatenate(f)) if isinstance(f[0], np.ndarray) else pa.array([x for part in f for x in part], pa.binary()) for f in found]
+                return pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *columns], names=[*_TEXT, *names])
 
             for i in range(batch.num_rows):
-                text = data[offsets[i]: offsets[i + 1]]
-                if len(text) < length:
+                made = work(data[offsets[i]: offsets[i + 1]], more[i])
+                if made is None:
                     continue
-                found = leaders(prefix_sums(text), length, gram)
-                raw = text.tobytes()
-                digests += [_digest(raw[a: b + length]) for a, b in zip(found[2].tolist(), found[3].tolist(), strict=True)]
-                rows.append(i)
-                parts.append(found)
-                size += len(found[0])
-                if size > 50_000:
+                for f, m in zip(found, made, strict=True):
+                    f.append(m)
+                counts.append((i, len(made[0])))
+                size += len(made[0])
+                if size > 30_000:
                     yield flush()
-                    rows, parts, digests, size = [], [], [], 0
-            if parts:
+                    found, counts, size = [[] for _ in names], [], 0
+            if counts:
                 yield flush()
 
-    return docs.select("_k1", "_k2", "_text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, f"_k1 long, _k2 long, {schema}")
 
 
-def cells_of_windows(texts: DataFrame, length: int, cell: int) -> DataFrame:
-    """Rows (_k1, _k2, _core, _cell, _from, _to, _place, _left, _right) of the texts (_k1, _k2, _text, _runs).
+def all_leaders(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(_k1, _k2, _lead) of every run."""
+    def work(text: np.ndarray, _):
+        return None if len(text) < length else (leaders(prefix_sums(text), length, gram)[0].view(np.int64),)
+    return _by_text(texts.select(*_TEXT, "_text"), "_lead long", work)
 
-    Windows are told by how far the leader lies behind their first byte. Cell c holds the distances c * cell to
-    c * cell + cell - 1, of which this run has _from to _to; _core is a digest of the bytes all its windows share, _left
-    and _right are the bytes beside them.
-    """
-    import pyarrow as pa
-    names = ["_k1", "_k2", "_core", "_cell", "_from", "_to", "_place", "_left", "_right"]
-    schema = "_k1 long, _k2 long, _core binary, _cell int, _from int, _to int, _place int, _left binary, _right binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = ranges(batch.column(2))
-            out: list[list] = [[] for _ in names]
+def all_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(_k1, _k2, _lead, _run, _at, _west, _east) of every run: digest of its bytes, packed places, hashes of both reaches.
 
-            def flush():
-                row = pa.array(np.array(out[0], np.int64))
-                kinds = [None, None, pa.binary(), *[pa.int32()] * 4, pa.binary(), pa.binary()]
-                return pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), *(pa.array(o, k) for o, k in zip(out[2:], kinds[2:], strict=True))], names=names)
-
-            for i, runs in enumerate(batch.column(3).to_pylist()):
-                raw = data[offsets[i]: offsets[i + 1]].tobytes()
-                for r in runs:
-                    place, far, near = r["_place"], r["_place"] - r["_first"], r["_place"] - r["_last"]
-                    for c in range(near // cell, far // cell + 1):
-                        low, high = max(near, c * cell), min(far, c * cell + cell - 1)
-                        start, stop = place - c * cell, place - c * cell - cell + 1 + length
-                        for o, v in zip(out, (i, i, _digest(raw[start:stop]), c, low, high, place, raw[place - high: start], raw[stop: place - low + length]), strict=True):
-                            o.append(v)
-                if len(out[0]) > 20_000:
-                    yield flush()
-                    out = [[] for _ in names]
-            if out[0]:
-                yield flush()
-
-    return texts.select("_k1", "_k2", "_text", "_runs").mapInArrow(run, schema)
-
-
-def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 400, gram: int = 32, cell: int = 32) -> DataFrame:
+    With the leader ``back`` bytes into a window, the window holds the ``length`` / 2 + ``gram`` / 2 bytes from the leader
+    on, or as many up to its end: ``_east`` and ``_west``, 0 where the text ends before.
+    """
+    reach = (length - gram) // 2
+
+    def work(text: np.ndarray, _):
+        if len(text) < length:
+            return None
+        sums = prefix_sums(text)
+        lead, place, first, last = leaders(sums, length, gram)
+        raw = text.tobytes()
+        run = _digests([raw[a: b + length] for a, b in zip(first.tolist(), last.tolist(), strict=True)], 8)[:, 0]
+        west, east = (np.zeros(len(lead), np.uint64) for _ in range(2))
+        low, high = place - reach >= 0, place + length - reach <= len(text)
+        west[low] = span_hashes(sums, place[low] - reach, place[low] + gram)
+        east[high] = span_hashes(sums, place[high], place[high] + length - reach)
+        return lead.view(np.int64), run, (first << 32) | ((place - first) << 16) | (last - first), west.view(np.int64), east.view(np.int64)
+
+    return _by_text(texts.select(*_TEXT, "_text"), "_lead long, _run long, _at long, _west long, _east long", work)
+
+
+def all_cells(texts: DataFrame, length: int, cell: int) -> DataFrame:
+    """(_k1, _k2, _c1, _c2, _h1, _h2, _spot, _left, _right) of the cells of the runs _ats of each text.
+
+    Windows are told by how far the leader lies behind their first byte. Cell c holds the distances c * ``cell`` to
+    c * ``cell`` + ``cell`` - 1, of which the run has some. _c1, _c2 are a digest of the bytes all windows of the cell
+    share, _h1, _h2 of all its bytes and the distances; _left and _right are the bytes beside the shared ones; _spot packs
+    the place of the leader and the least and largest distance.
+    """
+    def work(text: np.ndarray, ats: list[int]):
+        raw = text.tobytes()
+        cores, hulls, spots, lefts, rights = [], [], [], [], []
+        for at in ats:
+            first = at >> 32
+            place = first + (at >> 16 & 0xFFFF)
+            near, far = place - first - (at & 0xFFFF), place - first
+            for c in range(near // cell, far // cell + 1):
+                low, high = max(near, c * cell), min(far, c * cell + cell - 1)
+                start, stop = place - c * cell, place - c * cell - cell + 1 + length
+                mark = c.to_bytes(4, "little")
+                cores.append(mark + raw[start:stop])
+                hulls.append(mark + low.to_bytes(4, "little") + high.to_bytes(4, "little") + raw[place - high: place - low + length])
+                spots.append((place << 32) | (low << 16) | high)
+                lefts.append(raw[place - high: start])
+                rights.append(raw[stop: place - low + length])
+        if not cores:
+            return None
+        c, h = _digests(cores, 16), _digests(hulls, 16)
+        return c[:, 0], c[:, 1], h[:, 0], h[:, 1], np.array(spots, np.int64), lefts, rights
+
+    return _by_text(
+        texts.select(*_TEXT, "_text", "_ats"), "_c1 long, _c2 long, _h1 long, _h2 long, _spot long, _left binary, _right binary", work)
+
+
+def _repeated(rows: DataFrame, *by: str) -> DataFrame:
+    """The values of ``by`` that more than one row has."""
+    return rows.groupBy(*by).agg(F.count("*").alias("_count")).where("_count > 1").select(*by)
+
+
+def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 400, gram: int = 32, cell: int = 16) -> DataFrame:
     """(_k1, _k2, _spans) for texts that occur once: spans (_start, _stop) of bytes covered by strings of ``length`` bytes
     that start twice, unsorted and overlapping.
 
     Texts that occur several times are looked at once, as what others may repeat; they themselves repeat as a whole.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(*text_key(body), body.alias("_text"))
-    runs = settled(runs_of_windows(texts.where(F.octet_length("_text") >= length), length, gram).dropDuplicates(["_k1", "_k2", "_lead", "_place"]))
-    same = settled(runs.groupBy("_lead", "_run").agg(
-        F.count("*").alias("_count"), F.min(F.struct("_k1", "_k2", "_place")).alias("_one")))
-    settled_spans = runs.join(same.where("_count > 1").select("_lead", "_run"), ["_lead", "_run"]).select(
-        "_k1", "_k2", F.col("_first").alias("_start"), (F.col("_last") + length).alias("_stop"))
-    # one run of each kind goes on, where a leader has several kinds
-    several = same.groupBy("_lead").agg(F.count("*").alias("_kinds")).where("_kinds > 1").select("_lead")
-    ahead = same.join(several, "_lead").select("_lead", "_one.*").join(
-        runs.select("_lead", "_k1", "_k2", "_place", "_first", "_last"), ["_lead", "_k1", "_k2", "_place"])
-    listed = ahead.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_place", "_first", "_last")).alias("_runs"))
-    bodies = texts.groupBy("_k1", "_k2").agg(F.first("_text").alias("_text")).join(listed, ["_k1", "_k2"])
-    cells = settled(cells_of_windows(bodies, length, cell))
-    cores = cells.groupBy("_core", "_cell").agg(F.count("*").alias("_cores")).where("_cores > 1").select("_core", "_cell")
-    live = settled(cells.join(cores, ["_core", "_cell"]))
-    # all windows of a cell at once where the bytes beside the core agree too
-    hull = ["_core", "_cell", "_from", "_to", "_left", "_right"]
-    wide = live.groupBy(*hull).agg(F.count("*").alias("_hulls"), F.min(F.struct("_k1", "_k2", "_place")).alias("_one"))
-    span = [(F.col("_place") - F.col("_to")).alias("_start"), (F.col("_place") - F.col("_from") + length).alias("_stop")]
-    cell_spans = live.join(wide.where("_hulls > 1").select(*hull), hull).select("_k1", "_k2", *span)
-    # single windows, of one cell of each kind
-    kinds = wide.groupBy("_core", "_cell").agg(F.count("*").alias("_kinds")).where("_kinds > 1").select("_core", "_cell")
-    single = (
-        wide.join(kinds, ["_core", "_cell"]).select(*hull, "_one.*").withColumn("_back", F.explode(F.sequence("_from", "_to")))
-        .withColumn("_l", F.expr(f"right(hex(_left), 2 * (_back - _cell * {cell}))"))
-        .withColumn("_r", F.expr(f"left(hex(_right), 2 * ({cell - 1} - (_back - _cell * {cell})))")))
-    single = single.select("_k1", "_k2", "_place", "_back", F.xxhash64("_core", "_back", "_l", "_r").alias("_w1"), F.xxhash64(F.lit(1), "_core", "_back", "_l", "_r").alias("_w2"), *hull)
-    twice = single.groupBy("_w1", "_w2").agg(F.count("*").alias("_n")).where("_n > 1").select("_w1", "_w2")
-    hit = single.join(twice, ["_w1", "_w2"]).groupBy(*hull).agg(F.collect_list("_back").alias("_backs"))
-    window_spans = live.join(hit, hull).withColumn("_back", F.explode("_backs")).select(
-        "_k1", "_k2", (F.col("_place") - F.col("_back")).alias("_start"), (F.col("_place") - F.col("_back") + length).alias("_stop"))
-    spans = settled_spans.unionByName(cell_spans).unionByName(window_spans)
-    return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_start", "_stop")).alias("_spans"))
+    texts = docs.select(*text_key(body), body.alias("_text")).where(F.octet_length("_text") >= length)
+    twice = settled(all_leaders(texts, length, gram).groupBy("_lead").agg(F.count("*").alias("_count")).where("_count > 1"))
+    # Leaders of at least one run in HOT_SHARE, at most HOT_SHARE of them, are marked in place; their rows are
+    # spread at random in the join that drops leaders of a single run.
+    total = twice.agg(F.sum("_count")).first()[0] or 0
+    hot = twice.where(F.col("_count") * HOT_SHARE >= total).select("_lead", F.lit(True).alias("_hot"))
+    marked = all_runs(texts, length, gram).join(F.broadcast(hot), "_lead", "left").withColumn(
+        "_by", F.when(F.col("_hot"), F.xxhash64(*_TEXT, "_at")).otherwise(F.col("_lead")))
+    cold = twice.where(F.col("_count") * HOT_SHARE < total).select(F.col("_lead").alias("_by"), F.lit(True).alias("_cold"))
+    kept = marked.join(cold, "_by", "left").where("_hot or _cold").drop("_by", "_hot", "_cold")
+    runs = settled(kept.dropDuplicates([*_TEXT, "_lead", "_at"]))
+    first = F.shiftright("_at", 32)
+    same = settled(runs.groupBy("_lead", "_run").agg(F.count("*").alias("_count"), F.min(F.struct(*_TEXT, "_at", "_west", "_east")).alias("_one")))
+    run_spans = runs.join(same.where("_count > 1").select("_lead", "_run"), ["_lead", "_run"]).select(
+        *_TEXT, first.alias("_start"), (first + F.col("_at").bitwiseAND(0xFFFF) + length).alias("_stop"))
+    # one run of each kind goes on, if another kind agrees with it on one side of the leader
+    kinds = same.select("_lead", "_one.*")
+    west, east = (_repeated(kinds.where(f"{side} != 0"), side) for side in ("_west", "_east"))
+    ahead = kinds.join(west, "_west", "left_semi").select(*_TEXT, "_at").unionByName(kinds.join(east, "_east", "left_semi").select(*_TEXT, "_at"))
+    listed = ahead.groupBy(*_TEXT).agg(F.collect_set("_at").alias("_ats"))
+    bodies = texts.groupBy(*_TEXT).agg(F.first("_text").alias("_text")).join(listed, _TEXT)
+    cells = settled(all_cells(bodies, length, cell))
+    live = settled(cells.join(_repeated(cells, "_c1", "_c2"), ["_c1", "_c2"]))
+    place, low, high = F.shiftright("_spot", 32), F.shiftright("_spot", 16).bitwiseAND(0xFFFF), F.col("_spot").bitwiseAND(0xFFFF)
+    # all windows of a cell at once, where all its bytes agree
+    whole = settled(_repeated(live, "_h1", "_h2"))
+    agree = live.join(whole, ["_h1", "_h2"])
+    cell_spans = agree.select(*_TEXT, (place - high).alias("_start"), (place - low + length).alias("_stop"))
+    # single windows, of one cell of each kind, where the shared bytes come in several kinds
+    shapes = live.select("_c1", "_c2", "_h1", "_h2").distinct()
+    several = _repeated(shapes, "_c1", "_c2")
+    alone = live.join(whole, ["_h1", "_h2"], "left_anti")
+    one_each = alone.select(*live.columns).unionByName(agree.select(*live.columns).dropDuplicates(["_h1", "_h2"])).join(several, ["_c1", "_c2"], "left_semi")
+    offset = F.pmod(F.col("_back"), F.lit(cell))
+    # hexadecimal text has two characters a byte
+    beside = [F.expr("hex(_left)"), F.expr("hex(_right)")]
+    single = one_each.select("_c1", "_c2", "_h1", "_h2", *(b.alias(n) for b, n in zip(beside, ("_l", "_r"), strict=True)), high.alias("_high"), low.alias("_low")).withColumn(
+        "_back", F.explode(F.sequence("_low", "_high")))
+    window = ["_c1", "_c2", "_back", F.right("_l", 2 * offset), F.left("_r", 2 * (F.lit(cell - 1) - offset))]
+    single = single.select("_h1", "_h2", F.col("_back").cast("int"), F.xxhash64(*window).alias("_w1"), F.xxhash64(F.lit(1), *window).alias("_w2"))
+    hit = single.join(_repeated(single, "_w1", "_w2"), ["_w1", "_w2"]).groupBy("_h1", "_h2").agg(F.min("_back").alias("_near"), F.max("_back").alias("_far"))
+    # windows of a cell overlap, so those between the first and the last hit add no byte
+    window_spans = live.join(hit, ["_h1", "_h2"]).select(*_TEXT, (place - F.col("_far")).alias("_start"), (place - F.col("_near") + length).alias("_stop"))
+    spans = run_spans.unionByName(cell_spans).unionByName(window_spans).select(*_TEXT, F.col("_start").cast("int"), F.col("_stop").cast("int"))
+    return spans.groupBy(*_TEXT).agg(F.collect_set(F.struct("_start", "_stop")).alias("_spans"))
 
 
 def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
