@@ -1,9 +1,9 @@
 """Mix sources to target weights by fitting word budgets with whole documents.
 
-Documents are counted by exact length. Every length first gives its share of the
-source's budget, rounded down; longer documents then close the gap to a small
-rest, and a bounded-knapsack dynamic programme over the remaining copies of each
-length fits that rest to the word. Which documents of a length are taken is a
+Documents are counted by exact length. A source first gives as many whole copies
+as its budget holds, and where much is left every length gives its share of it,
+rounded down, and longer documents close the gap to a small rest. A bounded-knapsack
+dynamic programme over the remaining copies of each length fits that rest. Which documents of a length are taken is a
 seeded choice.
 """
 
@@ -65,25 +65,45 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most_copies: int)
 def fitted_copies(sizes: np.ndarray, counts: np.ndarray, budget: float, most: int, spare: int) -> np.ndarray:
     """How many copies of each length (all above 0) to take, for a sum at or just below ``budget``.
 
-    ``spare`` words are left to the dynamic programme; every length offers ``most`` copies of each document.
+    ``spare`` words are left to the dynamic programme; every length offers ``most`` copies of each document. A small
+    source whose whole copies leave a gap that nothing fits is tried with one whole copy less.
     """
     total = int((sizes * counts).sum())
     if not total or budget <= 0:
         return np.zeros(len(sizes), np.int64)
     share = min(budget / total, most)
-    taken = np.minimum(np.floor(share * counts).astype(np.int64), most * counts)
-    left = int(np.floor(budget)) - int((taken * sizes).sum())
     order = np.argsort(-sizes, kind="stable")
-    even = int(np.ceil(share))
-    for i in order:  # at most one more copy of each length
-        if taken[i] < even * counts[i] and left - sizes[i] >= spare:
-            taken[i] += 1
-            left -= int(sizes[i])
+    best, gap = None, None
+    for whole in range(int(np.floor(share)), -1, -1):
+        taken = np.full(len(sizes), whole, np.int64) * counts
+        even = min(whole + 1, most)
+        if budget - whole * total > spare and whole == np.floor(share):  # too much for the programme alone
+            taken = np.minimum(np.floor(share * counts).astype(np.int64), most * counts)
+            left = int(np.floor(budget)) - int((taken * sizes).sum())
+            for i in order:  # at most one more copy of each length
+                if taken[i] < even * counts[i] and left - sizes[i] >= spare:
+                    taken[i] += 1
+                    left -= int(sizes[i])
+        left = int(np.floor(budget)) - int((taken * sizes).sum())
+        more, open_words = closing_copies(sizes, order, [even * counts - taken, (most - even) * counts], left)
+        if best is None or open_words < gap:
+            best, gap = taken + more, open_words
+        if not gap or total > spare:
+            break
+    return best
+
+
+def closing_copies(sizes: np.ndarray, order: np.ndarray, limits: Sequence[np.ndarray], left: int) -> tuple[np.ndarray, int]:
+    """Copies of each length that come closest to ``left`` words from below, and the words still open.
+
+    The programme over reachable sums is a row of bits, shifted once per power of two of a length's copies. Copies of the
+    first of ``limits`` are used before those of the second, and nothing is added once the sum is met.
+    """
+    more = np.zeros(len(sizes), np.int64)
     if left <= 0:
-        return taken
+        return more, 0
     # reach: bit b is set if some choice of the items so far sums to b; by[b]: the item that first reached b
     reach, mask, by, items = 1, (1 << (left + 1)) - 1, np.full(left + 1, -1, np.int64), []
-    limits = [even * counts - taken, (most - even) * counts]
     for limit in limits:
         for i in order:
             room, copies = min(int(limit[i]), left // int(sizes[i])), 1
@@ -97,11 +117,12 @@ def fitted_copies(sizes: np.ndarray, counts: np.ndarray, budget: float, most: in
                     reach |= new
                 room, copies = room - n, copies * 2
     at = reach.bit_length() - 1
+    open_words = left - at
     while at > 0:
         i, n = items[by[at]]
-        taken[i] += n
+        more[i] += n
         at -= n * int(sizes[i])
-    return taken
+    return more, open_words
 
 
 def mix_sources(
