@@ -24,26 +24,25 @@ ENDS = (".", "!", "?", ":")
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 
-def raw_words(text: Column) -> Column:
-    """Words between white space; none for a null text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+", -1), lambda w: w != "")
+def _parted(df: DataFrame, text: Column) -> DataFrame:
+    """Add _words, the words of a text between white space, and _values, the same in lower case without marks around them."""
+    cut = f"[{SPACE}]+"
+    return df.select("*", F.split(text, cut, -1).alias("_words"), F.transform(
+        F.split(F.lower(text), cut, -1), lambda w: F.btrim(w, F.lit(MARKS))).alias("_values"))
 
 
-def word_value(word: Column) -> Column:
-    return F.lower(F.btrim(word, F.lit(MARKS)))
+def template_hash(value: Column, i: Column) -> Column:
+    """Hash of the template word at place i of _words: of its placeholder, or of its value; null for a word of marks only.
 
-
-def template_word(words: str, word: Column, i: Column) -> Column:
-    """The word's placeholder, or its value; null for a word of marks only.
-
-    A name is a capitalised word that neither begins the text nor follows the end of a sentence.
+    A name is a word with one capital, its first letter, that neither begins the text nor follows the end of a sentence.
     """
-    value, before = word_value(word), F.get(F.col(words), i - 1)
-    head, rest = F.substring(word, 1, 1), F.substring(word, 2, 1 << 30)
-    capital = (head != F.lower(head)) & (rest == F.lower(rest))
+    word, before = F.get("_words", i), F.get("_words", i - 1)
+    rest = F.substring(word, 2, 1 << 30)
+    # most words have no capital and are done after a comparison
+    name = (F.lower(word) != word) & (rest == F.lower(rest)) & (i > 0) & (before != "") & ~F.substring(before, -1, 1).isin(*ENDS)
     return (
-        F.when(value == "", None).when((value >= "0") & (value < ":"), NUMBER)
-        .when(value.isin(*UNITS), UNIT).when(capital & (i > 0) & ~F.substring(before, -1, 1).isin(*ENDS), NAME).otherwise(value))
+        F.when(value == "", None).when((value >= "0") & (value < ":"), F.xxhash64(F.lit(NUMBER)))
+        .when(value.isin(*UNITS), F.xxhash64(F.lit(UNIT))).when(name, F.xxhash64(F.lit(NAME))).otherwise(F.xxhash64(value)))
 
 
 def _windows(size: Column, width: int, stride: int, at) -> Column:
@@ -51,20 +50,17 @@ def _windows(size: Column, width: int, stride: int, at) -> Column:
 
 
 def _hashed_words(df: DataFrame, text: Column) -> DataFrame:
-    """Add _hashes, the hashes of the template words of a text."""
-    tagged = df.withColumn("_words", raw_words(text))
-    return tagged.withColumn("_hashes", F.filter(
-        F.transform("_words", lambda w, i: F.nvl2(template_word("_words", w, i), F.xxhash64(template_word("_words", w, i)), F.lit(None))),
-        lambda h: h.isNotNull())).drop("_words")
+    """Replace the text's words by _hashes, the hashes of its template words."""
+    return _parted(df, text).withColumn("_hashes", F.array_compact(F.transform("_values", template_hash))).drop("_words", "_values")
 
 
 def _slotted(df: DataFrame, text: Column) -> DataFrame:
     """Add _tokens, an array of (hash, slot, value) of the template words of a text."""
-    def token(w: Column, i: Column) -> Column:
-        template = template_word("_words", w, i)
-        return F.struct(F.xxhash64(template).alias("hash"), template.isin(NUMBER, NAME, UNIT).alias("slot"), word_value(w).alias("value"))
-    tagged = df.withColumn("_words", raw_words(text))
-    return tagged.withColumn("_tokens", F.filter(F.transform("_words", token), lambda t: t["slot"].isNotNull())).drop("_words")
+    slots = [F.xxhash64(F.lit(p)) for p in (NUMBER, NAME, UNIT)]
+    hashed = _parted(df, text).withColumn("_every", F.transform("_values", template_hash))
+    tokens = F.zip_with("_every", "_values", lambda h, v: F.struct(
+        h.alias("hash"), ((h == slots[0]) | (h == slots[1]) | (h == slots[2])).alias("slot"), v.alias("value")))
+    return hashed.withColumn("_tokens", F.filter(tokens, lambda t: t["hash"].isNotNull())).drop("_words", "_values", "_every")
 
 
 def item_windows(items: DataFrame, key: str, text: str, width: int, least_words: int) -> DataFrame:
@@ -72,7 +68,7 @@ def item_windows(items: DataFrame, key: str, text: str, width: int, least_words:
 
     Windows with fewer than ``least_words`` words outside slots say too little and are left out.
     """
-    tokens = _slotted(items.select(F.col(key).alias("item_id"), F.col(text).alias("_text")).where(F.col(key).isNotNull()), F.col("_text"))
+    tokens = _slotted(items.select(F.col(key).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).where(F.col("item_id").isNotNull()), F.col("_text"))
     spots = _windows(F.size("_tokens"), width, 1, lambda i: i)
     rows = tokens.select("item_id", "_tokens", F.explode(spots).alias("_at")).withColumn("_part", F.slice("_tokens", F.col("_at"), width))
     slots = F.filter(F.transform("_part", lambda t, i: F.struct(i.alias("i"), t["slot"].alias("slot"), t["value"].alias("value"))), lambda s: s["slot"])
