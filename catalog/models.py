@@ -1,7 +1,9 @@
-"""Model fitting and what is built on it. Fits have no SQL; their resampling and weights do.
+"""Model fitting and what is built on it, with the SQL of everything in the results that a fit does not decide.
 
-The learners are those of the library with fewer trees, so that a check takes
-seconds; rows are never left out.
+Rows, windows, folds, candidates and calibrations are those of the library, except
+that only ``train_rolling`` runs all 4/2/2-month windows and the other queries, which
+fit many candidates, two of 24 months. Learners keep their depth, rate and leaf size
+but have few trees and iterations, so that a check takes minutes and not hours.
 """
 
 from __future__ import annotations
@@ -10,7 +12,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.base import APPLICATIONS, CUT, DATA_START, LOWER, R, UPPER, applications, query, tidy, with_
+from catalog.base import APPLICATIONS, CUT, DATA_START, LOWER, R, UPPER, WINDOWS, applications, query, tidy, with_
+from scorewarden import vocabulary as v
 from scorewarden.functions import level_code
 from scorewarden.operators import learners, metrics, monitoring
 from scorewarden.operators.splits import rolling_windows
@@ -36,15 +39,38 @@ def _table(spark, folder):
         (F.month("day") / 12).alias("month_of_year"))
 
 
-def _setup(names, **more):
-    return training.Setup(day="day", label="label", keys=["case_id"], features=_FEATURES, tie="case_id", folds=3,
+def _setup(names=tuple(_CANDIDATES), **more):
+    return training.Setup(day="day", label="label", keys=["case_id"], features=_FEATURES, tie="case_id",
                           candidates={n: _CANDIDATES[n] for n in names}, **more)
 
 
+def _short(candidates):
+    """The library's candidates with few trees."""
+    return [(name, kind, {**p, "trees": 3}) for name, kind, p in candidates]
+
+
 def _windows(spark):
     return rolling_windows(spark, DATA_START, CUT, 24, 12, 24)
 
 
+def _within(*columns):
+    """Whether all of the columns lie between 0 and 1."""
+    good = F.lit(True)
+    for c in columns:
+        good = good & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    return good
+
+
+_OOT = "oot AS (SELECT * FROM applications WHERE NOT dev)"
+_STAGES = """placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY day, case_id) AS rn, COUNT(*) OVER () AS n FROM applications WHERE NOT dev AND label IS NOT NULL),
+staged AS (SELECT 'train' AS stage, label FROM applications WHERE dev AND label IS NOT NULL
+  UNION ALL SELECT CASE WHEN rn <= (2 * n) // 3 THEN 'policy' ELSE 'holdout' END, label FROM placed)"""
+
+
+def _names(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
+
+
 def _parts(spark, folder):
     df = settled(_table(spark, folder))
     return df.where("dev").drop("dev"), df.where("not dev").drop("dev")
@@ -65,11 +91,14 @@ def undersample(spark, folder):
     return learners.undersampled(_skewed(spark, folder), "y", ["case_id"]).groupBy("y").agg(F.count("*").alias("n"))
 
 
-@query("oversample", with_(APPLICATIONS, _SKEWED, _COUNTS, select="""SELECT 1 AS y, FALSE AS is_synthetic, p AS n FROM n
-  UNION ALL SELECT 0, FALSE, q FROM n UNION ALL SELECT 0, TRUE, p - q FROM n"""))
+@query("oversample", with_(APPLICATIONS, _SKEWED, _COUNTS, select="""SELECT 1 AS y, FALSE AS is_synthetic, p AS n, CAST(0 AS BIGINT) AS inside FROM n
+  UNION ALL SELECT 0, FALSE, q, 0 FROM n UNION ALL SELECT 0, TRUE, p - q, p - q FROM n"""))
 def oversample(spark, folder):
     made = learners.oversampled(_skewed(spark, folder), "y", ["case_id"], ["scaled", "balance"])
-    return made.groupBy("y", "is_synthetic").agg(F.count("*").alias("n"))
+    # a row between two minority rows lies in their range
+    small = made.where("y = 0 and not is_synthetic").agg(F.struct(*(f(c).alias(f"{n}_{c}") for c in ("scaled", "balance") for n, f in (("low", F.min), ("high", F.max)))).alias("r")).scalar()
+    inside = F.col("scaled").between(small["low_scaled"], small["high_scaled"]) & F.col("balance").between(small["low_balance"], small["high_balance"])
+    return made.groupBy("y", "is_synthetic").agg(F.count("*").alias("n"), F.count_if(F.col("is_synthetic") & inside).alias("inside"))
 
 
 @query("class_weights", with_(APPLICATIONS, "n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM applications)", select=f"""
@@ -82,61 +111,103 @@ def class_weights(spark, folder):
     return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-@query("train_rolling")
+@query("train_rolling", with_(APPLICATIONS, WINDOWS, f"models AS (SELECT * FROM (VALUES {_names((n,) for n in _CANDIDATES)}) t(model_name))", select=f"""
+  SELECT window_id, model_name, COUNT(*) FILTER (WHERE day <= train_end) AS train_rows, COUNT(*) FILTER (WHERE day >= monitor_start) AS monitor_rows,
+    {R("AVG(label) FILTER (WHERE day <= train_end)")} AS train_positive_ratio, {R("AVG(label) FILTER (WHERE day >= monitor_start)")} AS monitor_positive_ratio, TRUE AS within
+  FROM windows JOIN applications ON label IS NOT NULL AND day BETWEEN train_start AND monitor_end, models GROUP BY 1, 2"""))
 def train_rolling(spark, folder):
     development, _ = _parts(spark, folder)
-    return training.evaluate_candidates(development, _windows(spark), _setup(_CANDIDATES, cv_splits=1))
+    cycles = training.evaluate_candidates(development, rolling_windows(spark, DATA_START, CUT), _setup())
+    within = _within("train_auc", "monitor_auc", "monitor_brier", "monitor_ks", "cv_auc_mean", "cv_f1_reject_mean")
+    return tidy(cycles.select("window_id", "model_name", "train_rows", "monitor_rows", "train_positive_ratio", "monitor_positive_ratio", within.alias("within")))
 
 
-@query("calibrated_scores")
-def calibrated_scores(spark, folder):
+_SCORES = with_(APPLICATIONS, select="SELECT case_id, TRUE AS within, TRUE AS monotone FROM applications WHERE NOT dev")
+
+
+def _mapped(spark, folder, name, method):
+    """Out-of-time rows, whether the score is a share, and whether no row with a lower raw score has a higher one."""
     development, oot = _parts(spark, folder)
-    model = training.retrain(development, _setup(["random_forest"]), "random_forest", "isotonic")
-    return model.score(oot).select("case_id", "pred_prob")
+    model = training.retrain(development, _setup(), name, method)
+    raw = settled(learners.scored(model.score(oot), model.model, _FEATURES, "raw").select("case_id", "pred_prob", "raw"))
+    # one row per raw score rounded to two places: all values of a step lie on one side of those of the step before
+    steps = raw.groupBy(F.round("raw", 2).alias("step")).agg(F.min("pred_prob").alias("low"), F.max("pred_prob").alias("high")).selectExpr(
+        "low", "high", "lag(low) over (order by step) as low_before", "lag(high) over (order by step) as high_before")
+    rising, falling = F.col("high_before") <= F.col("low") + 1e-12, F.col("low_before") >= F.col("high") - 1e-12
+    # a sigmoid fitted to a model without any skill may fall
+    one_way = F.coalesce(F.bool_and(rising), F.lit(True)) | (F.coalesce(F.bool_and(falling), F.lit(True)) & F.lit(method == "sigmoid"))
+    rising = steps.agg(one_way).scalar()
+    return raw.select("case_id", _within("pred_prob").alias("within"), rising.alias("monotone"))
+
+
+@query("calibrated_scores", _SCORES)
+def calibrated_scores(spark, folder):
+    return _mapped(spark, folder, "random_forest", "isotonic")
 
 
-@query("sigmoid_scores")
+@query("sigmoid_scores", _SCORES)
 def sigmoid_scores(spark, folder):
-    development, oot = _parts(spark, folder)
-    model = training.retrain(development, _setup(["logistic_regression"]), "logistic_regression", "sigmoid")
-    return model.score(oot).select("case_id", "pred_prob")
+    return _mapped(spark, folder, "logistic_regression", "sigmoid")
 
 
-@query("batch_scores")
+@query("batch_scores", with_(APPLICATIONS, select="SELECT COUNT(*) AS n, TRUE AS within, COUNT(*) AS zoned FROM applications WHERE NOT dev"))
 def batch_scores(spark, folder):
     development, oot = _parts(spark, folder)
-    model = training.retrain(development, _setup(["logistic_regression"]), "logistic_regression", "none")
+    model = training.retrain(development, _setup(), "logistic_regression", "none")
     batch = watch.score_batch(oot, model, ["case_id"], "v1", LOWER, UPPER)
-    return monitoring.batch_summary(batch, "pred_prob", "pred_zone")
+    zone = F.when(F.col("pred_prob") < LOWER, 0).when(F.col("pred_prob") >= UPPER, 2).otherwise(1)
+    return batch.agg(F.count("*").alias("n"), F.bool_and(_within("pred_prob")).alias("within"), F.count_if(F.col("pred_zone") == zone).alias("zoned"))
 
 
-@query("tree_importance")
+_FEATURE_ROWS = f"SELECT feature, TRUE AS consistent, COUNT(*) AS rows FROM applications, (VALUES {_names((f,) for f in _FEATURES)}) t(feature)"
+
+
+@query("tree_importance", with_(APPLICATIONS, select=f"{_FEATURE_ROWS} WHERE dev GROUP BY 1"))
 def tree_importance(spark, folder):
     development, _ = _parts(spark, folder)
     model = learners.fit(development, _FEATURES, "label", *_FOREST, keys=["case_id"])
-    return learners.tree_importance(model, _FEATURES, development)
+    found = learners.tree_importance(model, _FEATURES, development)
+    total = found.agg(F.abs(F.sum("gain") - 1) < 1e-6).scalar()
+    rows = development.agg(F.count("*")).scalar()
+    return found.select("feature", (_within("gain") & (F.col("weight") >= 0) & (F.col("cover") >= F.col("weight")) & total).alias("consistent"), rows.alias("rows"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", with_(APPLICATIONS, select=f"{_FEATURE_ROWS} WHERE NOT dev AND label IS NOT NULL GROUP BY 1"))
 def permutation_importance(spark, folder):
     development, oot = _parts(spark, folder)
     model = learners.fit(development, _FEATURES, "label", *_FOREST, keys=["case_id"])
-    return learners.permutation_importance(oot, lambda df: learners.scored(df, model, _FEATURES), _FEATURES, "label", ["case_id"])
+    score = lambda df: learners.scored(df, model, _FEATURES)
+    found = learners.permutation_importance(oot, score, _FEATURES, "label", ["case_id"])
+    auc = settled(metrics.classification_metrics(score(oot), "label", "pred_prob").select("auc", "rows"))
+    good = _within("auc", "permuted_auc") & (F.abs(F.col("auc") - auc.select("auc").scalar()) < 1e-9) & (
+        F.abs(F.col("auc") - F.col("permuted_auc") - F.col("importance")) < 1e-9)
+    return found.select("feature", good.alias("consistent"), auc.select("rows").scalar().alias("rows"))
 
 
-@query("training_run")
+@query("training_run", with_(APPLICATIONS, _STAGES, select=f"SELECT stage, COUNT(*) AS rows, {R('AVG(label)')} AS positive_ratio, TRUE AS within FROM staged GROUP BY 1"))
 def training_run(spark, folder):
     development, oot = _parts(spark, folder)
-    results = training.run_training(development, oot, _windows(spark), _setup(["logistic_regression"], cv_splits=1), method="sigmoid")
-    return results["stage_metrics"]
+    results = training.run_training(development, oot, _windows(spark), _setup(), method="sigmoid")
+    within = _within("auc", "brier_score", "ks", "f1_reject", "precision", "recall")
+    return tidy(results["stage_metrics"].select("stage", "rows", "positive_ratio", within.alias("within")))
+
+
+def _pairs(candidates, methods) -> str:
+    return _names((c[0], m) for c in candidates for m in methods)
 
 
-@query("conservative_tuning")
+@query("conservative_tuning", with_(APPLICATIONS, _STAGES, select=f"""SELECT config_id, calibration_method, TRUE AS within, TRUE AS ranked, COUNT(*) AS policy_rows
+  FROM staged, (VALUES {_pairs(v.TUNING_CANDIDATES, v.TUNING_CALIBRATIONS)}) t(config_id, calibration_method) WHERE stage = 'policy' GROUP BY 1, 2"""))
 def conservative_tuning(spark, folder):
+    """Every candidate and calibration; a better score has a better place."""
     development, oot = _parts(spark, folder)
-    setup = _setup(["random_forest"])
-    policy = training.split_policy_holdout(oot, setup).where("split = 'policy'").drop("split")
-    return training.tune(development, policy, _windows(spark), setup, [("forest", *_FOREST)], ["isotonic", "none"])
+    setup = _setup()
+    policy = settled(training.split_policy_holdout(oot.where("label is not null"), setup).where("split = 'policy'").drop("split"))
+    tuned = training.tune(development, policy, _windows(spark), setup, _short(v.TUNING_CANDIDATES))
+    better = F.expr("lag(tuning_score) over (order by tuning_rank)")  # one row per candidate and calibration
+    within = _within("holdout_auc", "holdout_brier", "avg_monitor_auc")
+    return tuned.select("config_id", "calibration_method", within.alias("within"), F.coalesce(better >= F.col("tuning_score"), F.lit(True)).alias("ranked"),
+                        policy.agg(F.count("*")).scalar().alias("policy_rows"))
 
 
 def _baseline(holdout):
@@ -146,28 +217,39 @@ def _baseline(holdout):
     return settled(challengers.holdout_figures(zoned, "baseline"))
 
 
-@query("pruned_challenger")
+@query("pruned_challenger", with_(APPLICATIONS, _STAGES, select=f"""SELECT metric, TRUE AS consistent, COUNT(*) AS holdout_rows
+  FROM staged, (VALUES {_names((m,) for m in challengers.METRIC_COLUMNS)}) t(metric) WHERE stage = 'holdout' GROUP BY 1"""))
 def pruned_challenger(spark, folder):
     development, oot = _parts(spark, folder)
-    setup = _setup(["logistic_regression"], cv_splits=1)
+    setup = _setup()
     holdout = training.split_policy_holdout(oot.where("label is not null"), setup).where("split = 'holdout'")
     results = challengers.pruned_challenger(development, oot, _windows(spark), setup, ["month_of_year"], _baseline(holdout), method="none")
-    return results["comparison"]
+    rows = results["holdout_predictions"].agg(F.count("*")).scalar()
+    delta = F.col("challenger_value") - F.col("base_value")
+    return results["comparison"].select("metric", (F.abs(delta - F.col("delta")) < 1e-6).alias("consistent"), rows.alias("holdout_rows"))
 
 
-@query("decision_tuning_challenger")
+@query("decision_tuning_challenger", with_(APPLICATIONS, _STAGES, select=f"""SELECT config_id || '/' || method AS challenger, TRUE AS guarded, TRUE AS ranked, COUNT(*) AS holdout_rows
+  FROM staged, (VALUES {_pairs(v.DECISION_CANDIDATES, v.DECISION_CALIBRATIONS)}) t(config_id, method) WHERE stage = 'holdout' GROUP BY 1"""))
 def decision_tuning_challenger(spark, folder):
+    """Every candidate and calibration; places follow the scores, and no upgrade breaks its first rule."""
     development, oot = _parts(spark, folder)
-    setup = _setup(["random_forest"])
-    parts = training.split_policy_holdout(oot.where("label is not null"), setup)
+    setup = _setup()
+    parts = settled(training.split_policy_holdout(oot.where("label is not null"), setup))
     policy, holdout = (parts.where(F.col("split") == p).drop("split") for p in ("policy", "holdout"))
-    results = challengers.decision_tuning_challenger(
-        development, policy, holdout, _windows(spark), setup, _baseline(holdout), [("forest", *_FOREST)], ["isotonic"])
-    return results["decision"].select("challenger", "final_selection_score", "selection_rank", "upgrade_candidate", "upgrade_reason")
+    base = _baseline(holdout)
+    results = challengers.decision_tuning_challenger(development, policy, holdout, _windows(spark), setup, base, _short(v.DECISION_CANDIDATES))
+    gain = F.col("ch_low_zone_reject_precision") > F.col("base_low_zone_reject_precision") + v.UPGRADE["precision_gain"]
+    decided = results["decision"]
+    better = F.expr("lag(final_selection_score) over (partition by passes_hard_constraints order by selection_rank)")  # one row per candidate and calibration
+    return decided.select(
+        "challenger", (gain | (F.col("upgrade_candidate") == "reject")).alias("guarded"),
+        F.coalesce(better >= F.col("final_selection_score"), F.lit(True)).alias("ranked"), holdout.agg(F.count("*")).scalar().alias("holdout_rows"))
 
 
-@query("rescored_metrics")
+@query("rescored_metrics", with_(APPLICATIONS, select=f"SELECT COUNT(*) AS rows, {R('AVG(label)')} AS positive_ratio, TRUE AS within FROM applications WHERE NOT dev AND label IS NOT NULL"))
 def rescored_metrics(spark, folder):
     development, oot = _parts(spark, folder)
     model = learners.fit(development, _FEATURES, "label", *_CANDIDATES["boosted_trees"], keys=["case_id"])
-    return metrics.classification_metrics(learners.scored(oot, model, _FEATURES), "label", "pred_prob")
+    found = metrics.classification_metrics(learners.scored(oot, model, _FEATURES), "label", "pred_prob")
+    return tidy(found.select("rows", "positive_ratio", _within("auc", "auc_pr", "brier_score", "ks", "f1", "f1_reject").alias("within")))

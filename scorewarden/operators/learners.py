@@ -6,7 +6,6 @@ of all windows, folds and models are single DataFrame plans.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -324,13 +323,24 @@ def rolling_cycles(
 
 # ---- explanation ------------------------------------------------------------------
 def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:
-    """(feature, gain, weight): normalised gain and the number of splits of a fitted tree ensemble."""
+    """(feature, gain, weight, cover): normalised gain, the number of splits and the training rows that passed them.
+
+    The nodes come from the fitted model's own table, one row per node.
+    """
     gains = model.featureImportances.toArray()
-    splits = [0] * len(features)
-    for i in re.findall(r"If \(feature (\d+) ", model.toDebugString):
-        splits[int(i)] += 1
-    rows = [(f, float(gains[i]), float(splits[i])) for i, f in enumerate(features)]
-    return df.sparkSession.createDataFrame(rows, "feature string, gain double, weight double")
+    splits, rows_seen = [0] * len(features), [0] * len(features)
+    for tree in model.trees:
+        stack = [tree._call_java("rootNode")]
+        while stack:
+            node = stack.pop()
+            if node.subtreeDepth() == 0:
+                continue
+            at = node.split().featureIndex()
+            splits[at] += 1
+            rows_seen[at] += node.impurityStats().rawCount()
+            stack += [node.leftChild(), node.rightChild()]
+    rows = [(f, float(gains[i]), float(splits[i]), float(rows_seen[i])) for i, f in enumerate(features)]
+    return df.sparkSession.createDataFrame(rows, "feature string, gain double, weight double, cover double")
 
 
 def permutation_importance(

@@ -24,6 +24,5 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["calibrated_scores", "sigmoid_scores", "batch_scores", "permutation_importance", "training_run"])
-def test_model_query_has_rows(spark, name):
-    assert QUERIES[name](spark, SMALL).count() > 0
+def test_every_query_has_sql_but_those_that_sql_cannot_express():
+    assert {n for n in set(QUERIES) - set(SQL) if n != "pipeline" and not n.startswith("op")} == set()
