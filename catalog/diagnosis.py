@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from catalog.base import CUT, DATA_START, R, SCORED, WINDOWS, query, scored, tidy, with_
 from catalog.drift import _ALL
+from scorewarden import vocabulary as v
 from scorewarden.functions import score_zone
 from scorewarden.operators import diagnosis
 from scorewarden.operators.splits import rolling_windows
 
 _FEATURES = ["score", "coarse", "discount", "tax"]
+_CLASSES = [(["a"], "with_a"), (["e"], "with_e")]
 _CUT = dt.date(2000, 1, 1)
 
 
@@ -166,22 +168,32 @@ def _diagnosed(spark, folder):
     # stand-in for a model's gains, computed from the same data
     gains = flagged.select(*(F.abs(F.corr(F.coalesce(F.col(f), F.lit(0.0)), F.col("actual_reject"))).alias(f) for f in _FEATURES)).unpivot([], _FEATURES, "feature", "gain")
     ranked = diagnosis.rank_importance(gains, ["gain"], "gain").select("feature", "gain_norm", "rank_gain")
-    return diagnosis.diagnosis_table(ranked, correlation, stability, diagnosis.error_profile(flagged, "is_FP", _FEATURES), diagnosis.error_profile(flagged, "is_FN", _FEATURES))
+    return diagnosis.diagnosis_table(ranked, correlation, stability, diagnosis.error_profile(flagged, "is_FP", _FEATURES), diagnosis.error_profile(flagged, "is_FN", _FEATURES), _CLASSES)
 
 
 @query("feature_diagnosis", with_(*_TABLE, select=f"""SELECT feature, {R('gain_norm')} AS gain_norm, rank_gain, {R('corr_with_reject')} AS corr_with_reject, {R('ABS(corr_with_reject)')} AS abs_corr_with_reject,
   {R('lift')} AS reject_lift_q75_vs_q25, {R('psi')} AS psi_dev_vs_oot, {R('shift')} AS mean_shift_zscore, {R('cv')} AS temporal_cv, is_unstable,
-  {R('fp_shift')} AS fp_feature_shift, {R('fn_shift')} AS fn_feature_shift FROM diagnosed"""))
+  {R('fp_shift')} AS fp_feature_shift, {R('fn_shift')} AS fn_feature_shift,
+  CASE WHEN contains(feature, 'a') THEN 'with_a' WHEN contains(feature, 'e') THEN 'with_e' ELSE 'other' END AS feature_class FROM diagnosed"""))
 def feature_diagnosis(spark, folder):
     return tidy(_diagnosed(spark, folder))
 
 
-@query("challenger_plan", with_(*_TABLE, "bad AS (SELECT COUNT(*) AS k FROM diagnosed WHERE is_unstable OR gain_norm < 0.01e0)", select="""SELECT id AS challenger_id, kind AS model_type,
-  CAST(CASE WHEN drops THEN k ELSE 0 END AS INTEGER) AS removed FROM bad, (VALUES ('C1_reject_features', 'boosted_trees', FALSE), ('C2_feature_cleanup', 'boosted_trees', TRUE),
-  ('C3_combined', 'boosted_trees', TRUE), ('C4_no_calibration', 'boosted_trees', FALSE), ('C5_forest', 'random_forest', FALSE)) t(id, kind, drops)"""))
+_EXPERIMENTS = ", ".join(f"('{i}', '{k}', {a}, {d})" for i, k, _, a, d, *_ in v.EXPERIMENTS)
+
+
+@query("challenger_plan", with_(*_TABLE, "bad AS (SELECT string_agg(feature, ',' ORDER BY feature) AS k FROM diagnosed WHERE is_unstable OR gain_norm < 0.01e0)", select=f"""
+  SELECT id AS challenger_id, kind AS model_type, CASE WHEN drops THEN coalesce(k, '') ELSE '' END AS removed, CASE WHEN adds THEN 'x,y' ELSE '' END AS added, 'same rows' AS judged
+  FROM bad, (VALUES {_EXPERIMENTS}) t(id, kind, adds, drops)"""))
 def challenger_plan(spark, folder):
-    plan = diagnosis.challenger_plan(spark, _diagnosed(spark, folder), "gain_norm")
-    return plan.select("challenger_id", "model_type", F.size("remove_features").alias("removed"))
+    plan = diagnosis.challenger_plan(spark, _diagnosed(spark, folder), "gain_norm", v.EXPERIMENTS, ["x", "y"], {"judgement": "same rows"})
+    return plan.select("challenger_id", "model_type", F.array_join("remove_features", ",").alias("removed"), F.array_join("add_features", ",").alias("added"),
+                       F.col("protocol")["judgement"].alias("judged"))
+
+
+@query("unstable_features", with_(*_TABLE, select=f"SELECT feature, {R('psi')} AS psi_dev_vs_oot FROM diagnosed WHERE is_unstable"))
+def unstable_features(spark, folder):
+    return tidy(diagnosis.unstable_features(_diagnosed(spark, folder)).select("feature", "psi_dev_vs_oot"))
 
 
 @query("weak_features", with_(*_TABLE, select=f"SELECT feature, {R('gain_norm')} AS gain_norm FROM diagnosed WHERE gain_norm < 0.2e0"))

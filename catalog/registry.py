@@ -84,3 +84,38 @@ def baseline_record(spark, folder):
         "boosted", "baseline_v1", holdout=rows.agg(F.avg("p").alias("mean"), F.count("*").alias("rows")), policy=rows.agg(F.avg("label").alias("rate")),
         diagnostics=rows.agg(F.count_distinct("segment").alias("segments")), champion=rows.agg(F.date_format(F.min("day"), "yyyy-MM-dd").alias("first")))
     return record.drop("created_at")
+
+
+_NAMED = """records AS (SELECT p_brand AS baseline_name, COUNT(*) AS parts, MAX(p_retailprice) AS created_at FROM part GROUP BY 1),
+events AS (SELECT p_brand AS baseline_name, CAST(o_orderdate AS DATE) AS activated_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+
+def _named(spark, folder):
+    part = table(spark, folder, "part")
+    records = part.groupBy(F.col("p_brand").alias("baseline_name")).agg(F.count("*").alias("parts"), F.max("p_retailprice").alias("created_at"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    dated = lines.join(table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    events = dated.join(part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("baseline_name")), "l_partkey")
+    return records, events.select("baseline_name", F.col("o_orderdate").cast("date").alias("activated_at"))
+
+
+@query("baselines", f"""WITH {_NAMED} SELECT baseline_name, parts, strftime(last, '%Y-%m-%d') AS activated_at,
+  coalesce(baseline_name = (SELECT baseline_name FROM events ORDER BY activated_at DESC, baseline_name DESC LIMIT 1), FALSE) AS is_active
+  FROM records LEFT JOIN (SELECT baseline_name, MAX(activated_at) AS last FROM events GROUP BY 1) USING (baseline_name)""")
+def baselines(spark, folder):
+    records, events = _named(spark, folder)
+    return day_text(registry.baselines(records, events), "activated_at").select("baseline_name", "parts", "activated_at", "is_active")
+
+
+@query("resolved_baseline", f"""WITH {_NAMED}, last AS (SELECT baseline_name FROM events ORDER BY activated_at DESC, baseline_name DESC LIMIT 1),
+  newest AS (SELECT baseline_name FROM records WHERE baseline_name <> (SELECT * FROM last) ORDER BY created_at DESC, baseline_name DESC LIMIT 1)
+  SELECT 'kept' AS kind, baseline_name, 'activated' AS source FROM last UNION ALL SELECT 'lost', baseline_name, 'recovered' FROM newest
+  UNION ALL SELECT 'first', MIN(baseline_name), 'first' FROM records""")
+def resolved_baseline(spark, folder):
+    """The active baseline, the one after its record was lost, and a first one that nobody activated."""
+    records, events = _named(spark, folder)
+    last = registry.active(events).select("active_baseline").scalar()
+    first = records.where(F.col("baseline_name") == records.agg(F.min("baseline_name")).scalar())
+    found = {"kept": (records, events), "lost": (records.where(F.col("baseline_name") != last), events), "first": (first, events.limit(0))}
+    rows = [registry.resolved_baseline(*pair).select(F.lit(kind).alias("kind"), "baseline_name", "source") for kind, pair in found.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scorewarden.functions import flag, ratio
 from scorewarden.operators.drift import long_form, smoothed_psi
+from scorewarden.operators.features import classify_features
 from scorewarden.operators.ordering import exact_quantiles, quick_quantiles
 from scorewarden.operators.splits import tag_windows
 
@@ -189,9 +190,10 @@ def rank_importance(df: DataFrame, measures: Sequence[str], rank_by: str) -> Dat
 
 
 def diagnosis_table(
-    importance: DataFrame, correlation: DataFrame, stability: DataFrame, fp_profile: DataFrame, fn_profile: DataFrame
+    importance: DataFrame, correlation: DataFrame, stability: DataFrame, fp_profile: DataFrame, fn_profile: DataFrame,
+    classes: Sequence[tuple[Sequence[str], str]] = (),
 ) -> DataFrame:
-    """All findings of a feature in one row."""
+    """All findings of a feature in one row, with its class by name."""
     def take(df: DataFrame, *columns: Column | str) -> DataFrame:
         return F.broadcast(df.select("feature", *columns))  # one row per feature
     return (
@@ -200,6 +202,7 @@ def diagnosis_table(
         .join(take(stability, "psi_dev_vs_oot", "mean_shift_zscore", "temporal_cv", "is_unstable"), "feature", "left")
         .join(take(fp_profile, F.col("mean_diff_zscore").alias("fp_feature_shift")), "feature", "left")
         .join(take(fn_profile, F.col("mean_diff_zscore").alias("fn_feature_shift")), "feature", "left")
+        .transform(lambda df: classify_features(df, "feature", classes, "feature_class"))
     )
 
 
@@ -219,21 +222,21 @@ def worst_segments(segments: DataFrame, limit: float = 0.05, k: int = 10) -> Dat
     return segments.where(F.col("fp_rate") > limit).orderBy(F.desc("fp_rate"), "segment_feature", "segment_value").limit(k)
 
 
-def challenger_plan(spark: SparkSession, diagnosis: DataFrame, share: str) -> DataFrame:
-    """Planned experiments; the clean-up ones drop the features found unstable or weak.
+def challenger_plan(
+    spark: SparkSession, diagnosis: DataFrame, share: str, experiments: Sequence[tuple], added: Sequence[str] = (), protocol: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Planned experiments; the clean-up ones drop the features found unstable or weak, others add ``added``.
 
-    The list is at most as long as the feature list.
+    ``experiments``: (id, learner, calibration, adds features, drops features, hypothesis, target metric). ``protocol`` says
+    how all of them are judged. The lists are at most as long as the feature list.
     """
     drop = diagnosis.where(F.col("is_unstable") | (F.col(share) < 0.01)).agg(
         F.array_sort(F.collect_set("feature")).alias("f")).scalar()
-    planned = spark.createDataFrame([
-        ("C1_reject_features", "boosted_trees", "isotonic", True, False, "reject signal is too weak", "f1_reject"),
-        ("C2_feature_cleanup", "boosted_trees", "isotonic", False, True, "noisy features hurt calibration", "brier_score"),
-        ("C3_combined", "boosted_trees", "isotonic", True, True, "improve signal and noise together", "f1_reject, brier_score"),
-        ("C4_no_calibration", "boosted_trees", "none", False, False, "calibration overfits the rejects", "brier_score"),
-        ("C5_forest", "random_forest", "isotonic", False, False, "a forest may be steadier", "stability_score"),
-    ], "challenger_id string, model_type string, calibration string, adds_features boolean, drops boolean, hypothesis string, target_metric string")
+    planned = spark.createDataFrame(
+        list(experiments), "challenger_id string, model_type string, calibration string, adds boolean, drops boolean, hypothesis string, target_metric string")
+    none = F.array().cast("array<string>")
+    judged = F.create_map(*(F.lit(x) for pair in (protocol or {}).items() for x in pair)).cast("map<string,string>")
     return planned.select(
-        "challenger_id", "model_type", "calibration", "adds_features", "hypothesis", "target_metric",
-        F.when(F.col("drops"), drop).otherwise(F.array().cast("array<string>")).alias("remove_features"),
-        F.lit("planned").alias("status"))
+        "challenger_id", "model_type", "calibration", "hypothesis", "target_metric",
+        F.when(F.col("adds"), F.array(*map(F.lit, added)).cast("array<string>")).otherwise(none).alias("add_features"),
+        F.when(F.col("drops"), drop).otherwise(none).alias("remove_features"), judged.alias("protocol"), F.lit("planned").alias("status"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewarden.operators.cleaning import latest_per_key
@@ -22,6 +22,34 @@ def active(events: DataFrame, name: str = "baseline_name", at: str = "activated_
     return events.agg(F.max_by(name, F.struct(at, name)).alias("active_baseline"), F.max(at).alias("activated_at"))
 
 
+def baselines(records: DataFrame, events: DataFrame, name: str = "baseline_name", at: str = "activated_at") -> DataFrame:
+    """Every recorded baseline with its last activation and whether it is the active one."""
+    last = events.groupBy(name).agg(F.max(at).alias(at))
+    newest = events.agg(F.max(F.struct(at, name))[name].alias("n")).scalar()
+    return records.join(last, name, "left").withColumn("is_active", F.coalesce(F.col(name) == newest, F.lit(False)))
+
+
+def resolved_baseline(records: DataFrame, events: DataFrame, name: str = "baseline_name", at: str = "activated_at", created: str = "created_at") -> DataFrame:
+    """One row: the baseline to use and where it comes from.
+
+    The one activated last, if it is on record; else, as after a lost pointer, the newest on record; a first baseline
+    is active without being activated.
+    """
+    chosen = events.join(records.select(name).distinct(), name, "left_semi").agg(F.max(F.struct(at, name))[name].alias("n")).scalar()
+    pointed = events.agg(F.max(F.struct(at, name))[name].alias("n")).scalar()
+    found = records.agg(F.max(F.struct(created, name))[name].alias("newest"), F.count("*").alias("n"))
+    return found.select(
+        F.when(chosen == pointed, chosen).otherwise(F.col("newest")).alias("baseline_name"),
+        F.when(chosen == pointed, "activated").when(F.col("n") == 0, "none").when(F.col("n") == 1, "first").otherwise("recovered").alias("source"))
+
+
+def run_record(spark: SparkSession, run_id: str, mode: str, parameters: Mapping[str, object], outputs: Mapping[str, str]) -> DataFrame:
+    """One row that says what a run was started with and where its results are; written next to them."""
+    row = (run_id, mode, {k: str(v) for k, v in parameters.items()}, dict(outputs))
+    return spark.createDataFrame([row], "run_id string, mode string, parameters map<string,string>, outputs map<string,string>").withColumns({
+        "parameter_key": F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries("parameters")))), 256), "recorded_at": F.current_timestamp()})
+
+
 def next_version(names: DataFrame, column: str, prefix: str = "baseline_v") -> DataFrame:
     """One row: the first unused name of the form prefix + number."""
     used = F.max(F.regexp_extract(F.col(column), f"^{prefix}(\\d+)$", 1).try_cast("int"))

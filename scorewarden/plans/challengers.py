@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scorewarden import vocabulary as v
 from scorewarden.operators import metrics, routing, selection
 from scorewarden.plans.training import Setup, choose_thresholds, evaluate_candidates, retrain_methods, run_training
+from scorewarden.sources.writers import read_results
 from scorewarden.storage import settled
 
 METRIC_COLUMNS = [
@@ -106,6 +107,14 @@ def decision_tuning_challenger(
             "decision": upgrade_rows(figures, baseline)}
 
 
+def compare_stored(spark, root: str, name: str, baseline: DataFrame) -> DataFrame:
+    """The comparison of every stored run with a baseline, rebuilt from its figures: (run_id, metric, values, delta, verdict)."""
+    figures = read_results(spark, root, name)
+    known = [m for m in METRIC_COLUMNS if m in figures.columns]
+    return selection.compare_metrics(
+        selection.long_metrics(baseline, [], known), selection.long_metrics(figures, ["run_id"], known), LOWER_IS_BETTER)
+
+
 def final_decision(decisions: DataFrame, baseline: DataFrame) -> DataFrame:
     """One row: the model to run with its own thresholds.
 

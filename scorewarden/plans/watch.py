@@ -58,7 +58,7 @@ def diagnose(
     stability = settled(diagnosis.feature_stability(features, windows, day=day, reference=reference, features=names))
     fp, fn = (settled(diagnosis.error_profile(flagged, e, names)) for e in ("is_FP", "is_FN"))
     ranked = diagnosis.rank_importance(importance, ["gain", "weight"], "gain").select("feature", "gain_norm", "rank_gain")
-    table = settled(diagnosis.diagnosis_table(ranked, correlation, stability, fp, fn))
+    table = settled(diagnosis.diagnosis_table(ranked, correlation, stability, fp, fn, v.FEATURE_CLASSES))
     segments = settled(diagnosis.segment_errors(
         flagged, levels=[c for c in levels if c in flagged.columns], numbers=[c for c in numbers if c in flagged.columns],
         score="pred_prob", zone="pred_zone"))
@@ -66,6 +66,8 @@ def diagnose(
         "reject_correlation": correlation, "feature_stability": stability, "fp_profile": fp, "fn_profile": fn,
         "segment_errors": segments, "zone_errors": diagnosis.zone_errors(flagged, "pred_prob", "pred_zone"),
         "feature_diagnosis": table, "worst_segments": diagnosis.worst_segments(segments),
-        "challenger_plan": diagnosis.challenger_plan(features.sparkSession, table, "gain_norm"),
+        "challenger_plan": diagnosis.challenger_plan(
+            features.sparkSession, table, "gain_norm", v.EXPERIMENTS, v.EXPERIMENT_FEATURES, v.EXPERIMENT_PROTOCOL),
+        "unstable_features": diagnosis.unstable_features(table),
         "counts": flagged.agg(F.count("*").alias("rows"), F.sum("is_FP").alias("fp_count"), F.sum("is_FN").alias("fn_count")),
     }

@@ -208,3 +208,14 @@ DECISION_CANDIDATES = [
     ("forest_500_depth5", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
 ]
 DECISION_CALIBRATIONS = ["isotonic", "sigmoid"]
+
+# --- experiments planned after a diagnosis -----------------------------------
+EXPERIMENTS = [  # id, learner, calibration, adds features, drops features, hypothesis, target metric
+    ("C1_reject_features", "boosted_trees", "isotonic", True, False, "reject signal is too weak", "f1_reject"),
+    ("C2_feature_cleanup", "boosted_trees", "isotonic", False, True, "noisy features hurt calibration", "brier_score"),
+    ("C3_combined", "boosted_trees", "isotonic", True, True, "improve signal and noise together", "f1_reject, brier_score"),
+    ("C4_no_calibration", "boosted_trees", "none", False, False, "calibration overfits the rejects", "brier_score"),
+    ("C5_forest", "random_forest", "isotonic", False, False, "a forest may be steadier", "stability_score"),
+]
+EXPERIMENT_FEATURES = [f"{c}_scaled" for c in CROSS_FEATURES]
+EXPERIMENT_PROTOCOL = {"windows": "rolling, all", "selection": "policy part", "judgement": "blind holdout, same rows as the baseline"}
