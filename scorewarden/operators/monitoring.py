@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scorewarden.functions import joined_reasons, month_number
 from scorewarden.operators.drift import attach, psi_by_group, score_distribution, zone_shift
 from scorewarden.operators.metrics import classification_metrics, label_coverage
+from scorewarden.storage import settled
 
 
 def trigger_columns(
@@ -59,8 +60,10 @@ def monitor_periods(
     the baseline, metrics of the labelled rows, alerts, warnings and the retraining decision.
 
     Thresholds of 0 are thresholds, not "unset". Metrics are null where a period
-    has no label of one of the classes.
+    has no label of one of the classes. Both tables are read once; their few columns
+    are settled for the passes over them.
     """
+    scored, baseline = settled(scored.select(*by, score, label)), settled(baseline.select(score))
     row = zone_shift(scored, score, baseline, lower, upper, by, rules["warning_zone_shift"])
     row = attach(row, score_distribution(scored, score, by, exact).drop("n", "n_nan").withColumnsRenamed(
         {c: f"score_{c}" for c in ("mean", "std", "median", "min", "max", "q25", "q75")}), by)
