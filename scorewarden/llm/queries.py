@@ -60,7 +60,20 @@ def _(spark, folder):
     return docs.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", r"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id,
+  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END AS s FROM docs),
+kinds AS (SELECT row_number() OVER () AS k, s, len(s) AS n, min(doc_id) AS least, count(*) AS copies FROM sets WHERE s IS NOT NULL GROUP BY s),
+shingles AS (SELECT k, n, unnest(s) AS g FROM kinds),
+links AS (SELECT a.k AS a, b.k AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.k <> b.k GROUP BY 1, 2
+  HAVING count(*) * 10 >= 8 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached(k, m) AS (SELECT k, k FROM kinds UNION SELECT l.a, r.m FROM reached r JOIN links l ON l.b = r.k),
+classes AS (SELECT r.k, min(o.least) AS class_id FROM reached r JOIN kinds o ON o.k = r.m GROUP BY 1),
+counts AS (SELECT a AS k, count(*) AS n_links FROM links GROUP BY 1)
+SELECT doc_id, CASE WHEN sets.s IS NULL THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links, coalesce(copies, 1) AS n_copies
+FROM sets LEFT JOIN kinds USING (s) LEFT JOIN classes USING (k) LEFT JOIN counts USING (k)""")
 def _(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 

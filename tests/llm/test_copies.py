@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorewarden.llm import fingerprints, graph, neardup, substrings
-from scorewarden.llm.queries import QUERIES
+from scorewarden.llm.queries import QUERIES, SQL
 from tests.llm import brute
 from tests.llm.conftest import SMALL
+from tests.oracle import compare
 
 
 def found_classes(df):
@@ -22,6 +23,10 @@ def test_near_copies_of_the_documents(spark, texts):
     assert found_classes(QUERIES["op9_jaccard_join"](spark, SMALL)) == brute.near_classes(texts)
 
 
+def test_near_copies_against_sql(spark, con):
+    assert compare(spark, con, "op9", QUERIES["op9_jaccard_join"], SQL["op9_jaccard_join"], SMALL) is None
+
+
 def edited(draw, words, n):
     out = list(words)
     for _ in range(n):
