@@ -26,8 +26,8 @@ def text_key(text: Column, first: str = "_k1", second: str = "_k2") -> list[Colu
     return [F.xxhash64(text).alias(first), F.xxhash64(F.lit("second"), text).alias(second)]
 
 
-def chunks(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Consecutive row ranges of about ``limit`` bytes; a longer text is a range of its own."""
+def chunks(offsets: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of about ``limit`` bytes, so that arrays of numbers per byte stay small; a longer text is a range of its own."""
     start, n = 0, len(offsets) - 1
     while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
@@ -57,7 +57,7 @@ def mixed_bits(h: np.ndarray) -> np.ndarray:
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = 1 << max(20, n.bit_length())
+        size = 1 << max(18, n.bit_length())
         for i, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

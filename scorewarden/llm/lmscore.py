@@ -28,7 +28,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ranges(batch.column(0))
-            for start, stop in chunks(offsets, 1 << 22):
+            for start, stop in chunks(offsets, 1 << 20):
                 words, n = np.unique(Words(data, offsets[start: stop + 1], _TABLE, fold=True).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
@@ -118,7 +118,9 @@ def cross_entropy_difference(
     words = vocabulary(docs, text, vocabulary_size)
     size = len(words)
     rows = settled(encoded(docs, key, text, words))
-    marked = rows.join(targets.select(F.col(key).alias("_key")).dropna().distinct().withColumn("_target", F.lit(True)), "_key", "left")
+    # the targets grow with the documents: the same join at every size
+    wanted = targets.select(F.col(key).alias("_key")).dropna().distinct().withColumn("_target", F.lit(True)).hint("merge")
+    marked = rows.join(wanted, "_key", "left")
     table = pair_counts(marked.select("_words", F.coalesce("_target", F.lit(False)).alias("_target")), size)
     # at most (size + 2) ** 2 rows, few enough for the driver by the choice of the vocabulary
     got = table.toPandas()

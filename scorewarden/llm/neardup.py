@@ -143,8 +143,8 @@ def triangle(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray
     for n in np.unique(sizes[(sizes > 1) & (sizes <= 24)]):
         a, b = np.triu_indices(n, 1)
         base = starts[sizes == n]
-        for part in range(0, len(base), 4096):
-            at = base[part: part + 4096, None]
+        for part in range(0, len(base), 512):
+            at = base[part: part + 512, None]
             yield (at + a).ravel(), (at + b).ravel()
     for at, n in zip(starts[sizes > 24], sizes[sizes > 24], strict=True):
         a, b = np.triu_indices(n, 1)

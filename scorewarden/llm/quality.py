@@ -84,7 +84,7 @@ def fit(
         for value in part["_text"]:
             data = np.frombuffer(value.encode(), np.uint8)
             _, slots, values = features(data, np.array([0, len(data)], np.int64), bits)
-            found.append((slots, values))
+            found.append((slots.astype(np.int32), values.astype(np.float32)))
         w = leader_weights(found, part["_label"].to_numpy(), 1 << bits, epochs=epochs, rate=rate, smooth=smooth, l1=l1, l2=l2)
         at = np.flatnonzero(w)
         return pd.DataFrame({"slot": at, "weight": w[at]})
