@@ -64,14 +64,34 @@ def _digests(parts: list[bytes], size: int) -> np.ndarray:
     return np.frombuffer(raw, np.int64).reshape(len(parts), size // 8)
 
 
+def packed(texts: DataFrame, *columns: str) -> DataFrame:
+    """The columns and _body, the bytes of _text compressed: what moves when texts are brought together by their key."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+        press = ZstdCompressor(level=3).compress
+        for batch in batches:
+            data, offsets = ranges(batch.column(len(columns)))
+            for at in range(0, batch.num_rows, 1000):
+                stop = min(at + 1000, batch.num_rows)
+                bodies = pa.array([press(data[offsets[i]: offsets[i + 1]].tobytes()) for i in range(at, stop)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, stop - at) for c in range(len(columns))), bodies], names=[*columns, "_body"])
+
+    return texts.select(*columns, "_text").mapInArrow(run, texts.select(*columns).schema.add("_body", "binary"))
+
+
 def _by_text(rows: DataFrame, schema: str, work) -> DataFrame:
-    """Rows (_k1, _k2, columns of ``work``): per text (_k1, _k2, _text, ...) the arrays that ``work`` makes of its bytes."""
+    """Rows (_k1, _k2, columns of ``work``): per text (_k1, _k2, _text or _body, ...) the arrays that ``work`` makes of its bytes."""
     import pyarrow as pa
+    compressed = rows.columns[2] == "_body"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+        plain = ZstdDecompressor().decompress
         for batch in batches:
-            data, offsets = ranges(batch.column(2))
+            data, offsets = (None, None) if compressed else ranges(batch.column(2))
             more = batch.column(3).to_pylist() if batch.num_columns > 3 else [None] * batch.num_rows
             found: list[list] = [[] for _ in names]
             counts, size = [], 0
@@ -82,7 +102,8 @@ def _by_text(rows: DataFrame, schema: str, work) -> DataFrame:
                 return pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *columns], names=[*_TEXT, *names])
 
             for i in range(batch.num_rows):
-                made = work(data[offsets[i]: offsets[i + 1]], more[i])
+                text = np.frombuffer(plain(batch.column(2)[i].as_py()), np.uint8) if compressed else data[offsets[i]: offsets[i + 1]]
+                made = work(text, more[i])
                 if made is None:
                     continue
                 for f, m in zip(found, made, strict=True):
@@ -130,7 +151,7 @@ def all_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def all_cells(texts: DataFrame, length: int, cell: int) -> DataFrame:
-    """(_k1, _k2, _c1, _c2, _h1, _h2, _spot, _left, _right) of the cells of the runs _ats of each text.
+    """(_k1, _k2, _c1, _c2, _h1, _h2, _spot, _left, _right) of the cells of the runs _ats of each text _body.
 
     Windows are told by how far the leader lies behind their first byte. Cell c holds the distances c * ``cell`` to
     c * ``cell`` + ``cell`` - 1, of which the run has some. _c1, _c2 are a digest of the bytes all windows of the cell
@@ -159,7 +180,7 @@ def all_cells(texts: DataFrame, length: int, cell: int) -> DataFrame:
         return c[:, 0], c[:, 1], h[:, 0], h[:, 1], np.array(spots, np.int64), lefts, rights
 
     return _by_text(
-        texts.select(*_TEXT, "_text", "_ats"), "_c1 long, _c2 long, _h1 long, _h2 long, _spot long, _left binary, _right binary", work)
+        texts.select(*_TEXT, "_body", "_ats"), "_c1 long, _c2 long, _h1 long, _h2 long, _spot long, _left binary, _right binary", work)
 
 
 def _repeated(rows: DataFrame, *by: str) -> DataFrame:
@@ -194,7 +215,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 400, gr
     west, east = (_repeated(kinds.where(f"{side} != 0"), side) for side in ("_west", "_east"))
     ahead = kinds.join(west, "_west", "left_semi").select(*_TEXT, "_at").unionByName(kinds.join(east, "_east", "left_semi").select(*_TEXT, "_at"))
     listed = ahead.groupBy(*_TEXT).agg(F.collect_set("_at").alias("_ats"))
-    bodies = texts.groupBy(*_TEXT).agg(F.first("_text").alias("_text")).join(listed, _TEXT)
+    bodies = packed(texts, *_TEXT).groupBy(*_TEXT).agg(F.first("_body").alias("_body")).join(listed, _TEXT)
     cells = settled(all_cells(bodies, length, cell))
     live = settled(cells.join(_repeated(cells, "_c1", "_c2"), ["_c1", "_c2"]))
     place, low, high = F.shiftright("_spot", 32), F.shiftright("_spot", 16).bitwiseAND(0xFFFF), F.col("_spot").bitwiseAND(0xFFFF)
@@ -235,21 +256,23 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     copies = docs.select(*text_key(body)).groupBy("_k1", "_k2").agg(F.count("*").alias("_copies")).where("_copies > 1")
     spans = repeated_spans(docs, text=text, length=length)
     marks = settled(spans.join(copies, ["_k1", "_k2"], "full").select("_k1", "_k2", "_spans", F.coalesce("_copies", F.lit(1)).alias("_copies")))
-    joined = docs.select(F.col(key).alias("_key"), body.alias("_text"), *text_key(body)).join(marks, ["_k1", "_k2"], "left")
+    joined = packed(docs.select(F.col(key).cast("long").alias("_key"), body.alias("_text"), *text_key(body)), "_key", *_TEXT).join(marks, _TEXT, "left")
     schema = "_key long, n_bytes long, n_removed long, n_spans long, _kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+        plain = ZstdDecompressor().decompress
         for batch in batches:
-            data, offsets = ranges(batch.column(1))
             copies = batch.column(3).to_numpy(zero_copy_only=False)
-            removed, spans, kept = [], [], []
+            sizes, removed, spans, kept = [], [], [], []
             lists = batch.column(2)
             edges, flat = lists.offsets.to_numpy(), lists.values
             starts, stops = (flat.field(i).to_numpy() for i in (0, 1))
             valid = lists.is_valid().to_numpy(zero_copy_only=False)
             for i in range(batch.num_rows):
-                part = data[offsets[i]: offsets[i + 1]]
-                n = len(part)
+                raw = plain(batch.column(1)[i].as_py())
+                n = len(raw)
+                sizes.append(n)
                 if copies[i] > 1 and n >= length:
                     found = [(0, n)]
                 elif valid[i]:
@@ -260,7 +283,7 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                     found = list(zip(a[new].tolist(), b[np.r_[new[1:], len(a)] - 1].tolist(), strict=True))
                 else:
                     found = []
-                raw, at, left = part.tobytes(), 0, []
+                at, left = 0, []
                 for a, b in found:
                     left.append(raw[at:a])
                     at = b
@@ -268,8 +291,8 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 removed.append(sum(b - a for a, b in found))
                 spans.append(len(found))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
                 names=["_key", "n_bytes", "n_removed", "n_spans", "_kept"])
 
-    out = joined.select(F.col("_key").cast("long"), "_text", "_spans", F.coalesce("_copies", F.lit(1)).alias("_copies")).mapInArrow(run, schema)
+    out = joined.select("_key", "_body", "_spans", F.coalesce("_copies", F.lit(1)).alias("_copies")).mapInArrow(run, schema)
     return out.withColumnRenamed("_key", key)
