@@ -1,24 +1,38 @@
 """Score documents by the difference of their cross-entropies under two matched bigram models.
 
-Both models share one vocabulary, the most frequent words of all documents, and
-one class for every other word. The target model counts the bigrams of target
-documents, the background model those of all documents, scaled to the target's
-number of words. A document's score is the mean over its words of the loss under
-the target model minus the loss under the background model.
+Both models share one vocabulary: every word of the documents. The target model
+counts the bigrams of target documents, the background model those of all
+documents, scaled to the target's number of words. A document's score is the mean
+over its words of the loss under the target model minus the loss under the
+background model.
+
+The counts are a distributed table. Documents are packed into chunks; each chunk
+sends every key it holds (a word, a word before another, a bigram) once, in buckets
+of the key space, where the counts of all chunks are added up and sent back to the
+chunks that asked. So a frequent bigram makes one entry per chunk, and nothing that
+grows with the words reaches the driver.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewarden.llm.common import Words, chunks, ranges, settled, word_table
+from scorewarden.llm.common import Words, chunks, mixed_bits, ranges, settled, word_table
 
 _TABLE = word_table(kinds=True)
 _TABLE[_TABLE == 2] = 0  # marks part words
+#: Words of a chunk, and about how many entries a bucket holds; a row has at least LEAST_KEYS, so that rows grow with the input.
+CHUNK_WORDS, BUCKET_ENTRIES, LEAST_BUCKETS, LEAST_KEYS = 1 << 21, 1 << 20, 64, 64
+#: The last two bits of a key say what it counts.
+_WORD, _BEFORE, _PAIR = (np.uint64(k) for k in range(3))
+_KIND = np.uint64(3)
+_START, _OTHER = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0x27D4EB2F165667C5)
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -41,106 +55,207 @@ def vocabulary(docs: DataFrame, text: str, size: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
-def encoded(docs: DataFrame, key: str, text: str, words: np.ndarray) -> DataFrame:
-    """(_key, _words): the place of every word in the vocabulary as 16-bit numbers, its size for all others."""
+def _packed(array: np.ndarray) -> bytes:
+    """Whole numbers as compressed bytes, the bytes of one rank together."""
+    return zlib.compress(np.ascontiguousarray(array.view(np.uint8).reshape(len(array), -1).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+_CHUNK = "_chunk long, _keys array<long>, _sizes binary, _target binary, _words binary, _places binary, n_words long, n_target long, n_keys long"
+
+
+def packed_chunks(marked: DataFrame, words: np.ndarray | None) -> DataFrame:
+    """Chunks of the documents (_key, _text, _target): their keys, numbers of words, and words as places in the chunk's own list.
+
+    With ``words``, a sorted list of hashes, all other words are one.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sizes, target, hashes, held, made = [], [], [], [], 0, 0
+        part = TaskContext.get().partitionId()
+
+        def chunk() -> pa.RecordBatch:
+            n, wanted, every = np.concatenate(sizes), np.concatenate(target), np.concatenate(hashes)
+            own, place, count = np.unique(every, return_inverse=True, return_counts=True)
+            order = np.argsort(-count, kind="stable")  # small places for frequent words compress
+            rank = np.empty(len(own), np.uint32)
+            rank[order] = np.arange(len(own), dtype=np.uint32)
+            places = rank[place]
+            values = [
+                part + (made << 32), pa.concat_arrays(keys).to_pylist(), n.tobytes(), wanted.tobytes(), _packed(own[order]), _packed(places), len(every), int(n[wanted].sum()),
+                len(_Counts(own[order], places, n, wanted).keys)]
+            types = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.int64()] * 3]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[c.split()[0] for c in _CHUNK.split(", ")])
+
         for batch in batches:
             data, offsets = ranges(batch.column(1))
             for start, stop in chunks(offsets):
                 found = Words(data, offsets[start: stop + 1], _TABLE, fold=True)
-                place = np.searchsorted(words, found.hashes)
-                known = np.zeros(len(place), bool)
-                inside = place < len(words)
-                known[inside] = words[place[inside]] == found.hashes[inside]
-                codes = np.where(known, place, len(words)).astype(np.uint16)
-                edges = np.searchsorted(found.doc, np.arange(stop - start + 1))
-                texts = [codes[edges[i]: edges[i + 1]].tobytes() for i in range(stop - start)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(texts, pa.binary())], names=["_key", "_words"])
-
-    return docs.select(F.col(key).cast("long").alias("_key"), F.col(text)).mapInArrow(run, "_key long, _words binary")
-
-
-def _pairs(codes: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, word before, word) of every word; the first word of a text follows the start mark ``size`` + 1."""
-    counts = np.array([len(c) // 2 for c in codes], np.int64)
-    now = np.frombuffer(b"".join(codes), np.uint16).astype(np.int64)
-    row = np.repeat(np.arange(len(codes)), counts)
-    before = np.empty_like(now)
-    before[1:] = now[:-1]
-    first = np.cumsum(counts) - counts
-    before[first[counts > 0]] = size + 1
-    return row, before, now
-
-
-def pair_counts(rows: DataFrame, size: int) -> DataFrame:
-    """(pair, n_target, n_all) of bigrams as before * (size + 2) + word, over rows (_words, _target)."""
+                now = found.hashes
+                if words is not None:
+                    now = np.where(np.isin(now, words), now, _OTHER)
+                keys.append(batch.column(0).slice(start, stop - start))
+                sizes.append(np.bincount(found.doc, minlength=stop - start).astype(np.int64))
+                target.append(np.asarray(batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False), bool))
+                hashes.append(now)
+                held += len(now)
+                if held >= CHUNK_WORDS:
+                    yield chunk()
+                    keys, sizes, target, hashes, held, made = [], [], [], [], 0, made + 1
+        if keys:
+            yield chunk()
+
+    return marked.select("_key", "_text", "_target").mapInArrow(run, _CHUNK)
+
+
+class _Counts:
+    """The different keys of a chunk in order, their counts in target and in all documents, and where each word finds its three keys."""
+
+    def __init__(self, own: np.ndarray, places: np.ndarray, sizes: np.ndarray, target: np.ndarray):
+        now = own[places]
+        before = np.empty_like(now)
+        before[1:] = now[:-1]
+        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = _START
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        wanted = target[self.row]
+        keys, n, n_target, at = [], [], [], []
+        for kind, values in ((_WORD, now), (_BEFORE, mixed_bits(before + np.uint64(1))), (_PAIR, mixed_bits(mixed_bits(before) * np.uint64(31) + now))):
+            key, place, count = np.unique((values & ~_KIND) | kind, return_inverse=True, return_counts=True)
+            keys.append(key)
+            n.append(count)
+            n_target.append(np.bincount(place[wanted], minlength=len(key)))
+            at.append(place)
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        spot = np.empty(len(every), np.int64)
+        spot[order] = np.arange(len(every))
+        self.keys, self.n, self.n_target = every[order], np.concatenate(n)[order], np.concatenate(n_target)[order]
+        shift = np.cumsum([0, *map(len, keys)])
+        self.word, self.before, self.pair = (spot[s: s + len(k)][p] for s, k, p in zip(shift, keys, at, strict=False))
+
+
+def _counted(row: dict) -> _Counts:
+    return _Counts(
+        _unpacked(row["_words"], np.uint64), _unpacked(row["_places"], np.uint32), np.frombuffer(row["_sizes"], np.int64), np.frombuffer(row["_target"], bool))
+
+
+def key_totals(packs: DataFrame, buckets: int) -> DataFrame:
+    """(_chunk, _bucket, _totals, n_words): the counts over all chunks of the keys of a chunk in a bucket, in order.
+
+    ``n_words`` is the number of different words of the bucket, on the row of its first chunk.
+    """
     import pyarrow as pa
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.uint64(64 - (buckets.bit_length() - 1))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = _counted(row)
+                edges = np.searchsorted((c.keys >> bits).astype(np.int64), np.arange(buckets + 1))
+                full = np.flatnonzero(edges[1:] > edges[:-1])
+                cut = lambda a, full=full, edges=edges: pa.array([a[edges[b]: edges[b + 1]].tobytes() for b in full], pa.binary())
+                counts = pa.array([_packed(np.r_[c.n_target[edges[b]: edges[b + 1]], c.n[edges[b]: edges[b + 1]]].astype(np.uint32)) for b in full], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(full), row["_chunk"], np.int64)), pa.array(full.astype(np.int64)), cut(c.keys), counts], names=["_chunk", "_bucket", "_hashes", "_counts"])
+
+    def added(rows: list[dict]) -> pa.RecordBatch:
+        keys = [np.frombuffer(r["_hashes"], np.uint64) for r in rows]
+        counts = [_unpacked(r["_counts"], np.uint32).reshape(2, -1) for r in rows]
+        own, place = np.unique(np.concatenate(keys), return_inverse=True)
+        both = np.concatenate(counts, 1)
+        totals = np.stack([np.bincount(place, c, len(own)) for c in both]).astype(np.int64)
+        ends = np.cumsum([len(k) for k in keys])
+        answers = [_packed(totals[:, place[e - len(k): e]].reshape(-1)) for e, k in zip(ends, keys, strict=True)]
+        first = np.zeros(len(rows), np.int64)
+        first[0] = ((own & _KIND) == _WORD).sum()
+        return pa.RecordBatch.from_arrays([
+            pa.array([r["_chunk"] for r in rows], pa.int64()), pa.array([r["_bucket"] for r in rows], pa.int64()), pa.array(answers, pa.binary()), pa.array(first)],
+            names=["_chunk", "_bucket", "_totals", "n_words"])
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in batches:
-            codes, wanted = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-            step = 1000
-            for at in range(0, len(codes), step):
-                row, before, now = _pairs(codes[at: at + step], size)
-                pairs, place = np.unique(before * (size + 2) + now, return_inverse=True)
-                target = wanted[at: at + step][row].astype(np.float64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(pairs), pa.array(np.bincount(place, target, len(pairs)).astype(np.int64)),
-                    pa.array(np.bincount(place, minlength=len(pairs)).astype(np.int64))], names=["pair", "n_target", "n_all"])
+            for row in batch.to_pylist():
+                if rows and rows[0]["_bucket"] != row["_bucket"]:
+                    yield added(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield added(rows)
 
-    return rows.select("_words", "_target").mapInArrow(run, "pair long, n_target long, n_all long").groupBy("pair").agg(
-        F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all"))
+    entries = packs.select("_chunk", "_sizes", "_target", "_words", "_places").mapInArrow(sent, "_chunk long, _bucket long, _hashes binary, _counts binary")
+    return _dealt(entries, "_bucket").sortWithinPartitions("_bucket").mapInArrow(grouped, "_chunk long, _bucket long, _totals binary, n_words long")
 
 
-def losses(counts: np.ndarray, prior: float) -> np.ndarray:
-    """Bits per word for every bigram: counts backed by ``prior`` words drawn from the add-one unigram model."""
-    words = counts.sum(0) + 1
-    single = words / words.sum()
-    return -np.log2((counts + prior * single) / (counts.sum(1, keepdims=True) + prior)).astype(np.float32)
+def _dealt(df: DataFrame, number: str) -> DataFrame:
+    """Rows of the same number together, consecutive numbers in different partitions."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionById(parts, F.pmod(F.col(number), F.lit(parts)).cast("int"))
 
 
 def cross_entropy_difference(
-    docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", text: str = "text", vocabulary_size: int = 1024, prior: float = 50.0,
+    docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", text: str = "text", vocabulary_size: int | None = None, prior: float = 50.0,
 ) -> DataFrame:
     """One row per document: ``key``, n_words, target_loss, background_loss, difference (bits per word; low is near the target).
 
-    ``targets`` has the keys of the target documents. Counts cover every word of every document. The models are tables of
-    (``vocabulary_size`` + 2) squared numbers, 4 MB each at the default, whatever the documents; they are sent to the
-    tasks. Words are runs of letters, digits and bytes beyond ASCII in lower case. Null texts and texts without words have
-    losses of 0. A null key is in no target; a repeated key of ``targets`` counts once; repeated rows are documents of
-    their own; other columns are left out; an empty table gives no rows.
+    ``targets`` has the keys of the target documents. Counts cover every word and every bigram of every document; only with
+    a ``vocabulary_size`` are all but so many most frequent words one class. A bigram's count is backed by ``prior`` words
+    drawn from the add-one unigram model. Words are runs of letters, digits and bytes beyond ASCII in lower case. Null texts
+    and texts without words have losses of 0. A null key is in no target; a repeated key of ``targets`` counts once; repeated
+    rows are documents of their own; other columns are left out; an empty table gives no rows.
     """
     import pyarrow as pa
-    if not 0 < vocabulary_size <= 60_000:
-        raise ValueError("vocabulary_size must be between 1 and 60000")
-    words = vocabulary(docs, text, vocabulary_size)
-    size = len(words)
-    rows = settled(encoded(docs, key, text, words))
+    if vocabulary_size is not None and vocabulary_size <= 0:
+        raise ValueError("vocabulary_size must be above 0")
+    words = None if vocabulary_size is None else vocabulary(docs, text, vocabulary_size)
     # the targets grow with the documents: the same join at every size
-    wanted = targets.select(F.col(key).alias("_key")).dropna().distinct().withColumn("_target", F.lit(True)).hint("merge")
-    marked = rows.join(wanted, "_key", "left")
-    table = pair_counts(marked.select("_words", F.coalesce("_target", F.lit(False)).alias("_target")), size)
-    # at most (size + 2) ** 2 rows, few enough for the driver by the choice of the vocabulary
-    got = table.toPandas()
-    target, every = (np.zeros((size + 2) ** 2) for _ in range(2))
-    target[got["pair"]], every[got["pair"]] = got["n_target"], got["n_all"]
-    if target.sum():
-        every *= target.sum() / every.sum()
-    models = rows.sparkSession.sparkContext.broadcast(tuple(losses(c.reshape(size + 2, size + 2), prior) for c in (target, every)))
+    wanted = targets.select(F.col(key).cast("long").alias("_key")).dropna().distinct().withColumn("_target", F.lit(True)).hint("merge")
+    marked = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(wanted, "_key", "left").withColumn(
+        "_target", F.coalesce("_target", F.lit(False)))
+    packs = settled(packed_chunks(marked, words))
+    sums = packs.agg(F.sum("n_words").alias("all"), F.sum("n_target").alias("target"), F.sum("n_keys").alias("keys"), F.max("n_keys").alias("most")).first()
+    n_all, n_target, most = sums["all"] or 0, sums["target"] or 0, max(1, sums["most"] or 0)
+    buckets = LEAST_BUCKETS
+    while buckets * BUCKET_ENTRIES < (sums["keys"] or 0) and buckets * LEAST_KEYS < most:
+        buckets *= 2
+    totals = settled(key_totals(packs, buckets))
+    different = (totals.agg(F.sum("n_words")).first()[0] or 0) if words is None else len(words)
+    scale = n_target / n_all if n_target else 1.0
+
+    def loss(n: np.ndarray, c: _Counts, factor: float, total: float) -> np.ndarray:
+        single = (n[c.word] * factor + 1) / (total * factor + different + 2)
+        return -np.log2((n[c.pair] * factor + prior * single) / (n[c.before] * factor + prior))
+
+    def scored(row: dict, parts: list[bytes]) -> pa.RecordBatch:
+        c = _counted(row)
+        got = [_unpacked(p, np.int64).reshape(2, -1) for p in parts]
+        near, far = np.concatenate(got, 1) if got else np.zeros((2, 0), np.int64)
+        n = np.frombuffer(row["_sizes"], np.int64)
+        a, b = (np.bincount(c.row, x, len(n)) / np.maximum(n, 1) for x in (loss(near, c, 1.0, n_target), loss(far, c, scale, n_all)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row["_keys"], pa.int64()), pa.array(n), pa.array(a), pa.array(b), pa.array(a - b)], names=["_key", "n_words", "target_loss", "background_loss", "difference"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, far = models.value
+        row, parts = None, []
         for batch in batches:
-            codes, step = batch.column(1).to_pylist(), 1000
-            for at in range(0, len(codes), step):
-                part = codes[at: at + step]
-                row, before, now = _pairs(part, size)
-                n = np.bincount(row, minlength=len(part))
-                a, b = (np.bincount(row, m[before, now], len(part)) / np.maximum(n, 1) for m in (near, far))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(part)), pa.array(n.astype(np.int64)), pa.array(a), pa.array(b), pa.array(a - b)],
-                    names=["_key", "n_words", "target_loss", "background_loss", "difference"])
-
-    return rows.mapInArrow(run, "_key long, n_words long, target_loss double, background_loss double, difference double").withColumnRenamed("_key", key)
+            for r in batch.to_pylist():
+                if r["_bucket"] < 0:
+                    if row:
+                        yield scored(row, parts)
+                    row, parts = r, []
+                else:
+                    parts.append(r["_totals"])
+        if row:
+            yield scored(row, parts)
+
+    pack = F.struct("_keys", "_sizes", "_target", "_words", "_places")
+    back = packs.select("_chunk", F.lit(-1).cast("long").alias("_bucket"), pack.alias("_pack")).unionByName(
+        totals.select("_chunk", "_bucket", "_totals"), allowMissingColumns=True).select("_chunk", "_bucket", "_totals", "_pack.*")
+    return _dealt(back, "_chunk").sortWithinPartitions("_chunk", "_bucket").mapInArrow(
+        run, "_key long, n_words long, target_loss double, background_loss double, difference double").withColumnRenamed("_key", key)

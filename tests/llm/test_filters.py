@@ -176,3 +176,20 @@ def test_cross_entropy_of_odd_rows(spark, odd):
     rows = lmscore.cross_entropy_difference(odd, none, vocabulary_size=20).collect()
     assert len(rows) == odd.count() and all(r["difference"] == 0 for r in rows if not r["n_words"])
     assert lmscore.cross_entropy_difference(odd.limit(0), none).count() == 0
+
+
+def test_losses_tell_rare_words_apart(spark):
+    common = " ".join(f"word{i}" for i in range(1100))
+    texts = [common, common, "word1 zebra word2", "word1 okapi word2", "word1 zebra word2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(docs, spark.createDataFrame([(0,), (2,)], "doc_id long")).collect()}
+    assert rows[2]["difference"] == rows[4]["difference"] < rows[3]["difference"] - 0.005
+
+
+def test_losses_do_not_depend_on_chunks(spark, documents, monkeypatch):
+    target = documents.where("doc_id % 3 = 0").select("doc_id")
+    got = [lmscore.cross_entropy_difference(documents.repartition(3), target)]
+    monkeypatch.setattr(lmscore, "LEAST_BUCKETS", 256)
+    got.append(lmscore.cross_entropy_difference(documents.repartition(7), target))
+    one, two = ({r["doc_id"]: r["difference"] for r in df.collect()} for df in got)
+    assert one == pytest.approx(two)
