@@ -28,7 +28,7 @@ from scorewarden.llm.common import Words, chunks, mixed_bits, ranges, settled, w
 _TABLE = word_table(kinds=True)
 _TABLE[_TABLE == 2] = 0  # marks part words
 #: Words of a chunk, and about how many entries a bucket holds; a row has at least LEAST_KEYS, so that rows grow with the input.
-CHUNK_WORDS, BUCKET_ENTRIES, LEAST_BUCKETS, LEAST_KEYS = 1 << 21, 1 << 20, 64, 64
+CHUNK_WORDS, BUCKET_ENTRIES, LEAST_BUCKETS, LEAST_KEYS = 3 << 20, 1 << 20, 64, 64
 #: The last two bits of a key say what it counts.
 _WORD, _BEFORE, _PAIR = (np.uint64(k) for k in range(3))
 _KIND = np.uint64(3)
@@ -159,13 +159,14 @@ def key_totals(packs: DataFrame, buckets: int) -> DataFrame:
                 c = _counted(row)
                 edges = np.searchsorted((c.keys >> bits).astype(np.int64), np.arange(buckets + 1))
                 full = np.flatnonzero(edges[1:] > edges[:-1])
-                cut = lambda a, full=full, edges=edges: pa.array([a[edges[b]: edges[b + 1]].tobytes() for b in full], pa.binary())
+                # the steps between sorted keys are shorter than the keys
+                steps = pa.array([_packed(np.diff(c.keys[edges[b]: edges[b + 1]], prepend=np.uint64(0))) for b in full], pa.binary())
                 counts = pa.array([_packed(np.r_[c.n_target[edges[b]: edges[b + 1]], c.n[edges[b]: edges[b + 1]]].astype(np.uint32)) for b in full], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(full), row["_chunk"], np.int64)), pa.array(full.astype(np.int64)), cut(c.keys), counts], names=["_chunk", "_bucket", "_hashes", "_counts"])
+                    [pa.array(np.full(len(full), row["_chunk"], np.int64)), pa.array(full.astype(np.int64)), steps, counts], names=["_chunk", "_bucket", "_hashes", "_counts"])
 
     def added(rows: list[dict]) -> pa.RecordBatch:
-        keys = [np.frombuffer(r["_hashes"], np.uint64) for r in rows]
+        keys = [np.cumsum(_unpacked(r["_hashes"], np.uint64), dtype=np.uint64) for r in rows]
         counts = [_unpacked(r["_counts"], np.uint32).reshape(2, -1) for r in rows]
         own, place = np.unique(np.concatenate(keys), return_inverse=True)
         both = np.concatenate(counts, 1)
