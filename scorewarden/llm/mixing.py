@@ -21,6 +21,8 @@ from scorewarden.llm.common import settled
 #: A word is a run of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 _INDEX_BITS = (1 << 33) - 1
+#: Most words that one run of the programme may span; it holds four bytes for each.
+MOST_SPAN = 1 << 24
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -66,7 +68,8 @@ def fitted_copies(sizes: np.ndarray, counts: np.ndarray, budget: float, most: in
     """How many copies of each length (all above 0) to take, for a sum at or just below ``budget``.
 
     ``spare`` words are left to the dynamic programme; every length offers ``most`` copies of each document. A small
-    source whose whole copies leave a gap that nothing fits is tried with one whole copy less.
+    source whose whole copies leave a gap that nothing fits is tried with one whole copy less, and a larger one with more
+    and more copies of its longest documents given back, up to all of them or ``MOST_SPAN`` words.
     """
     total = int((sizes * counts).sum())
     if not total or budget <= 0:
@@ -90,6 +93,21 @@ def fitted_copies(sizes: np.ndarray, counts: np.ndarray, budget: float, most: in
             best, gap = taken + more, open_words
         if not gap or total > spare:
             break
+    even, room, least = min(int(np.floor(share)) + 1, most) * counts, spare, int(np.floor(budget)) % int(np.gcd.reduce(sizes))
+    start, open_first = best, gap
+    # no sum comes nearer than ``least``; a small source has been searched in full
+    while total > spare and gap > least and room < MOST_SPAN:
+        room = min(4 * room, MOST_SPAN)
+        taken, left = start.copy(), open_first
+        for i in order:
+            back = min(int(taken[i]), (room - left) // int(sizes[i])) if left < room else 0
+            taken[i] -= back
+            left += back * int(sizes[i])
+        more, open_words = closing_copies(sizes, order, [np.maximum(even - taken, 0), most * counts - np.maximum(taken, even)], left)
+        if open_words < gap:
+            best, gap = taken + more, open_words
+        if not taken.any():
+            break
     return best
 
 
@@ -103,7 +121,7 @@ def closing_copies(sizes: np.ndarray, order: np.ndarray, limits: Sequence[np.nda
     if left <= 0:
         return more, 0
     # reach: bit b is set if some choice of the items so far sums to b; by[b]: the item that first reached b
-    reach, mask, by, items = 1, (1 << (left + 1)) - 1, np.full(left + 1, -1, np.int64), []
+    reach, mask, by, items = 1, (1 << (left + 1)) - 1, np.full(left + 1, -1, np.int32), []
     for limit in limits:
         for i in order:
             room, copies = min(int(limit[i]), left // int(sizes[i])), 1

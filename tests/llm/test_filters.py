@@ -193,3 +193,12 @@ def test_losses_do_not_depend_on_chunks(spark, documents, monkeypatch):
     got.append(lmscore.cross_entropy_difference(documents.repartition(7), target))
     one, two = ({r["doc_id"]: r["difference"] for r in df.collect()} for df in got)
     assert one == pytest.approx(two)
+
+
+def test_large_sources_of_few_lengths_are_fitted_exactly():
+    for scale in (1, 10_000):
+        assert mixing.fitted_copies(np.array([4, 5]) * scale, np.array([1, 1]), 12.0 * scale, 3, 1 << 16).tolist() == [3, 0]
+    # 200 documents of each length: only some are given back
+    sizes, counts = np.array([40_000, 50_000]), np.array([200, 200])
+    got = mixing.fitted_copies(sizes, counts, 18_030_000.0, 3, 1 << 16)
+    assert int((got * sizes).sum()) == 18_030_000 and ((got >= 0) & (got <= 3 * counts)).all()
