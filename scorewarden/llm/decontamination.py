@@ -80,22 +80,18 @@ def item_windows(items: DataFrame, key: str, text: str, width: int, least_words:
 
 def leaked_items(
     docs: DataFrame, items: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", width: int = 8,
-    stride: int = 4, least_words: int = 5, least_windows: int = 6,
+    least_words: int = 5, least_windows: int = 6,
 ) -> DataFrame:
     """Per different text (_k1, _k2) and item found in it: n_windows, share, n_slots, n_changed.
 
     A text holds an item if at one alignment at least ``least_windows`` windows agree (all but one, for an item with fewer,
-    as its first word may read as a name inside a sentence) and equal values of the item stand for equal values of the text. Only every ``stride``-th window of a text is looked up
-    at first, which finds every run of width + stride - 1 words; texts with a hit are then compared at every word. For
-    items shorter than such a run the stride is reduced. Items of fewer than ``width`` words, null keys and null texts are
+    as its first word may read as a name inside a sentence) and equal values of the item stand for equal values of the text. Every window of a text is looked up; texts with a hit are then compared. Items of fewer than ``width`` words, null keys and null texts are
     never found. Copies of a text are looked up once.
     """
     windows = settled(item_windows(items, item_key, item_text, width, least_words))
-    shortest = windows.agg(F.min("_of")).first()[0] or 1
-    step = max(1, min(stride, int(shortest)))
     body = F.coalesce(F.col(text), F.lit(""))
     hashed = _hashed_words(docs.select(*text_key(body), body.alias("_text")), F.col("_text"))
-    spots = _windows(F.size("_hashes"), width, step, lambda i: F.xxhash64(F.slice("_hashes", i, width)))
+    spots = _windows(F.size("_hashes"), width, 1, lambda i: F.xxhash64(F.slice("_hashes", i, width)))
     looked = small_side(windows.select("_hash").distinct())
     hits = hashed.select("_k1", "_k2", F.explode(spots).alias("_hash")).join(looked, "_hash").select("_k1", "_k2").distinct()
     bodies = docs.select(*text_key(body), body.alias("_text")).join(small_side(hits), ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(

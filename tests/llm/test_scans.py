@@ -131,3 +131,13 @@ def test_items_in_odd_rows(spark, odd):
     assert decontamination.without_leaks(odd, items.limit(0)).count() == odd.count() and decontamination.without_leaks(odd.limit(0), items).count() == 0
     same = spark.createDataFrame([(2, "a shared line with several words in it")], "item_id long, text string")
     assert sorted(r["doc_id"] for r in decontamination.contaminated(odd, same).collect()) == [4, 4, 5]
+
+
+def leaks(spark, texts, items):
+    found = decontamination.contaminated(docs_of(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+def test_items_with_gaps_between_windows_are_found_at_every_place(spark):
+    item = "we saw how one old boat went past Anna Berg 12 km before the rain came down again"
+    assert leaks(spark, ["so " * n + item for n in range(8)], [item]) == {(n, 0) for n in range(8)}
