@@ -138,6 +138,12 @@ def leaks(spark, texts, items):
     return {(r["doc_id"], r["item_id"]) for r in found.collect()}
 
 
+def test_short_and_slot_dense_items_are_found_verbatim(spark):
+    items = ["Tom 5 km, Ann 7 km, Bob 9 km, Eve 11 km", "what is seven times eight"]
+    texts = [f"so it says: {x} and then more" for x in items] + ["so it says: Tom 5 km, Ann 8 km, Bob 9 km, Eve 12 km and", "what is seven times nine"]
+    assert leaks(spark, texts, items) == {(0, 0), (1, 1)}
+
+
 def test_items_with_gaps_between_windows_are_found_at_every_place(spark):
     item = "we saw how one old boat went past Anna Berg 12 km before the rain came down again"
     assert leaks(spark, ["so " * n + item for n in range(8)], [item]) == {(n, 0) for n in range(8)}
