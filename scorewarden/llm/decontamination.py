@@ -133,7 +133,8 @@ def leaked_items(
         F.countDistinct("_at").alias("n_windows"), F.countDistinct(F.when(kept, F.col("_at"))).alias("_n_kept"), pairs.alias("_pairs")).withColumn(
         "_same", F.size(F.array_distinct(F.transform("_pairs", lambda p: p["item"]))) == F.size("_pairs"))
     need = F.least(F.lit(least_windows), F.greatest(F.lit(1), F.when(F.col("_free") > 0, F.col("_free")).otherwise(F.col("_of")) - 1))
-    good = aligned.where(F.col("_same") & (F.col("n_windows") >= need))
+    verbatim = (F.col("_n_kept") >= need) & ((2 * F.col("_n_kept") >= F.col("_of")) | (F.col("_n_kept") >= 2 * least_windows))
+    good = aligned.where((F.col("_same") & (F.col("n_windows") >= need)) | verbatim)
     changed = F.size(F.filter("_pairs", lambda p: p["item"] != p["text"]))
     best = F.max(F.struct("n_windows", -changed, F.size("_pairs").alias("n_slots"), "_of"))
     return good.groupBy("_k1", "_k2", "item_id").agg(best.alias("_b")).select(

@@ -147,3 +147,7 @@ def test_short_and_slot_dense_items_are_found_verbatim(spark):
 def test_items_with_gaps_between_windows_are_found_at_every_place(spark):
     item = "we saw how one old boat went past Anna Berg 12 km before the rain came down again"
     assert leaks(spark, ["so " * n + item for n in range(8)], [item]) == {(n, 0) for n in range(8)}
+
+
+def test_one_changed_value_does_not_hide_a_long_copy(spark):
+    assert leaks(spark, [ITEM.replace("at 5", "at 8")], [ITEM]) == {(0, 0)}
