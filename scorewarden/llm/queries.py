@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewarden.llm import decontamination, fingerprints, linededup, lmscore, mixing, neardup, personal, quality, secrets, substrings
+from scorewarden.llm import (
+    decontamination, divergence, fingerprints, lexical, linededup, lmscore, metrictree, mixing, neardup, personal, quality, secrets, substrings,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +118,55 @@ def _(spark, folder):
 def _(spark, folder):
     good = learnable(table(spark, folder, "labels")).where("quality = 1")
     return lmscore.cross_entropy_difference(table(spark, folder, "documents").select("doc_id", "text"), good.select("doc_id"))
+
+
+@query("op11_metric_search", r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def _(spark, folder):
+    return metrictree.nearest_others(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+@query("op12_source_divergence", rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{linededup.UPPER}', '{linededup.LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+seen AS (SELECT r, lang, source, unnest(w) AS t FROM docs),
+kept AS (SELECT lang, t FROM seen GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+terms AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+cells AS (SELECT lang, source, t, count(*) AS n FROM seen JOIN kept USING (lang, t) GROUP BY 1, 2, 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sums AS (SELECT lang, source, coalesce(sum(n), 0) AS n, coalesce(any_value(v), 0) AS v
+  FROM groups LEFT JOIN cells USING (lang, source) LEFT JOIN terms USING (lang) GROUP BY 1, 2),
+shares AS (SELECT s.lang, s.source, t, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.n + 5 * s.v) AS p
+  FROM sums s JOIN kept k USING (lang) LEFT JOIN cells c USING (lang, source, t)),
+whole AS (SELECT lang, t, sum(n) AS n, any_value(v) AS v FROM cells JOIN terms USING (lang) GROUP BY 1, 2),
+langs AS (SELECT lang, t, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM whole),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM shares a JOIN shares b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+above AS (SELECT s.lang, s.source, 'term' AS part, t AS item, p - q AS value FROM shares s JOIN langs USING (lang, t) WHERE s.n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (FROM pairs UNION ALL FROM above))
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def _(spark, folder):
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
+@query("op13_ranked_search", rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{linededup.UPPER}', '{linededup.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), '{linededup.UPPER}', '{linededup.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+asked AS (SELECT i, t, count(*) AS times FROM (SELECT i, unnest(w) AS t FROM items) GROUP BY 1, 2),
+totals AS (SELECT count(*) AS n, sum(len(w)) AS l FROM docs WHERE len(w) > 0),
+sizes AS (SELECT r, doc_id, 75 + (25 * len(w)::HUGEINT * n) // l AS m FROM docs, totals WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY 1, 2),
+weights AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), totals),
+scores AS (SELECT i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (t) JOIN tf USING (t) JOIN sizes USING (r) GROUP BY 1, 2),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scores JOIN sizes USING (r) JOIN items USING (i) WHERE score > 0 AND doc_id IS NOT NULL)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""")
+def _(spark, folder):
+    return lexical.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
