@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scorewarden.llm.common import mixed_bits, settled
 from scorewarden.llm.terms import term_bytes, term_counts
+from scorewarden.storage import small_side
 
 _TABLE = term_bytes(digits=False)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +105,7 @@ class Shards:
         return found, (self.shard[own[same]] << _SLOT_BITS) | slot[same]
 
 
-def document_frequencies(docs: DataFrame, most_rows: int = 1 << 19) -> DataFrame:
+def document_frequencies(docs: DataFrame, most_rows: int = 1 << 18) -> DataFrame:
     """(_lang, _term, _docs) of (_lang, _text): in how many documents each term occurs, exactly; added up in the task first."""
     import pyarrow as pa
 
@@ -149,11 +150,11 @@ def perfect_shards(kept: DataFrame, shard_terms: int = 4096) -> DataFrame:
             "_lang": table["_lang"][:1], "_shards": table["_shards"][:1], "_shard": table["_shard"][:1],
             "_seeds": pa.array([seeds.tobytes()], pa.binary()), "_terms": pa.array([table["_term"].take(pa.array(order)).to_pylist()], pa.list_(pa.string()))})
 
-    rows = kept.join(sizes, "_lang").select("_lang", "_term", "_shards").mapInArrow(dealt, "_lang string, _term string, _shards long, _shard long")
+    rows = kept.join(small_side(sizes), "_lang").select("_lang", "_term", "_shards").mapInArrow(dealt, "_lang string, _term string, _shards long, _shard long")
     return rows.groupBy("_lang", "_shard").applyInArrow(made, "_lang string, _shards long, _shard long, _seeds binary, _terms array<string>")
 
 
-def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20, most_slots: int = 1 << 22) -> DataFrame:
+def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20, most_slots: int = 1 << 21) -> DataFrame:
     """(_lang, _source, _at, _n): occurrences of each stored term in each group of (_lang, _source, _text); cells that are 0 are left out.
 
     Shards are broadcast in rounds of about ``round_bytes``; the texts are read once a round. A task holds dense slots for the
@@ -247,7 +248,7 @@ def source_divergence(
     shards = settled(perfect_shards(kept))
     cells = recount(rows, shards)
     sizes = shards.select("_lang", "_shard", F.size("_terms").alias("_size"))
-    terms_of = shards.groupBy("_lang").agg(F.sum(F.size("_terms")).alias("_v"))
+    terms_of = small_side(shards.groupBy("_lang").agg(F.sum(F.size("_terms")).alias("_v")))
     totals = cells.groupBy("_lang", "_source").agg(F.sum("_n").alias("_total"))
 
     def p(n, total):
@@ -298,7 +299,7 @@ def source_divergence(
 
     # part term
     whole = cells.groupBy("_lang", "_at").agg(F.sum("_n").alias("_n"))
-    language = cells.groupBy("_lang").agg(F.sum("_n").alias("_total")).join(terms_of, "_lang")
+    language = small_side(cells.groupBy("_lang").agg(F.sum("_n").alias("_total")).join(terms_of, "_lang"))
     names = shards.select("_lang", "_shard", F.posexplode("_terms").alias("_slot", "item")).select(
         "_lang", (F.shiftleft("_shard", _SLOT_BITS) + F.col("_slot")).alias("_at"), "item")
     expected = whole.join(language, "_lang").withColumn("_q", p("_n", "_total")).select("_lang", "_at", "_q").join(names, ["_lang", "_at"])
