@@ -1,9 +1,6 @@
 """Model fitting and what is built on it, with the SQL of everything in the results that a fit does not decide.
 
-Rows, windows, folds, candidates and calibrations are those of the library, except
-that only ``train_rolling`` runs all 4/2/2-month windows and the other queries, which
-fit many candidates, two of 24 months. Learners keep their depth, rate and leaf size
-but have few trees and iterations, so that a check takes minutes and not hours.
+Rows, windows, folds, candidates, calibrations and their parameters are those of the library.
 """
 
 from __future__ import annotations
@@ -12,20 +9,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.base import APPLICATIONS, CUT, DATA_START, LOWER, R, UPPER, WINDOWS, applications, query, tidy, with_
+from catalog.base import APPLICATIONS, CUT, DATA_START, LOWER, R, SCORED, UPPER, WINDOWS, applications, query, scored, tidy, with_
 from scorewarden import vocabulary as v
 from scorewarden.functions import level_code
-from scorewarden.operators import learners, metrics, monitoring
+from scorewarden.operators import boosting, learners, metrics, monitoring
 from scorewarden.operators.splits import rolling_windows
 from scorewarden.plans import challengers, training, watch
 from scorewarden.storage import settled
 
 _FEATURES = ["amount", "balance", "band_code", "month_of_year"]
-_CANDIDATES = {
-    "logistic_regression": ("logistic_regression", {"C": 0.5, "max_iter": 20}),
-    "random_forest": ("random_forest", {"trees": 5, "depth": 4, "min_leaf": 20}),
-    "boosted_trees": ("boosted_trees", {"trees": 4, "depth": 3, "rate": 0.1, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-}
+_CANDIDATES = {name: (name, params) for name, params in v.BASE_CANDIDATES.items()}
 _FOREST = _CANDIDATES["random_forest"]
 _CUT = dt.date(2000, 1, 1)
 
@@ -44,13 +37,8 @@ def _setup(names=tuple(_CANDIDATES), **more):
                           candidates={n: _CANDIDATES[n] for n in names}, **more)
 
 
-def _short(candidates):
-    """The library's candidates with few trees."""
-    return [(name, kind, {**p, "trees": 3}) for name, kind, p in candidates]
-
-
 def _windows(spark):
-    return rolling_windows(spark, DATA_START, CUT, 24, 12, 24)
+    return rolling_windows(spark, DATA_START, CUT)
 
 
 def _within(*columns):
@@ -117,7 +105,7 @@ def class_weights(spark, folder):
   FROM windows JOIN applications ON label IS NOT NULL AND day BETWEEN train_start AND monitor_end, models GROUP BY 1, 2"""))
 def train_rolling(spark, folder):
     development, _ = _parts(spark, folder)
-    cycles = training.evaluate_candidates(development, rolling_windows(spark, DATA_START, CUT), _setup())
+    cycles = training.evaluate_candidates(development, _windows(spark), _setup())
     within = _within("train_auc", "monitor_auc", "monitor_brier", "monitor_ks", "cv_auc_mean", "cv_f1_reject_mean")
     return tidy(cycles.select("window_id", "model_name", "train_rows", "monitor_rows", "train_positive_ratio", "monitor_positive_ratio", within.alias("within")))
 
@@ -203,7 +191,7 @@ def conservative_tuning(spark, folder):
     development, oot = _parts(spark, folder)
     setup = _setup()
     policy = settled(training.split_policy_holdout(oot.where("label is not null"), setup).where("split = 'policy'").drop("split"))
-    tuned = training.tune(development, policy, _windows(spark), setup, _short(v.TUNING_CANDIDATES))
+    tuned = training.tune(development, policy, _windows(spark), setup)
     better = F.expr("lag(tuning_score) over (order by tuning_rank)")  # one row per candidate and calibration
     within = _within("holdout_auc", "holdout_brier", "avg_monitor_auc")
     return tuned.select("config_id", "calibration_method", within.alias("within"), F.coalesce(better >= F.col("tuning_score"), F.lit(True)).alias("ranked"),
@@ -238,7 +226,7 @@ def decision_tuning_challenger(spark, folder):
     parts = settled(training.split_policy_holdout(oot.where("label is not null"), setup))
     policy, holdout = (parts.where(F.col("split") == p).drop("split") for p in ("policy", "holdout"))
     base = _baseline(holdout)
-    results = challengers.decision_tuning_challenger(development, policy, holdout, _windows(spark), setup, base, _short(v.DECISION_CANDIDATES))
+    results = challengers.decision_tuning_challenger(development, policy, holdout, _windows(spark), setup, base)
     gain = F.col("ch_low_zone_reject_precision") > F.col("base_low_zone_reject_precision") + v.UPGRADE["precision_gain"]
     decided = results["decision"]
     better = F.expr("lag(final_selection_score) over (partition by passes_hard_constraints order by selection_rank)")  # one row per candidate and calibration
@@ -253,3 +241,106 @@ def rescored_metrics(spark, folder):
     model = learners.fit(development, _FEATURES, "label", *_CANDIDATES["boosted_trees"], keys=["case_id"])
     found = metrics.classification_metrics(learners.scored(oot, model, _FEATURES), "label", "pred_prob")
     return tidy(found.select("rows", "positive_ratio", _within("auc", "auc_pr", "brier_score", "ks", "f1", "f1_reject").alias("within")))
+
+
+# ---- what a fit decides, held against SQL ---------------------------------------------
+_STUMP = {"trees": 1, "depth": 1, "rate": 1.0}
+#: Penalties of stumps on a feature of 50 levels; ``min_leaf`` is a share of all second derivatives.
+_PENALTIES = {
+    "none": {}, "l1": {"l1": 900.0}, "l2": {"l2": 5000.0}, "gamma": {"gamma": 1e12}, "max_step": {"max_step": 1.0}, "min_leaf": {"min_leaf": 0.35},
+    "all": {"l1": 300.0, "l2": 700.0, "gamma": 1.0, "max_step": 1.2, "min_leaf": 0.3}}
+_LABELLED = "labelled AS (SELECT quantity AS x, CASE WHEN score > 0.4e0 THEN 1 ELSE 0 END AS y FROM scored)"
+
+
+def _stump_sql(name: str) -> str:
+    """The best split of one level from its sums: derivatives of the log loss at a margin of 0."""
+    p = {"l1": 0.0, "l2": 0.0, "gamma": 0.0, "max_step": 1e30, "min_leaf": 0.0} | _PENALTIES[name]
+    # leaf weight, then its gain, of sums with the prefix a
+    weight = lambda a: f"GREATEST(-{p['max_step']}, LEAST({p['max_step']}, -SIGN({a}g) * GREATEST(ABS({a}g) - {p['l1']}, 0) / ({a}h + {p['l2']})))"
+    gain = lambda a: f"-(2 * {a}g * {a}w + ({a}h + {p['l2']}) * {a}w * {a}w + 2 * {p['l1']} * ABS({a}w))"
+    kept = f"gain >= {max(p['gamma'], 1e-6)}"
+    return with_(SCORED, _LABELLED, "levels AS (SELECT x, SUM(0.5e0 - y) AS g, 0.25e0 * COUNT(*) AS h FROM labelled GROUP BY 1)",
+        "sums AS (SELECT x, SUM(g) OVER (ORDER BY x) AS lg, SUM(h) OVER (ORDER BY x) AS lh, SUM(g) OVER () AS g, SUM(h) OVER () AS h FROM levels)",
+        "sides AS (SELECT *, g - lg AS rg, h - lh AS rh FROM sums WHERE lh < h)",
+        f"weights AS (SELECT *, {weight('')} AS w, {weight('l')} AS lw, {weight('r')} AS rw FROM sides WHERE LEAST(lh, rh) >= {p['min_leaf']} * h)",
+        f"gains AS (SELECT *, {gain('l')} + {gain('r')} - ({gain('')}) AS gain FROM weights)",
+        "best AS (SELECT * FROM gains ORDER BY gain DESC, x LIMIT 1)",
+        select=f"SELECT {kept} AS split, CASE WHEN {kept} THEN x END AS cut, {R('w')} AS value, "
+               f"CASE WHEN {kept} THEN {R('lw')} END AS left_value, CASE WHEN {kept} THEN {R('rw')} END AS right_value FROM best")
+
+
+def _stump(spark, folder, name):
+    rows = scored(spark, folder).select("quantity", F.when(F.col("score") > 0.4, 1).otherwise(0).alias("y")).withColumns({
+        "_set": F.lit(0), "weight": F.lit(1.0), "_aside": F.lit(False), "_spot": F.lit(0)})
+    penalty = dict(_PENALTIES[name])
+    penalty["min_leaf"] = penalty.get("min_leaf", 0.0) * 0.25 * rows.count()
+    model = boosting.fit_many(rows, ["quantity"], "y", {"stump": boosting.Spec(**_STUMP, **penalty)})
+    split = F.col("feature")[0] >= 0
+    child = lambda i: F.when(split, F.col("value")[i])
+    return tidy(model.select(split.alias("split"), F.when(split, F.col("cut")[0]).alias("cut"), F.col("value")[0].alias("value"),
+                             child(1).alias("left_value"), child(2).alias("right_value")))
+
+
+for _name in _PENALTIES:
+    query(f"split_{_name}", _stump_sql(_name))(lambda spark, folder, name=_name: _stump(spark, folder, name))
+
+
+@query("boosting_loss", with_(SCORED, _LABELLED, select="SELECT trees, COUNT(*) AS rows, TRUE AS lower FROM labelled, (VALUES (1), (5), (20), (60)) t(trees) GROUP BY 1"))
+def boosting_loss(spark, folder):
+    """More trees lower the loss on the rows they learned from, when nothing holds them back."""
+    features = ["quantity", "discount", "tax"]
+    rows = settled(scored(spark, folder).select(*features, F.when(F.col("score") > 0.4, 1).otherwise(0).alias("y")).withColumns({
+        "_set": F.lit(0), "weight": F.lit(1.0), "_aside": F.lit(False), "_spot": F.lit(0)}))
+    of = {str(n): boosting.Spec(trees=n, depth=3, rate=0.3, min_leaf=0.0) for n in (1, 5, 20, 60)}
+    scores = boosting.score_many(rows, boosting.fit_many(rows, features, "y", of), features, of, ["y"])
+    loss = -F.avg(F.log(F.when(F.col("y") == 1, F.col("pred_prob")).otherwise(1 - F.col("pred_prob"))))
+    found = settled(scores.groupBy(F.col("_candidate").cast("int").alias("trees")).agg(F.count("*").alias("rows"), loss.alias("loss")))
+    return found.select("trees", "rows", (F.col("loss") < F.expr("coalesce(lag(loss) over (order by trees), ln(2))")).alias("lower"))  # four rows
+
+
+@query("early_stop", with_(SCORED, _LABELLED, select="SELECT COUNT(*) AS rows, TRUE AS stopped, TRUE AS patient FROM labelled"))
+def early_stop(spark, folder):
+    """Labels that no feature explains: boosting stops 30 rounds after its best loss on the rows kept aside, and keeps the rounds up to it."""
+    rows = settled(scored(spark, folder).select("quantity", "discount", F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(2)).alias("y"), "l_orderkey", "l_linenumber"))
+    of = {"patient": boosting.Spec(trees=400, depth=3, rate=0.3), "whole": boosting.Spec(trees=60, depth=3, rate=0.3, patience=10 ** 6)}
+    models = learners.fit_trees(rows.withColumn("_set", F.lit(0)), ["quantity", "discount"], "y", of, strategy="none", keys=["l_orderkey", "l_linenumber"])
+    kept = {r[0]: r[1] for r in models.select("_candidate", (F.size("value") / of["whole"].size).cast("int")).collect()}
+    return rows.agg(F.count("*").alias("rows"), F.lit(kept["patient"] < 370).alias("stopped"), F.lit(kept["patient"] <= 60 and kept["whole"] <= 60).alias("patient"))
+
+
+@query("tree_contributions", with_(APPLICATIONS, select="SELECT case_id, TRUE AS additive, TRUE AS same_base FROM applications WHERE NOT dev"))
+def tree_contributions(spark, folder):
+    """Exact contributions of every out-of-time row: with the base they add up to its margin, and the margin gives its score."""
+    development, oot = _parts(spark, folder)
+    model = learners.fit(development, _FEATURES, "label", *_CANDIDATES["boosted_trees"], keys=["case_id"])
+    found = boosting.contributions(learners.scored(oot, model, _FEATURES), model, _FEATURES, ["case_id", "pred_prob"])
+    total = F.col("base")
+    for f in _FEATURES:
+        total = total + F.col(f)
+    additive = (F.abs(total - F.col("margin")) < 1e-9) & (F.abs(1 / (1 + F.exp(-F.col("margin"))) - F.col("pred_prob")) < 1e-9)
+    base = found.agg(F.max("base") - F.min("base")).scalar()
+    return found.select("case_id", additive.alias("additive"), (base == 0).alias("same_base"))
+
+
+@query("contribution_ranking", with_(APPLICATIONS, select=f"SELECT feature, TRUE AS ranked FROM (VALUES {_names((f,) for f in _FEATURES)}) t(feature) WHERE EXISTS (SELECT * FROM applications WHERE NOT dev)"))
+def contribution_ranking(spark, folder):
+    development, oot = _parts(spark, folder)
+    model = learners.fit(development, _FEATURES, "label", *_FOREST, keys=["case_id"])
+    found = boosting.mean_contributions(oot, model, _FEATURES, ["case_id"])
+    before = F.expr("lag(mean_abs) over (order by rank)")  # a row a feature
+    return found.select("feature", F.coalesce(before >= F.col("mean_abs"), F.lit(True)).alias("ranked"))
+
+
+def _resampled_fit(spark, folder, strategy):
+    rows = settled(_skewed(spark, folder).select("case_id", "y", "scaled", "balance", "day"))
+    of = {"boosted": boosting.Spec.of("boosted_trees", v.BASE_CANDIDATES["boosted_trees"])}
+    models = learners.fit_trees(rows.withColumn("_set", F.lit(0)), ["scaled", "balance"], "y", of, strategy=strategy, keys=["case_id"])
+    scores = learners.scored(rows, boosting.model_of(models, 0, "boosted", of["boosted"]), ["scaled", "balance"])
+    # trained on other shares of the classes than the true ones, the mean score is near the trained share
+    even = {"smote": 0.5, "undersample": 2 / 3}[strategy]
+    return scores.agg(F.count("*").alias("rows"), (F.abs(F.avg("pred_prob") - even) < 0.05).alias("near_trained_share"))
+
+
+_RESAMPLED = with_(APPLICATIONS, select="SELECT COUNT(*) AS rows, TRUE AS near_trained_share FROM applications")
+query("fit_undersampled", _RESAMPLED)(lambda spark, folder: _resampled_fit(spark, folder, "undersample"))
+query("fit_oversampled", _RESAMPLED)(lambda spark, folder: _resampled_fit(spark, folder, "smote"))

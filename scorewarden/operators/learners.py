@@ -1,33 +1,34 @@
-"""Fitting, calibrating, resampling and explaining models with Spark ML.
+"""Fitting, calibrating, resampling and explaining models.
 
-Only fits are driven from Python, a few at a time; tagging, scoring and metrics
-of all windows, folds and models are single DataFrame plans.
+Models of all windows, folds and candidates are fitted in one pass (``boosting``, ``linear``). Tagging, scoring and metrics of
+all of them are single DataFrame plans.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from random import Random
 
-from pyspark.ml import Model, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml import Model
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorewarden.operators.boosting import Spec, TreeModel, fit_many, model_of, score_many, scored_by
 from scorewarden.operators.features import assembled
+from scorewarden.operators.linear import LinearModel, fit_linear, score_linear
 from scorewarden.operators.metrics import class_balance, classification_metrics
 from scorewarden.operators.ordering import bucket_count, numbered, smallest_by_hash
-from scorewarden.operators.splits import month_folds
-from scorewarden.storage import settled
+from scorewarden.operators.splits import month_folds, tag_windows
+from scorewarden.storage import settled, small_side
 
 SEED = 42
 #: Consecutive rows along a direction that one task looks at together.
 NEAR_BLOCK = 10_000
-FITS_AT_ONCE = 4
 
 
 def hash_share(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -127,60 +128,89 @@ def resampled(df: DataFrame, label: str, strategy: str, keys: Sequence[str], fea
 
 
 # ---- learners -------------------------------------------------------------------
-def learner(kind: str, params: Mapping[str, float], rows: int, *, early_stop: str | None = None, seed: int = SEED):
-    """An estimator over ``features``, ``label`` and ``weight``.
+TREES = ("boosted_trees", "random_forest")
 
-    ``C`` is the inverse penalty of a summed loss, so it is divided by the row
-    count. Boosting has no L1/L2 or split-gain penalties here; depth, rate,
-    trees, leaf size and the two subsampling rates carry over.
+
+def specs(candidates: Mapping[str, tuple[str, Mapping[str, float]]]) -> dict[str, Spec]:
+    """The tree candidates among (learner, parameters) by name."""
+    return {n: Spec.of(kind, p) for n, (kind, p) in candidates.items() if kind in TREES}
+
+
+def linears(candidates: Mapping[str, tuple[str, Mapping[str, float]]]) -> dict[str, Mapping[str, float]]:
+    """The linear candidates among (learner, parameters) by name."""
+    unknown = {kind for kind, _ in candidates.values()} - {*TREES, "logistic_regression"}
+    if unknown:
+        raise ValueError(f"unknown learners {sorted(unknown)}")
+    return {n: p for n, (kind, p) in candidates.items() if kind not in TREES}
+
+
+def training_rows(
+    df: DataFrame, features: Sequence[str], label: str, *, strategy: str, keys: Sequence[str], stop_share: float, seed: int,
+) -> DataFrame:
+    """Rows of all sets (``_set``) as a tree fit takes them: label, features, weight, ``_aside`` and ``_spot``.
+
+    The part kept aside is chosen by its keys before rows are made or left out, and keeps its true mix of classes; weights
+    are those of the rows learned from. Resampling goes set by set.
     """
-    base = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
-    if kind == "logistic_regression":
-        return LogisticRegression(
-            **base, regParam=1.0 / (params["C"] * max(rows, 1)), maxIter=int(params["max_iter"]), standardization=False)
-    trees = {"maxDepth": int(params["depth"]), "minInstancesPerNode": int(params["min_leaf"]), "seed": seed}
-    if kind == "random_forest":
-        return RandomForestClassifier(**base, **trees, numTrees=int(params["trees"]), featureSubsetStrategy="sqrt")
-    if kind == "boosted_trees":
-        boosted = GBTClassifier(
-            **base, **trees, maxIter=int(params["trees"]), stepSize=params["rate"], subsamplingRate=params["subsample"],
-            featureSubsetStrategy=str(params["columns"]))
-        return boosted.setValidationIndicatorCol(early_stop) if early_stop else boosted
-    raise ValueError(f"unknown learner {kind!r}")
+    aside = hash_share(keys, seed) < stop_share if keys and stop_share else F.lit(False)
+    rows = df.where(F.col(label).isNotNull()).withColumn("_aside", aside)
+    if strategy in ("undersample", "smote"):
+        sets = sorted(r[0] for r in rows.select("_set").distinct().collect())  # windows and folds
+        learned = [resampled(rows.where(f"_set = {s} and not _aside"), label, strategy, keys, features).select(
+            *keys, *features, label).withColumns({"_set": F.lit(s), "_aside": F.lit(False)}) for s in sets]
+        rows = reduce(DataFrame.unionByName, [*learned, rows.where("_aside").select(*keys, *features, label, "_set", "_aside")])
+    counts = rows.where("not _aside").groupBy("_set").agg(
+        F.sum((F.col(label) == 1).cast("double")).alias("_p"), F.sum((F.col(label) == 0).cast("double")).alias("_q"))
+    positive = F.col(label) == 1
+    weight = F.lit(1.0)
+    if strategy == "scale_weight":
+        weight = F.when(positive & (F.col("_p") > 0) & (F.col("_q") > 0), F.try_divide("_q", "_p")).otherwise(1.0)
+    elif strategy == "class_weight":
+        weight = F.coalesce(F.try_divide(F.col("_p") + F.col("_q"), 2 * F.when(positive, F.col("_p")).otherwise(F.col("_q"))), F.lit(1.0))
+    marked = rows.join(small_side(counts), "_set", "left").withColumn("weight", F.coalesce(weight, F.lit(1.0)))
+    return marked.withColumn("_spot", F.xxhash64(F.lit(seed), *keys, *features)).select(
+        "_set", F.col(label).alias("_label"), *features, "weight", "_aside", "_spot")
+
+
+def fit_trees(
+    df: DataFrame, features: Sequence[str], label: str, candidates: Mapping[str, Spec], *, strategy: str = "scale_weight",
+    keys: Sequence[str] = (), stop_share: float = 0.15, seed: int = SEED, **more,
+) -> DataFrame:
+    """Models of every set (``_set``) and candidate. Boosting stops early on a part of the training rows, never on later ones."""
+    parts = []
+    for forest in (False, True):
+        of = {n: c for n, c in candidates.items() if c.forest == forest}
+        if of:
+            rows = training_rows(df, features, label, strategy=strategy, keys=keys, stop_share=0 if forest else stop_share, seed=seed)
+            parts.append(fit_many(rows, features, "_label", of, **more))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit(
     df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *,
     strategy: str = "scale_weight", keys: Sequence[str] = (), stop_share: float = 0.15, seed: int = SEED,
-) -> Model:
-    """Fit one model. Boosting stops early on a part of the training rows, never on later ones.
+) -> LinearModel | TreeModel:
+    """Fit one model."""
+    of, lines, one = specs({kind: (kind, params)}), linears({kind: (kind, params)}), df.withColumn("_set", F.lit(0))
+    if of:
+        models = fit_trees(one, features, label, of, strategy=strategy, keys=keys, stop_share=stop_share, seed=seed)
+        return model_of(models, 0, kind, of[kind])
+    return fit_lines(one, features, label, lines, strategy=strategy, keys=keys)[0, kind]
 
-    That part is set aside by its keys before rows are made or left out, and keeps its true mix of classes.
-    """
-    stop = "_stop" if kind == "boosted_trees" and stop_share and keys else None
-    aside = hash_share(keys, seed) < stop_share if stop else F.lit(False)
-    train = weighted(resampled(df.where(~aside), label, strategy, keys, features), label, strategy).withColumn("_stop", F.lit(False))
-    if stop:
-        train = train.unionByName(
-            df.where(aside).withColumns({"weight": F.lit(1.0), "_stop": F.lit(True)}).select(*(
-                F.col(c).cast(t).alias(c) for c, t in train.dtypes)))
-    ready = assembled(train.select(*features, F.col(label).alias("label"), "weight", "_stop", *keys), features, "label")
-    # the learners keep their own compact copy of the rows; only a penalty needs to know how many there are
-    rows = train.where(F.col(label).isNotNull()).count() if kind == "logistic_regression" else 0
-    return learner(kind, params, rows, early_stop=stop, seed=seed).fit(ready)
-
-
-def fit_all(jobs: Sequence[Callable[[], object]], at_once: int = FITS_AT_ONCE) -> list:
-    """Run independent fits side by side; each is itself a distributed job."""
-    with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
-def scored(df: DataFrame, model: Transformer, features: Sequence[str], out: str = "pred_prob") -> DataFrame:
+
+def fit_lines(
+    df: DataFrame, features: Sequence[str], label: str, candidates: Mapping[str, Mapping[str, float]], *, strategy: str, keys: Sequence[str],
+) -> dict[tuple[int, str], LinearModel]:
+    """Logistic regressions by (set, candidate)."""
+    rows = training_rows(df, features, label, strategy=strategy, keys=keys, stop_share=0, seed=SEED)
+    return fit_linear(rows, features, "_label", candidates)
+
+
+def scored(df: DataFrame, model: LinearModel | TreeModel, features: Sequence[str], out: str = "pred_prob") -> DataFrame:
     """The rows with the probability of label 1. Rows without a label are scored too."""
-    with_vector = assembled(df.withColumn("_y", F.lit(0)), features, "_y", "features").drop("_y")
-    kept = [c for c in with_vector.columns if c != "features"]
-    return model.transform(with_vector).select(*kept, vector_to_array("probability")[1].alias(out))
+    if isinstance(model, TreeModel):
+        return scored_by(df, model, features, out)
+    return df.withColumn(out, model.probability(features))
 
 
 # ---- calibration ----------------------------------------------------------------
@@ -191,7 +221,7 @@ class Calibrated:
     alternative, an average of the fold models, scores k times as much.)
     """
 
-    def __init__(self, model: Model, mapping: Model | None, features: Sequence[str]):
+    def __init__(self, model: LinearModel | TreeModel, mapping: Model | None, features: Sequence[str]):
         self.model, self.mapping, self.features = model, mapping, list(features)
 
     def score(self, df: DataFrame, out: str = "pred_prob") -> DataFrame:
@@ -212,34 +242,51 @@ def calibration_cells(df: DataFrame, label: str, score: str, places: int | None
 
 def fit_calibrated(
     df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *, keys: Sequence[str],
-    method: str = "isotonic", folds: int = 5, strategy: str = "scale_weight", at_once: int = FITS_AT_ONCE, places: int | None = None,
+    method: str = "isotonic", folds: int = 5, strategy: str = "scale_weight", places: int | None = None,
 ) -> Calibrated:
     """Fit on all rows; calibrate on scores that each row got from a model that did not see it."""
     return fit_methods(
-        df, features, label, kind, params, keys=keys, methods=[method], folds=folds, strategy=strategy, at_once=at_once,
-        places=places)[method]
+        df, features, label, kind, params, keys=keys, methods=[method], folds=folds, strategy=strategy, places=places)[method]
 
 
 def fit_methods(
     df: DataFrame, features: Sequence[str], label: str, kind: str, params: Mapping[str, float], *, keys: Sequence[str],
-    methods: Sequence[str], folds: int = 5, strategy: str = "scale_weight", at_once: int = FITS_AT_ONCE, places: int | None = None,
+    methods: Sequence[str], folds: int = 5, strategy: str = "scale_weight", places: int | None = None,
 ) -> dict[str, Calibrated]:
-    """One model per calibration method, all from the same fits: one on all rows and, if any method needs it, one per fold.
+    """One model per calibration method, all from the same fits: one on all rows and, if any method needs it, one per fold."""
+    return fit_all_methods(
+        df, features, label, {kind: (kind, params)}, keys=keys, methods=methods, folds=folds, strategy=strategy, places=places)[kind]
+
+
+def fit_all_methods(
+    df: DataFrame, features: Sequence[str], label: str, candidates: Mapping[str, tuple[str, Mapping[str, float]]], *,
+    keys: Sequence[str], methods: Sequence[str], folds: int = 5, strategy: str = "scale_weight", places: int | None = None,
+) -> dict[str, dict[str, Calibrated]]:
+    """Per candidate, one model per calibration method; the trees of all candidates and folds are fitted in one pass.
 
     Out-of-fold scores are computed once. A map sees every distinct score; ``places`` rounds them first, which bounds the
     rows that the isotonic map sees.
     """
-    labelled = df.where(F.col(label).isNotNull())
-    fit_on = lambda rows: fit(rows, features, label, kind, params, strategy=strategy, keys=keys)
-    fold = F.pmod(F.xxhash64(*keys), F.lit(folds))
-    parts = [labelled.where(fold != i) for i in range(folds if set(methods) - {"none"} else 0)]
-    *models, final = fit_all([*(lambda p=p: fit_on(p) for p in parts), lambda: fit_on(labelled)], at_once)
-    if not models:
-        return {m: Calibrated(final, None, features) for m in methods}
-    held_out = reduce(DataFrame.unionByName, (
-        scored(labelled.where(fold == i), m, features, "_raw").select("_raw", label) for i, m in enumerate(models)))
-    cells = settled(assembled(calibration_cells(held_out, label, "_raw", places), ["_raw"], "label", "features"))
-    return {m: Calibrated(final, None if m == "none" else _score_map(cells, m), features) for m in methods}
+    labelled = df.where(F.col(label).isNotNull()).withColumn("_fold", F.pmod(F.xxhash64(*keys), F.lit(folds)))
+    needed = folds if set(methods) - {"none"} else 0
+    trees, lines, final, held_out = specs(candidates), linears(candidates), {}, {}
+    # set number ``folds`` has all rows
+    sets = F.filter(F.array(*(F.lit(i).cast("long") for i in (*range(needed), folds))), lambda s: s != F.col("_fold"))
+    learned, own = labelled.withColumn("_set", F.explode(sets)), labelled.withColumn("_set", F.col("_fold"))
+    if trees:
+        models = fit_trees(learned, features, label, trees, strategy=strategy, keys=keys)
+        final |= {n: model_of(models, folds, n, spec) for n, spec in trees.items()}
+        if needed:
+            scores = settled(score_many(own, models, features, trees, [label], "_raw"))
+            held_out |= {n: scores.where(F.col("_candidate") == n) for n in trees}
+    if lines:
+        weights = fit_lines(learned, features, label, lines, strategy=strategy, keys=keys)
+        final |= {n: weights[folds, n] for n in lines}
+        if needed:
+            scores = settled(score_linear(own, weights, features, [label], "_raw"))
+            held_out |= {n: scores.where(F.col("_candidate") == n) for n in lines}
+    cells = {n: settled(assembled(calibration_cells(h, label, "_raw", places), ["_raw"], "label", "features")) for n, h in held_out.items()}
+    return {n: {m: Calibrated(final[n], None if m == "none" else _score_map(cells[n], m), features) for m in methods} for n in candidates}
 
 
 def _score_map(cells: DataFrame, method: str) -> Model:
@@ -257,49 +304,21 @@ def _score_map(cells: DataFrame, method: str) -> Model:
 def rolling_cycles(
     df: DataFrame, windows: DataFrame, *, day: str, label: str, keys: Sequence[str], features: Sequence[str],
     candidates: Mapping[str, tuple[str, Mapping[str, float]]], strategy: str = "scale_weight", cv_splits: int = 2,
-    at_once: int = FITS_AT_ONCE, cv: bool = True, month: str | None = None,
+    cv: bool = True, month: str | None = None,
 ) -> DataFrame:
     """One row per (window, model): walk-forward CV means and deviations, monitor and train metrics.
 
     ``candidates`` maps a name to (learner, parameters). The number of fits is
-    windows x models x (1 + folds); every fit and every scoring pass is
-    distributed, and all metrics are computed in one grouped plan. Each window
-    reads its own days only; with ``month``, the yyyy-MM partition column of the
-    table, it opens only its own folders.
+    windows x models x (1 + folds); fits of a kind share one pass, and all metrics
+    are computed in one grouped plan. With ``month``, the yyyy-MM partition column
+    of the table, only the months of the windows are opened.
     """
     labelled = df.where(F.col(label).isNotNull())
-    spans = windows.orderBy("window_id").collect()  # generated windows, a few dozen at most
-
-    def days(first, last) -> DataFrame:
-        rows = labelled.where(F.col(day).between(F.lit(first), F.lit(last)))
-        if month:
-            rows = rows.where(F.col(month).cast("string").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
-        return rows.select(*keys, day, label, *features)
-
-    def result(rows: DataFrame, model: Model, w, name: str, phase: Column, fold: int) -> DataFrame:
-        return settled(scored(rows, model, features).select(
-            F.lit(w["window_id"]).alias("window_id"), F.lit(name).alias("model_name"), phase.alias("phase"),
-            F.lit(fold).alias("fold"), label, "pred_prob"))
-
-    def train(rows: DataFrame, name: str) -> Model:
-        kind, params = candidates[name]
-        return fit(rows, features, label, kind, params, strategy=strategy, keys=keys)
-
-    def whole(w, name: str) -> DataFrame:
-        model = train(days(w["train_start"], w["train_end"]), name)
-        phase = F.when(F.col(day) <= F.lit(w["train_end"]), "train").otherwise("monitor")
-        return result(days(w["train_start"], w["monitor_end"]), model, w, name, phase, 0)
-
-    def one_fold(w, rows: DataFrame, name: str, k: int) -> DataFrame:
-        model = train(rows.where(f"fold = {k} and role = 'train'"), name)
-        return result(rows.where(f"fold = {k} and role = 'validate'"), model, w, name, F.lit("cv"), k)
-
-    jobs = [lambda w=w, n=n: whole(w, n) for w in spans for n in candidates]
-    for w in spans if cv else ():
-        rows = month_folds(days(w["train_start"], w["train_end"]), day, n_splits=cv_splits)
-        present = sorted(r["fold"] for r in rows.select("fold").distinct().collect())  # at most cv_splits
-        jobs += [lambda w=w, rows=rows, n=n, k=k: one_fold(w, rows, n, k) for k in present for n in candidates]
-    everything = reduce(DataFrame.unionByName, fit_all(jobs, at_once))
+    if month:
+        first, last = windows.agg(F.min("train_start"), F.max("monitor_end")).first()
+        labelled = labelled.where(F.col(month).cast("string").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    everything = _rolling_scores(
+        labelled.select(*keys, day, label, *features), windows, day, label, keys, features, candidates, strategy, cv_splits if cv else 0)
     group = ["window_id", "model_name", "phase", "fold"]
     metrics = settled(classification_metrics(everything, label, "pred_prob", group))
     spread = everything.where("phase = 'monitor'").groupBy("window_id", "model_name").agg(
@@ -321,25 +340,40 @@ def rolling_cycles(
         "imbalance_strategy", F.lit(strategy))
 
 
+def _rolling_scores(
+    rows: DataFrame, windows: DataFrame, day: str, label: str, keys: Sequence[str], features: Sequence[str],
+    candidates: Mapping[str, tuple[str, Mapping[str, float]]], strategy: str, cv_splits: int,
+) -> DataFrame:
+    """Scores of all windows and folds; a set is a window, with its fold in the last two digits."""
+    tagged = tag_windows(rows, windows, day).select(*keys, day, label, *features, "window_id", "phase")
+    whole = tagged.withColumns({"fold": F.lit(0), "_learn": F.col("phase") == "train", "_judge": F.lit(True)})
+    sets = whole
+    if cv_splits:
+        folds = month_folds(tagged.where("phase = 'train'"), day, ["window_id"], n_splits=cv_splits)
+        sets = whole.unionByName(folds.withColumns({
+            "phase": F.lit("cv"), "_learn": F.col("role") == "train", "_judge": F.col("role") == "validate"}).drop("role"))
+    sets = settled(sets.withColumn("_set", F.col("window_id") * 100 + F.col("fold")))
+    trees, lines, keep = specs(candidates), linears(candidates), ["window_id", "phase", "fold", label]
+    learned, judged, scores = sets.where("_learn"), sets.where("_judge"), []
+    if trees:
+        scores.append(score_many(judged, fit_trees(learned, features, label, trees, strategy=strategy, keys=keys), features, trees, keep))
+    if lines:
+        scores.append(score_linear(judged, fit_lines(learned, features, label, lines, strategy=strategy, keys=keys), features, keep))
+    both = reduce(DataFrame.unionByName, scores)
+    return settled(both.select("window_id", F.col("_candidate").alias("model_name"), "phase", "fold", label, "pred_prob"))
+
+
 # ---- explanation ------------------------------------------------------------------
-def tree_importance(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:
+def tree_importance(model: TreeModel, features: Sequence[str], df: DataFrame) -> DataFrame:
     """(feature, gain, weight, cover): normalised gain, the number of splits and the training rows that passed them.
 
-    The nodes come from the fitted model's own table, one row per node.
     """
-    gains = model.featureImportances.toArray()
-    splits, rows_seen = [0] * len(features), [0] * len(features)
-    for tree in model.trees:
-        stack = [tree._call_java("rootNode")]
-        while stack:
-            node = stack.pop()
-            if node.subtreeDepth() == 0:
-                continue
-            at = node.split().featureIndex()
-            splits[at] += 1
-            rows_seen[at] += node.impurityStats().rawCount()
-            stack += [node.leftChild(), node.rightChild()]
-    rows = [(f, float(gains[i]), float(splits[i]), float(rows_seen[i])) for i, f in enumerate(features)]
+    inner = model.feature >= 0
+    at = model.feature[inner]
+    total = lambda v: [float(x) for x in np.bincount(at, v[inner], minlength=len(features))]
+    gains, splits, seen = total(model.gain), total(np.ones_like(model.gain)), total(model.rows)
+    whole = sum(gains) or 1.0
+    rows = [(f, gains[i] / whole, splits[i], seen[i]) for i, f in enumerate(features)]
     return df.sparkSession.createDataFrame(rows, "feature string, gain double, weight double, cover double")
 
 

@@ -82,8 +82,8 @@ def decision_tuning_challenger(
         F.stddev_pop("monitor_auc").alias("stability_score"))
     rows, grids = [], []
     labelled = development.where(F.col(s.label).isNotNull())
-    for config in chosen:
-        for method, model in retrain_methods(development, s, config, methods or v.DECISION_CALIBRATIONS, chosen).items():
+    for config, models in retrain_methods(development, s, methods or v.DECISION_CALIBRATIONS, chosen).items():
+        for method, model in models.items():
             tag = lambda df: df.select(F.lit(config).alias("config_id"), F.lit(method).alias("calibration_method"), "*")  # noqa: B023, E731
             grid, pair = choose_thresholds(settled(model.score(policy).select(s.label, "pred_prob")), s)
             held = settled(model.score(holdout).select(s.label, "pred_prob"))

@@ -37,7 +37,6 @@ class Setup:
     strategy: str = "scale_weight"
     folds: int = 5
     cv_splits: int = 2
-    at_once: int = learners.FITS_AT_ONCE
     lowers: Sequence[float] = tuple(v.LOWER_GRID)
     uppers: Sequence[float] = tuple(v.UPPER_GRID)
     policy: Mapping[str, float] = field(default_factory=lambda: dict(v.POLICY))
@@ -46,7 +45,7 @@ class Setup:
 def evaluate_candidates(development: DataFrame, windows: DataFrame, s: Setup, candidates=None, cv: bool = True) -> DataFrame:
     return settled(learners.rolling_cycles(
         development, windows, day=s.day, label=s.label, keys=s.keys, features=s.features,
-        candidates=candidates or s.candidates, strategy=s.strategy, cv_splits=s.cv_splits, at_once=s.at_once, cv=cv, month=s.month))
+        candidates=candidates or s.candidates, strategy=s.strategy, cv_splits=s.cv_splits, cv=cv, month=s.month))
 
 
 def split_policy_holdout(oot: DataFrame, s: Setup) -> DataFrame:
@@ -57,16 +56,13 @@ def split_policy_holdout(oot: DataFrame, s: Setup) -> DataFrame:
 def retrain(development: DataFrame, s: Setup, name: str, method: str = "isotonic", candidates=None) -> learners.Calibrated:
     kind, params = (candidates or s.candidates)[name]
     return learners.fit_calibrated(
-        development, s.features, s.label, kind, params, keys=s.keys, method=method, folds=s.folds, strategy=s.strategy,
-        at_once=s.at_once)
+        development, s.features, s.label, kind, params, keys=s.keys, method=method, folds=s.folds, strategy=s.strategy)
 
 
-def retrain_methods(development: DataFrame, s: Setup, name: str, methods: Sequence[str], candidates=None) -> dict[str, learners.Calibrated]:
-    """The model under every calibration method, from one set of fits."""
-    kind, params = (candidates or s.candidates)[name]
-    return learners.fit_methods(
-        development, s.features, s.label, kind, params, keys=s.keys, methods=methods, folds=s.folds, strategy=s.strategy,
-        at_once=s.at_once)
+def retrain_methods(development: DataFrame, s: Setup, methods: Sequence[str], candidates) -> dict[str, dict[str, learners.Calibrated]]:
+    """Every candidate under every calibration method, from one set of fits."""
+    return learners.fit_all_methods(
+        development, s.features, s.label, candidates, keys=s.keys, methods=methods, folds=s.folds, strategy=s.strategy)
 
 
 def choose_thresholds(policy: DataFrame, s: Setup) -> tuple[DataFrame, dict]:
@@ -91,7 +87,7 @@ def tune(development: DataFrame, policy: DataFrame, windows: DataFrame, s: Setup
     ).withColumn("stability_score", F.col("_spread") / 3).drop("_spread")
     scores = [
         model.score(policy).select(F.lit(c).alias("config_id"), F.lit(m).alias("calibration_method"), s.label, "pred_prob")
-        for c in chosen for m, model in retrain_methods(development, s, c, methods or v.TUNING_CALIBRATIONS, chosen).items()]
+        for c, models in retrain_methods(development, s, methods or v.TUNING_CALIBRATIONS, chosen).items() for m, model in models.items()]
     held = metrics.classification_metrics(
         settled(reduce(DataFrame.unionByName, scores)), s.label, "pred_prob", ["config_id", "calibration_method"]).select(
         "config_id", "calibration_method",

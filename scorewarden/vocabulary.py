@@ -184,28 +184,40 @@ MONITORING = {
 # --- candidate learners (names and parameters) -------------------------------
 BASE_CANDIDATES = {
     "logistic_regression": {"C": 0.5, "max_iter": 1000},
-    "random_forest": {"trees": 300, "depth": 6, "min_leaf": 20},
-    "boosted_trees": {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7},
+    "random_forest": {"trees": 300, "depth": 6, "min_leaf": 20, "min_split": 50},
+    "boosted_trees": {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7,
+                      "l1": 1.0, "l2": 5.0, "gamma": 1.0, "max_step": 1},
 }
+# Named by trees and depth.
 TUNING_CANDIDATES = [
-    ("boosted_baseline", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("boosted_conservative", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.02, "min_leaf": 30, "subsample": 0.7, "columns": 0.6}),
-    ("boosted_depth4", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.8, "columns": 0.7}),
-    ("boosted_shallow", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.03, "min_leaf": 25, "subsample": 0.7, "columns": 0.6}),
-    ("forest_baseline", "random_forest", {"trees": 300, "depth": 6, "min_leaf": 20}),
-    ("forest_conservative", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
+    ("boosted_300_depth3", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7,
+      "l1": 1.0, "l2": 5.0, "gamma": 1.0, "max_step": 1}),
+    ("boosted_400_depth3", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.02, "min_leaf": 30, "subsample": 0.7, "columns": 0.6,
+      "l1": 2.0, "l2": 8.0, "gamma": 1.5, "max_step": 2}),
+    ("boosted_300_depth4", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.8, "columns": 0.7,
+      "l1": 1.0, "l2": 5.0, "gamma": 0.5, "max_step": 1}),
+    ("boosted_500_depth2", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.03, "min_leaf": 25, "subsample": 0.7, "columns": 0.6,
+      "l1": 3.0, "l2": 10.0, "gamma": 2.0, "max_step": 2}),
+    ("forest_300_depth6", "random_forest", {"trees": 300, "depth": 6, "min_leaf": 20, "min_split": 50}),
+    ("forest_500_depth5", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30, "min_split": 80}),
 ]
 TUNING_CALIBRATIONS = ["isotonic", "sigmoid", "none"]
-# Named by what Spark's learners take of them: trees, depth, rate; penalties and step limits have no counterpart.
 DECISION_CANDIDATES = [
-    ("boosted_300_depth3", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("boosted_500_depth2", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.02, "min_leaf": 30, "subsample": 0.65, "columns": 0.6}),
-    ("boosted_400_depth3", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.025, "min_leaf": 25, "subsample": 0.7, "columns": 0.65}),
-    ("boosted_300_depth4", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.75, "columns": 0.7}),
-    ("boosted_400_depth4", "boosted_trees", {"trees": 400, "depth": 4, "rate": 0.02, "min_leaf": 25, "subsample": 0.7, "columns": 0.6}),
-    ("boosted_350_depth3", "boosted_trees", {"trees": 350, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("boosted_800_slow", "boosted_trees", {"trees": 800, "depth": 3, "rate": 0.01, "min_leaf": 20, "subsample": 0.7, "columns": 0.7}),
-    ("forest_500_depth5", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30}),
+    ("boosted_300_depth3", "boosted_trees", {"trees": 300, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7,
+      "l1": 1.0, "l2": 5.0, "gamma": 1.0, "max_step": 1}),
+    ("boosted_500_depth2", "boosted_trees", {"trees": 500, "depth": 2, "rate": 0.02, "min_leaf": 30, "subsample": 0.65, "columns": 0.6,
+      "l1": 3.0, "l2": 12.0, "gamma": 2.5, "max_step": 2}),
+    ("boosted_400_depth3", "boosted_trees", {"trees": 400, "depth": 3, "rate": 0.025, "min_leaf": 25, "subsample": 0.7, "columns": 0.65,
+      "l1": 2.0, "l2": 8.0, "gamma": 2.0, "max_step": 2}),
+    ("boosted_300_depth4", "boosted_trees", {"trees": 300, "depth": 4, "rate": 0.03, "min_leaf": 15, "subsample": 0.75, "columns": 0.7,
+      "l1": 1.5, "l2": 6.0, "gamma": 1.0, "max_step": 1}),
+    ("boosted_400_depth4", "boosted_trees", {"trees": 400, "depth": 4, "rate": 0.02, "min_leaf": 25, "subsample": 0.7, "columns": 0.6,
+      "l1": 2.5, "l2": 10.0, "gamma": 1.5, "max_step": 2}),
+    ("boosted_350_depth3", "boosted_trees", {"trees": 350, "depth": 3, "rate": 0.03, "min_leaf": 20, "subsample": 0.7, "columns": 0.7,
+      "l1": 1.5, "l2": 6.0, "gamma": 1.0, "max_step": 3}),
+    ("boosted_800_depth3", "boosted_trees", {"trees": 800, "depth": 3, "rate": 0.01, "min_leaf": 20, "subsample": 0.7, "columns": 0.7,
+      "l1": 1.5, "l2": 6.0, "gamma": 1.0, "max_step": 2}),
+    ("forest_500_depth5", "random_forest", {"trees": 500, "depth": 5, "min_leaf": 30, "min_split": 80}),
 ]
 DECISION_CALIBRATIONS = ["isotonic", "sigmoid"]
 
