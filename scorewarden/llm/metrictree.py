@@ -45,12 +45,13 @@ def integer_vectors(rows: DataFrame, *, key: str = "vec_id", vector: str = "embe
                 bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
                 good = bad[ends] == bad[ends - lengths]
                 squares = np.concatenate([[0.0], np.cumsum(np.where(np.isfinite(x), x, 0) ** 2)])
-            good &= pc.and_(ids.is_valid(), lists.is_valid()).to_numpy(zero_copy_only=False)
+                # the rounding of the running sums is far below the slack of the bounds; what isn't a number drops nothing
+                norm2 = np.maximum(squares[ends] - squares[ends - lengths], 0)
+            good = good & pc.and_(ids.is_valid(), lists.is_valid()).to_numpy(zero_copy_only=False)
             offsets = np.concatenate([[0], np.cumsum(lengths[good])]).astype(np.int64) * 8
             kept = x[np.repeat(good, lengths)]
             packed = pa.Array.from_buffers(pa.large_binary(), int(good.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).cast(pa.binary())
-            # an upper bound on the running sums' rounding is far below the slack of the bounds
-            norm2 = np.maximum(squares[ends] - squares[ends - lengths], 0)[good]
+            norm2 = norm2[good]
             yield pa.RecordBatch.from_arrays([ids.filter(pa.array(good)), packed, pa.array(norm2)], names=["_id", "_v", "_norm2"])
 
     return rows.select(F.col(f"`{key}`").cast("long").alias("_id"), F.col(f"`{vector}`").cast("array<double>").alias("_x")).mapInArrow(
@@ -67,12 +68,12 @@ def matrix(packed, dim: int) -> np.ndarray:
 
 
 def inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact integer inner products, held at the limits of a long where they are beyond it."""
+    """Exact integer inner products, held within 2^63 - 1 of 0."""
     with np.errstate(all="ignore"):
         if np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, len(q)) < 2.0 ** 53:
             return (x @ q).astype(np.int64)
     whole = [int(b) for b in q]
-    return np.array([max(-_LONG - 1, min(_LONG, sum(int(a) * b for a, b in zip(row, whole, strict=True)))) for row in x], np.int64)
+    return np.array([max(-_LONG, min(_LONG, sum(int(a) * b for a, b in zip(row, whole, strict=True)))) for row in x], np.int64)
 
 
 def _lift(norm2: np.ndarray, most: float) -> np.ndarray:
@@ -182,7 +183,8 @@ class Node:
         self.reach = float((self.to_parent + self.radius).max())
         self.cuts = np.concatenate([[0], np.cumsum(pages["_n"].to_numpy())])
         self.x = np.frombuffer(b"".join(pages["_entries"].to_pylist())).reshape(-1, dim)
-        self.norm2 = (self.x ** 2).sum(1)
+        with np.errstate(all="ignore"):
+            self.norm2 = (self.x ** 2).sum(1)
         self.d = np.frombuffer(b"".join(pages["_distances"].to_pylist()))
         copies = np.concatenate([np.asarray(c) for c in pages["_copies"].to_pylist()])
         self.id_cuts = np.concatenate([[0], np.cumsum(copies)])
@@ -304,7 +306,7 @@ def nearest_others(rows: DataFrame, is_query: Column, *, key: str = "vec_id", ve
 
     Queries are the rows where ``is_query`` holds. Ties go to the smaller id. Repeated rows are rows of their own: each
     repeated query has its own results, and a copy of a query's row is a candidate like any other. Rows without a key or a
-    whole finite vector take no part; an empty table gives no rows. Other columns are ignored.
+    whole finite vector take no part; an empty table gives no rows. Scores beyond 2^63 - 1 are held there. Other columns are ignored.
     """
     vectors = integer_vectors(rows, key=key, vector=vector, scale=scale)
     tree = build(vectors, most_ids=k + 1)

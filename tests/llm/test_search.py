@@ -48,7 +48,7 @@ def plain_search(rows, k):
     out = []
     for at, (i, v) in enumerate(ok):
         if i % 100 == 0:
-            scores = [(-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, w, strict=False)))), j) for n, (j, w) in enumerate(ok) if n != at]
+            scores = [(-max(1 - (1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(v, w, strict=False)))), j) for n, (j, w) in enumerate(ok) if n != at]
             out += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(sorted(scores)[:k])]
     return sorted(out)
 
@@ -213,4 +213,4 @@ def test_bounds_are_above_every_score_and_prune():
     for at, i in enumerate(tree.order):
         want = sorted(((-int(s), d) for d, s in enumerate(scores[:, i]) if s > 0))[:5]
         assert list(zip((-tree.scores[at]).tolist(), tree.docs[at].tolist(), strict=True)) == want
-    assert sum(len(v) == 0 for v in visited) > len(visited) / 3
+    assert sum(map(len, visited)) < 0.6 * 125 * 5  # of the pairs of leaves
