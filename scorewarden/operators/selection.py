@@ -231,7 +231,3 @@ def recommendation(df: DataFrame) -> DataFrame:
         "low_zone_review_pool": F.when(low >= 0.55, "YES").otherwise("MARGINAL"),
         "auto_reject": F.when(low >= 0.65, "YES").otherwise("NOT RECOMMENDED"),
     })
-
-
-def count_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.agg(*(F.coalesce(F.sum(flag(F.col(c))), F.lit(0)).alias(c) for c in columns))

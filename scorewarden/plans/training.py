@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewarden import vocabulary as v
-from scorewarden.operators import learners, metrics, routing, selection, splits
-from scorewarden.sources.writers import write_results
+from scorewarden.operators import learners, metrics, registry, routing, selection, splits
+from scorewarden.sources.writers import write_report, write_results
 from scorewarden.storage import settled
 
 SPREAD = ["cv_auc", "monitor_auc", "monitor_f1_reject", "monitor_ks"]
@@ -147,17 +147,42 @@ def stage_row(stage: DataFrame, cycles: DataFrame, model: str | None = None) ->
     return row.withColumns({f"avg_monitor_{m}": means[m] for m in ("auc", "f1_reject", "ks", "brier")})
 
 
-def run_and_save(development: DataFrame, oot: DataFrame, windows: DataFrame, s: Setup, root: str, run_id: str, **options) -> dict[str, str]:
-    return write_results(run_training(development, oot, windows, s, **options), root, run_id)
+def retrain_on_decision(
+    decisions: DataFrame, table: DataFrame, s: Setup, root: str, run_id: str, versions: DataFrame | None = None, **options,
+) -> DataFrame:
+    """Train on the periods that the latest stored retraining decision demands, and register the result.
 
-
-def retrain_on_recent(table: DataFrame, s: Setup, today: dt.date, root: str, run_id: str, **options) -> dict[str, str]:
-    """Retrain on the periods that end today: development, then policy and holdout as the out-of-time part."""
+    Opens the days from the start of development to the end of the holdout only; with ``s.month`` only those months' folders.
+    Writes all result tables and a registry row under ``root`` and returns that row: the next free name after those in
+    ``versions`` (baseline_name), the decision's day and reason, the chosen model with its thresholds, and the rows of each
+    stage. Without a decision nothing is trained and no row comes back.
+    """
     spark = table.sparkSession
-    start = spark.range(1).select(F.lit(today).alias("d"))
-    p = {k: dt.date.fromisoformat(x) for k, x in splits.retraining_periods(start, "d").drop("d").first().asDict().items()}
-    recent = table.where(F.col(s.day).between(F.lit(p["data_start"]), F.lit(p["data_end"])))
-    development = recent.where(F.col(s.day) <= F.lit(p["development_end"]))
-    oot = recent.where(F.col(s.day) > F.lit(p["development_end"]))
-    windows = splits.rolling_windows(spark, p["development_start"], p["policy_validation_start"])
-    return run_and_save(development, oot, windows, s, root, run_id, **options)
+    due = decisions.orderBy(F.desc("decided_on"), F.desc("development_start")).first()
+    names = versions if versions is not None else spark.createDataFrame([], "baseline_name string")
+    if due is None:
+        return spark.createDataFrame([], REGISTRY)
+    p = {k: dt.date.fromisoformat(due[k]) for k in (
+        "development_start", "development_end", "policy_validation_start", "final_holdout_end")}
+    first, last = p["development_start"], p["final_holdout_end"]
+    rows = table.where(F.col(s.day).between(F.lit(first), F.lit(last)))
+    if s.month:
+        rows = rows.where(F.col(s.month).cast("string").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    development = rows.where(F.col(s.day) <= F.lit(p["development_end"]))
+    oot = rows.where(F.col(s.day) >= F.lit(p["policy_validation_start"]))
+    windows = splits.rolling_windows(spark, first, p["policy_validation_start"])
+    results = run_training(development, oot, windows, s, **options)
+    write_results(results, root, run_id)
+    chosen = results["chosen_policy"].first()
+    stage = {r["stage"]: r["rows"] for r in results["stage_metrics"].select("stage", "rows").collect()}  # three rows
+    version = registry.next_version(names, "baseline_name").first()[0]
+    row = spark.createDataFrame([(
+        version, run_id, str(due["decided_on"]), due["retraining_trigger_reason"], str(first), str(last), chosen["model_name"],
+        float(chosen["lower_threshold"]), float(chosen["upper_threshold"]), *(int(stage.get(n, 0)) for n in ("train", "policy", "holdout")))], REGISTRY)
+    write_report(row, f"{root}/registry", run_id)
+    return row
+
+
+REGISTRY = (
+    "baseline_name string, run_id string, decided_on string, reason string, period_start string, period_end string, model_name string, "
+    "lower_threshold double, upper_threshold double, train_rows long, policy_rows long, holdout_rows long")
