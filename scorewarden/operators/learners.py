@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from random import Random
 
 import numpy as np
 from pyspark.ml import Model
@@ -22,13 +21,12 @@ from scorewarden.operators.boosting import Spec, TreeModel, fit_many, model_of,
 from scorewarden.operators.features import assembled
 from scorewarden.operators.linear import LinearModel, fit_linear, score_linear
 from scorewarden.operators.metrics import class_balance, classification_metrics
-from scorewarden.operators.ordering import bucket_count, numbered, smallest_by_hash
+from scorewarden.operators.neighbours import nearest_rows
+from scorewarden.operators.ordering import bucket_count, smallest_by_hash
 from scorewarden.operators.splits import month_folds, tag_windows
 from scorewarden.storage import settled, small_side
 
 SEED = 42
-#: Consecutive rows along a direction that one task looks at together.
-NEAR_BLOCK = 10_000
 
 
 def hash_share(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -58,51 +56,31 @@ def undersampled(df: DataFrame, label: str, keys: Sequence[str], times: int = 2,
 
 
 def oversampled(
-    df: DataFrame, label: str, keys: Sequence[str], features: Sequence[str], k: int = 5, projections: int = 3,
-    seed: int = SEED,
+    df: DataFrame, label: str, keys: Sequence[str], features: Sequence[str], k: int = 5, seed: int = SEED,
 ) -> DataFrame:
     """The rows plus synthetic rows of the minority class, so that both classes are equally many.
 
     A synthetic row lies between a minority row and one of its k nearest minority
-    rows. Neighbours are the k rows before and after it along a few random
-    directions, so the work grows with rows x projections x k and no pair of
-    distant rows is ever formed. The result depends on the rows alone, not on how
-    they are spread over tasks. A single minority row has no neighbour and is
-    repeated. Result columns: keys (null on synthetic rows), features, label,
-    ``is_synthetic``.
+    rows, which are exact. The result depends on the rows alone, not on how they
+    are spread over tasks. A single minority row has no neighbour and is repeated.
+    Keys must identify rows. Result columns: keys (null on synthetic rows),
+    features, label, ``is_synthetic``.
     """
     balance = class_balance(df, label).first()
     minority = 1 if balance["positives"] < balance["negatives"] else 0
     few, many = sorted((balance["positives"], balance["negatives"]))
     original = df.where(F.col(label).isNotNull()).select(
-        *keys, *(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features), F.col(label).cast("int").alias(label),
+        *keys, *(F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f) for f in features), F.col(label).cast("int").alias(label),
         F.lit(False).alias("is_synthetic"))
     if few == 0 or few == many:
         return original
     rows = settled(original.where(F.col(label) == minority).select(
-        F.struct(*keys).alias("_id"), F.array(*features).alias("_x"), F.xxhash64(F.lit(seed), *keys).alias("_h")))
-
-    def beside(direction: int) -> DataFrame:
-        draw = Random(f"{seed} {direction}")
-        weights = F.array(*(F.lit(draw.uniform(-1, 1)) for _ in features))
-        spot = F.aggregate(F.zip_with("_x", weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        ranked = numbered(rows.withColumn("_spot", spot), "_spot", ["_h", "_id"])
-        # rows near a border take part in the block on its other side too
-        blocks = F.array_distinct(F.transform(F.array(F.lit(-k), F.lit(0), F.lit(k)), lambda d: F.floor((F.col("_rank") + d) / NEAR_BLOCK)))
-        near = (f"collect_list(struct(_id, _x)) over (partition by _block order by _rank"
-                f" rows between {k} preceding and {k} following)")
-        return ranked.withColumn("_block", F.explode(blocks)).selectExpr("_id", "_x", "_h", "_rank", "_block", f"{near} as _near").where(
-            F.floor(F.col("_rank") / NEAR_BLOCK) == F.col("_block")).select("_id", "_x", "_h", "_near")
-
-    seen = reduce(DataFrame.unionByName, (beside(d) for d in range(projections)))
-    distance = "aggregate(zip_with(p._x, _x, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)"
-    nearest = (
-        seen.groupBy("_id").agg(  # at most projections x (2k + 1) candidates per row
-            F.first("_x").alias("_x"), F.first("_h").alias("_h"), F.flatten(F.collect_list("_near")).alias("_near"))
-        .selectExpr("_id", "_x", "_h", f"slice(array_sort(transform(filter(array_distinct(_near), p -> p._id != _id),"
-                    f" p -> struct({distance} as d, p._x as x))), 1, {k}) as _near")
-        .selectExpr("_id", "_x", "_h", "if(size(_near) > 0, _near, array(struct(0D as d, _x as x))) as _near")
-    )
+        F.to_json(F.struct(*keys)).alias("_id"), F.array(*features).alias("_x"), F.xxhash64(F.lit(seed), *keys).alias("_h")))
+    near = nearest_rows(rows, k, key="_id").groupBy("_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", F.col("_x").alias("x")))).alias("_near"))  # at most k
+    # settled: the copies are drawn from it in two passes
+    nearest = settled(rows.join(near, "_id", "left").withColumn(
+        "_near", F.coalesce("_near", F.array(F.struct(F.lit(1).alias("place"), F.col("_x").alias("x"))))))
     times, extra = divmod(many - few, few)
     plan = nearest.select("*", F.lit(times).alias("_times"))
     if extra:
