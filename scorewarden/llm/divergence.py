@@ -154,11 +154,11 @@ def perfect_shards(kept: DataFrame, shard_terms: int = 4096) -> DataFrame:
     return rows.groupBy("_lang", "_shard").applyInArrow(made, "_lang string, _shards long, _shard long, _seeds binary, _terms array<string>")
 
 
-def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20, most_slots: int = 1 << 21) -> DataFrame:
+def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20, most_slots: int = 1 << 23) -> DataFrame:
     """(_lang, _source, _at, _n): occurrences of each stored term in each group of (_lang, _source, _text); cells that are 0 are left out.
 
     Shards are broadcast in rounds of about ``round_bytes``; the texts are read once a round. A task holds dense slots for the
-    groups it meets, at most about ``most_slots`` numbers before they are emptied.
+    groups it meets, at most about ``most_slots`` numbers of 4 bytes before they are emptied.
     """
     import pyarrow as pa
     weight = F.length("_seeds") + F.aggregate("_terms", F.lit(0), lambda a, t: a + F.octet_length(t) + 16)
@@ -184,6 +184,7 @@ def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20,
                 ends[lang] = at
             numbers = {lang: np.concatenate([(s << _SLOT_BITS) | np.arange(n) for s, n in sorted(of.items())]) for lang, of in sizes.items()}
             dense: dict = {}
+            added = 0  # since the slots were emptied; below what a slot can hold
 
             def emptied():
                 keys = sorted(dense)
@@ -191,7 +192,7 @@ def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20,
                 yield pa.RecordBatch.from_arrays([
                     pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
                     pa.array([numbers[k[0]][a] for k, a in zip(keys, at, strict=True)], pa.list_(pa.int64())),
-                    pa.array([dense[k][a] for k, a in zip(keys, at, strict=True)], pa.list_(pa.int64()))], names=["_lang", "_source", "_at", "_n"])
+                    pa.array([dense[k][a].astype(np.int64) for k, a in zip(keys, at, strict=True)], pa.list_(pa.int64()))], names=["_lang", "_source", "_at", "_n"])
                 dense.clear()
 
             for batch in batches:
@@ -206,6 +207,10 @@ def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20,
                         continue
                     keys, inverse = np.unique(group[row] * len(terms) + code, return_inverse=True)
                     n = np.bincount(inverse, count).astype(np.int64)
+                    if dense and added + n.sum() >= 1 << 31:
+                        yield from emptied()
+                        added = 0
+                    added += int(n.sum())
                     h = key_hashes(terms)
                     of, code = np.divmod(keys, len(terms))
                     edges = np.flatnonzero(np.r_[True, np.diff(of) > 0, True])
@@ -217,8 +222,9 @@ def recount(docs: DataFrame, shards: DataFrame, *, round_bytes: int = 32 << 20,
                         if name not in dense:
                             if dense and sum(map(len, dense.values())) + ends[name[0]] > most_slots:
                                 yield from emptied()
-                            dense[name] = np.zeros(ends[name[0]], np.int64)
-                        dense[name][starts[name[0]][at >> _SLOT_BITS] + (at & ((1 << _SLOT_BITS) - 1))] += n[a:b][found]
+                            # a single long text may hold more than a small slot
+                            dense[name] = np.zeros(ends[name[0]], np.int32 if added < 1 << 31 else np.int64)
+                        dense[name][starts[name[0]][at >> _SLOT_BITS] + (at & ((1 << _SLOT_BITS) - 1))] += n[a:b][found].astype(dense[name].dtype)
             if dense:
                 yield from emptied()
 
