@@ -111,6 +111,32 @@ def test_runs_are_compacted_and_keep_their_counts(spark):
         runs.add(spark.range(10).select(F.col("id").alias("_a"), F.lit(0).cast("long").alias("_b"), F.lit(1 + i % 2).cast("long").alias("documents")))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {r["documents"] for r in runs.counts().collect()} == {6} and runs.frequent().count() == 10
+    runs.drop()
+    assert not spark.catalog.databaseExists(runs.database)
+
+
+def test_a_batch_meets_the_runs_without_moving_or_sorting_them(spark):
+    runs = linededup.LineRuns(spark, least_documents=3, fanout=3)
+    for i in range(4):
+        runs.add(spark.range(i, 40).select(F.col("id").alias("_a"), F.col("id").alias("_b"), F.lit(2).cast("long").alias("documents")))
+    assert [len(level) for level in runs.levels] == [1, 1]
+    batch = spark.range(60).select(F.col("id").alias("_a"), F.col("id").alias("_b"), F.lit(1).cast("long").alias("documents"))
+    with linededup._sorted_scans(spark):
+        unknown = runs.unknown(batch)
+        plan = unknown._jdf.queryExecution().executedPlan().toString()
+        # one exchange and one sort, both of the batch
+        assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hash") == 1 and plan.count("Sort [") == 1, plan
+        assert {r["_a"] for r in unknown.collect()} == {0, *range(40, 60)}
+    assert {r["_a"]: r["documents"] for r in runs.counts().collect()}[39] == 6
+    runs.drop()
+
+
+def test_copies_of_a_text_and_long_texts_lose_their_lines(spark):
+    long = "\n".join(f"line {i % 700}" if i % 3 else "Shared " for i in range(60000))
+    texts = ["shared\nown"] * 40 + [long, long + "\nend", " SHARED"] + [f"\n{i}\nshared" for i in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = linededup.drop_frequent_lines(docs, least_documents=3).collect()
+    assert Counter((r["_n_lines"], r["_n_dropped"], r["text"]) for r in got) == Counter(brute.without_lines(texts, 3))
 
 
 def test_cross_entropy_difference_against_a_plain_model(spark):
