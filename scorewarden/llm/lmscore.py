@@ -6,7 +6,9 @@ documents, scaled to the target's number of words. A document's score is the mea
 over its words of the loss under the target model minus the loss under the
 background model.
 
-The counts are a distributed table. Documents are packed into chunks; each chunk
+The counts are a distributed table. Documents are packed into chunks where they are
+read; the keys of the chunks are joined with those of the targets, and only the
+places of target documents come back to their chunks. Each chunk
 sends every key it holds (a word, a word before another, a bigram) once, in buckets
 of the key space, where the counts of all chunks are added up and sent back to the
 chunks that asked. So a frequent bigram makes one entry per chunk, and nothing that
@@ -57,7 +59,7 @@ def vocabulary(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
 def _packed(array: np.ndarray) -> bytes:
     """Whole numbers as compressed bytes, the bytes of one rank together."""
-    return zlib.compress(np.ascontiguousarray(array.view(np.uint8).reshape(len(array), -1).T).tobytes(), 1)
+    return zlib.compress(np.ascontiguousarray(array.view(np.uint8).reshape(-1, array.itemsize).T).tobytes(), 1)
 
 
 def _unpacked(data: bytes, kind: type) -> np.ndarray:
@@ -65,31 +67,31 @@ def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-_CHUNK = "_chunk long, _keys array<long>, _sizes binary, _target binary, _words binary, _places binary, n_words long, n_target long, n_keys long"
+_CHUNK = "_chunk long, _keys array<long>, _sizes binary, _words binary, _places binary, n_words long, n_keys long"
 
 
-def packed_chunks(marked: DataFrame, words: np.ndarray | None) -> DataFrame:
-    """Chunks of the documents (_key, _text, _target): their keys, numbers of words, and words as places in the chunk's own list.
+def packed_chunks(docs: DataFrame, words: np.ndarray | None) -> DataFrame:
+    """Chunks of the documents (_key, _text): their keys, numbers of words, and words as places in the chunk's own list.
 
     With ``words``, a sorted list of hashes, all other words are one.
     """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sizes, target, hashes, held, made = [], [], [], [], 0, 0
+        keys, sizes, hashes, held, made = [], [], [], 0, 0
         part = TaskContext.get().partitionId()
 
         def chunk() -> pa.RecordBatch:
-            n, wanted, every = np.concatenate(sizes), np.concatenate(target), np.concatenate(hashes)
+            n, every = np.concatenate(sizes), np.concatenate(hashes)
+            hashes.clear()
             own, place, count = np.unique(every, return_inverse=True, return_counts=True)
             order = np.argsort(-count, kind="stable")  # small places for frequent words compress
             rank = np.empty(len(own), np.uint32)
             rank[order] = np.arange(len(own), dtype=np.uint32)
-            places = rank[place]
-            values = [
-                part + (made << 32), pa.concat_arrays(keys).to_pylist(), n.tobytes(), wanted.tobytes(), _packed(own[order]), _packed(places), len(every), int(n[wanted].sum()),
-                len(_Counts(own[order], places, n, wanted).keys)]
-            types = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.int64()] * 3]
+            places, own, n_words = rank[place], own[order], len(every)
+            del every, place, rank, count, order
+            values = [part + (made << 32), pa.concat_arrays(keys).to_pylist(), n.tobytes(), _packed(own), _packed(places), n_words, len(_Counts(own, places, n).keys)]
+            types = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3, *[pa.int64()] * 2]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[c.split()[0] for c in _CHUNK.split(", ")])
 
         for batch in batches:
@@ -101,62 +103,75 @@ def packed_chunks(marked: DataFrame, words: np.ndarray | None) -> DataFrame:
                     now = np.where(np.isin(now, words), now, _OTHER)
                 keys.append(batch.column(0).slice(start, stop - start))
                 sizes.append(np.bincount(found.doc, minlength=stop - start).astype(np.int64))
-                target.append(np.asarray(batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False), bool))
                 hashes.append(now)
-                held += len(now)
+                held += len(now) + stop - start  # empty documents fill a chunk too
                 if held >= CHUNK_WORDS:
                     yield chunk()
-                    keys, sizes, target, hashes, held, made = [], [], [], [], 0, made + 1
+                    keys, sizes, hashes, held, made = [], [], [], 0, made + 1
         if keys:
             yield chunk()
 
-    return marked.select("_key", "_text", "_target").mapInArrow(run, _CHUNK)
+    return docs.select("_key", "_text").mapInArrow(run, _CHUNK)
 
 
 class _Counts:
-    """The different keys of a chunk in order, their counts in target and in all documents, and where each word finds its three keys."""
+    """The different keys of a chunk in order, their counts in all documents and in those at the places ``target``, and where each word finds its three keys."""
 
-    def __init__(self, own: np.ndarray, places: np.ndarray, sizes: np.ndarray, target: np.ndarray):
+    def __init__(self, own: np.ndarray, places: np.ndarray, sizes: np.ndarray, target: list[int] | None = None):
         now = own[places]
         before = np.empty_like(now)
         before[1:] = now[:-1]
         before[(np.cumsum(sizes) - sizes)[sizes > 0]] = _START
-        self.row = np.repeat(np.arange(len(sizes)), sizes)
-        wanted = target[self.row]
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        chosen = np.zeros(len(sizes), bool)
+        chosen[target or []] = True
+        wanted = chosen[self.row]
         keys, n, n_target, at = [], [], [], []
-        for kind, values in ((_WORD, now), (_BEFORE, mixed_bits(before + np.uint64(1))), (_PAIR, mixed_bits(mixed_bits(before) * np.uint64(31) + now))):
-            key, place, count = np.unique((values & ~_KIND) | kind, return_inverse=True, return_counts=True)
+        # one kind at a time, so that only one has its working arrays
+        for kind, of in ((_WORD, lambda: now), (_BEFORE, lambda: mixed_bits(before + np.uint64(1))), (_PAIR, lambda: mixed_bits(mixed_bits(before) * np.uint64(31) + now))):
+            key, place, count = np.unique((of() & ~_KIND) | kind, return_inverse=True, return_counts=True)
+            place = place.astype(np.int32)
             keys.append(key)
             n.append(count)
             n_target.append(np.bincount(place[wanted], minlength=len(key)))
             at.append(place)
         every = np.concatenate(keys)
         order = np.argsort(every)
-        spot = np.empty(len(every), np.int64)
-        spot[order] = np.arange(len(every))
+        spot = np.empty(len(every), np.int32)
+        spot[order] = np.arange(len(every), dtype=np.int32)
         self.keys, self.n, self.n_target = every[order], np.concatenate(n)[order], np.concatenate(n_target)[order]
         shift = np.cumsum([0, *map(len, keys)])
         self.word, self.before, self.pair = (spot[s: s + len(k)][p] for s, k, p in zip(shift, keys, at, strict=False))
 
 
-def _counted(row: dict) -> _Counts:
-    return _Counts(
-        _unpacked(row["_words"], np.uint64), _unpacked(row["_places"], np.uint32), np.frombuffer(row["_sizes"], np.int64), np.frombuffer(row["_target"], bool))
+def _counted(row: dict, target: list[int] | None = None) -> _Counts:
+    return _Counts(_unpacked(row["_words"], np.uint64), _unpacked(row["_places"], np.uint32), np.frombuffer(row["_sizes"], np.int64), target)
 
 
-def key_totals(packs: DataFrame, buckets: int) -> DataFrame:
-    """(_chunk, _bucket, _totals, n_words): the counts over all chunks of the keys of a chunk in a bucket, in order.
+def target_places(packs: DataFrame, targets: DataFrame) -> DataFrame:
+    """(_chunk, _target): the places of the documents of a chunk whose key ``targets`` (_key) has, for chunks with any."""
+    members = packs.select("_chunk", F.posexplode("_keys").alias("_place", "_key")).where("_key is not null")
+    # the targets grow with the documents: the same join at every size
+    return members.join(targets.hint("merge"), "_key").groupBy("_chunk").agg(F.collect_list("_place").alias("_target"))
+
 
-    ``n_words`` is the number of different words of the bucket, on the row of its first chunk.
+def key_totals(packs: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+    """(_chunk, _bucket, _totals, n_words, n_target): the counts over all chunks of the keys of a chunk in a bucket, in order.
+
+    ``n_words`` and ``n_target`` are the different words of the bucket and their number in target documents, on the row of its first chunk.
     """
     import pyarrow as pa
 
     bits = np.uint64(64 - (buckets.bit_length() - 1))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = (None, None)
         for batch in batches:
             for row in batch.to_pylist():
-                c = _counted(row)
+                if row["_sizes"] is None:
+                    marks = row["_chunk"], row["_target"]
+                    continue
+                c = _counted(row, marks[1] if marks[0] == row["_chunk"] else None)
                 edges = np.searchsorted((c.keys >> bits).astype(np.int64), np.arange(buckets + 1))
                 full = np.flatnonzero(edges[1:] > edges[:-1])
                 # the steps between sorted keys are shorter than the keys
@@ -173,11 +188,12 @@ def key_totals(packs: DataFrame, buckets: int) -> DataFrame:
         totals = np.stack([np.bincount(place, c, len(own)) for c in both]).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])
         answers = [_packed(totals[:, place[e - len(k): e]].reshape(-1)) for e, k in zip(ends, keys, strict=True)]
-        first = np.zeros(len(rows), np.int64)
-        first[0] = ((own & _KIND) == _WORD).sum()
+        first, in_target = np.zeros((2, len(rows)), np.int64)
+        words = (own & _KIND) == _WORD
+        first[0], in_target[0] = words.sum(), totals[0][words].sum()
         return pa.RecordBatch.from_arrays([
-            pa.array([r["_chunk"] for r in rows], pa.int64()), pa.array([r["_bucket"] for r in rows], pa.int64()), pa.array(answers, pa.binary()), pa.array(first)],
-            names=["_chunk", "_bucket", "_totals", "n_words"])
+            pa.array([r["_chunk"] for r in rows], pa.int64()), pa.array([r["_bucket"] for r in rows], pa.int64()), pa.array(answers, pa.binary()), pa.array(first), pa.array(in_target)],
+            names=["_chunk", "_bucket", "_totals", "n_words", "n_target"])
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -190,8 +206,12 @@ def key_totals(packs: DataFrame, buckets: int) -> DataFrame:
         if rows:
             yield added(rows)
 
-    entries = packs.select("_chunk", "_sizes", "_target", "_words", "_places").mapInArrow(sent, "_chunk long, _bucket long, _hashes binary, _counts binary")
-    return _dealt(entries, "_bucket").sortWithinPartitions("_bucket").mapInArrow(grouped, "_chunk long, _bucket long, _totals binary, n_words long")
+    marked = places.select("_chunk", F.lit(0).alias("_order"), "_target").unionByName(
+        packs.select("_chunk", F.lit(1).alias("_order"), "_sizes", "_words", "_places"), allowMissingColumns=True)
+    entries = _dealt(marked, "_chunk").sortWithinPartitions("_chunk", "_order").select("_chunk", "_target", "_sizes", "_words", "_places").mapInArrow(
+        sent, "_chunk long, _bucket long, _hashes binary, _counts binary")
+    return _dealt(entries, "_bucket").sortWithinPartitions("_bucket").mapInArrow(
+        grouped, "_chunk long, _bucket long, _totals binary, n_words long, n_target long")
 
 
 def _dealt(df: DataFrame, number: str) -> DataFrame:
@@ -215,18 +235,17 @@ def cross_entropy_difference(
     if vocabulary_size is not None and vocabulary_size <= 0:
         raise ValueError("vocabulary_size must be above 0")
     words = None if vocabulary_size is None else vocabulary(docs, text, vocabulary_size)
-    # the targets grow with the documents: the same join at every size
-    wanted = targets.select(F.col(key).cast("long").alias("_key")).dropna().distinct().withColumn("_target", F.lit(True)).hint("merge")
-    marked = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).join(wanted, "_key", "left").withColumn(
-        "_target", F.coalesce("_target", F.lit(False)))
-    packs = settled(packed_chunks(marked, words))
-    sums = packs.agg(F.sum("n_words").alias("all"), F.sum("n_target").alias("target"), F.sum("n_keys").alias("keys"), F.max("n_keys").alias("most")).first()
-    n_all, n_target, most = sums["all"] or 0, sums["target"] or 0, max(1, sums["most"] or 0)
+    packs = settled(packed_chunks(docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")), words))
+    places = target_places(packs, targets.select(F.col(key).cast("long").alias("_key")).dropna().distinct())
+    sums = packs.agg(F.sum("n_words").alias("all"), F.sum("n_keys").alias("keys"), F.max("n_keys").alias("most")).first()
+    n_all, most = sums["all"] or 0, max(1, sums["most"] or 0)
     buckets = LEAST_BUCKETS
     while buckets * BUCKET_ENTRIES < (sums["keys"] or 0) and buckets * LEAST_KEYS < most:
         buckets *= 2
-    totals = settled(key_totals(packs, buckets))
-    different = (totals.agg(F.sum("n_words")).first()[0] or 0) if words is None else len(words)
+    totals = settled(key_totals(packs, places, buckets))
+    found = totals.agg(F.sum("n_words").alias("words"), F.sum("n_target").alias("target")).first()
+    n_target = found["target"] or 0
+    different = (found["words"] or 0) if words is None else len(words)
     scale = n_target / n_all if n_target else 1.0
 
     def loss(n: np.ndarray, c: _Counts, factor: float, total: float) -> np.ndarray:
@@ -255,7 +274,7 @@ def cross_entropy_difference(
         if row:
             yield scored(row, parts)
 
-    pack = F.struct("_keys", "_sizes", "_target", "_words", "_places")
+    pack = F.struct("_keys", "_sizes", "_words", "_places")
     back = packs.select("_chunk", F.lit(-1).cast("long").alias("_bucket"), pack.alias("_pack")).unionByName(
         totals.select("_chunk", "_bucket", "_totals"), allowMissingColumns=True).select("_chunk", "_bucket", "_totals", "_pack.*")
     return _dealt(back, "_chunk").sortWithinPartitions("_chunk", "_bucket").mapInArrow(

@@ -139,11 +139,12 @@ def test_copies_of_a_text_and_long_texts_lose_their_lines(spark):
     assert Counter((r["_n_lines"], r["_n_dropped"], r["text"]) for r in got) == Counter(brute.without_lines(texts, 3))
 
 
-def test_cross_entropy_difference_against_a_plain_model(spark):
+@pytest.mark.parametrize("vocabulary_size", [50, None])
+def test_cross_entropy_difference_against_a_plain_model(spark, vocabulary_size):
     texts = ["the cat sat on the mat", "The dog sat", "", None, "cat cat dog", "on-mat the"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     target = spark.createDataFrame([(0,), (4,), (4,), (None,)], "doc_id long")
-    rows = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(docs, target, vocabulary_size=50, prior=2.0).collect()}
+    rows = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(docs, target, vocabulary_size=vocabulary_size, prior=2.0).collect()}
     split = [[w for w in "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()] for t in texts]
     names = sorted({w for t in split for w in t})
     size = len(names) + 2  # and the unknown word and the start mark
