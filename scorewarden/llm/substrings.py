@@ -20,13 +20,17 @@ alone, so that after the last pass the groups are exactly the repeated windows:
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewarden.llm.common import prefix_sums, ranges, settled, span_hashes, text_key
+from scorewarden.llm.linededup import shared_folder
+from scorewarden.storage import left_lookup
 
 _LOW = np.uint64((1 << 32) - 1)
 _TEXT = ["_k1", "_k2"]
@@ -81,6 +85,26 @@ def packed(texts: DataFrame, *columns: str) -> DataFrame:
     return texts.select(*columns, "_text").mapInArrow(run, texts.select(*columns).schema.add("_body", "binary"))
 
 
+@contextmanager
+def text_table(texts: DataFrame) -> Iterator[DataFrame]:
+    """(_k1, _k2, _key, _body, _copies) of each different text of rows (_key, _text, _k1, _k2), in a table bucketed by its key.
+
+    The texts move once, when the table is written; joins by their key then meet them where they lie. ``_key`` is that of
+    one of the rows. The table has a database of its own in the shared folder and is gone afterwards, so what is read from
+    it must have been settled.
+    """
+    spark = texts.sparkSession
+    database = f"texts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark, 'texts')}'")
+    try:
+        each = packed(texts, "_key", *_TEXT).groupBy(*_TEXT).agg(F.first(F.struct("_key", "_body")).alias("_one"), F.count("*").alias("_copies"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        each.select(*_TEXT, "_one.*", "_copies").write.format("parquet").bucketBy(buckets, *_TEXT).saveAsTable(f"{database}.texts")
+        yield spark.table(f"{database}.texts")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def _by_text(rows: DataFrame, schema: str, work) -> DataFrame:
     """Rows (_k1, _k2, columns of ``work``): per text (_k1, _k2, _text or _body, ...) the arrays that ``work`` makes of its bytes."""
     import pyarrow as pa
@@ -188,11 +212,14 @@ def _repeated(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("_count")).where("_count > 1").select(*by)
 
 
-def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 400, gram: int = 32, cell: int = 16) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, *, text: str = "text", length: int = 400, gram: int = 32, cell: int = 16, stored: DataFrame | None = None,
+) -> DataFrame:
     """(_k1, _k2, _spans) for texts that occur once: spans (_start, _stop) of bytes covered by strings of ``length`` bytes
     that start twice, unsorted and overlapping.
 
     Texts that occur several times are looked at once, as what others may repeat; they themselves repeat as a whole.
+    ``stored`` is the ``text_table`` of the texts of at least ``length`` bytes, if there is one.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(*text_key(body), body.alias("_text")).where(F.octet_length("_text") >= length)
@@ -215,8 +242,8 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = 400, gr
     west, east = (_repeated(kinds.where(f"{side} != 0"), side) for side in ("_west", "_east"))
     ahead = kinds.join(west, "_west", "left_semi").select(*_TEXT, "_at").unionByName(kinds.join(east, "_east", "left_semi").select(*_TEXT, "_at"))
     listed = ahead.groupBy(*_TEXT).agg(F.collect_set("_at").alias("_ats"))
-    bodies = packed(texts, *_TEXT).groupBy(*_TEXT).agg(F.first("_body").alias("_body")).join(listed, _TEXT)
-    cells = settled(all_cells(bodies, length, cell))
+    with nullcontext(stored) if stored is not None else text_table(texts.withColumn("_key", F.lit(None).cast("long"))) as bodies:
+        cells = settled(all_cells(bodies.select(*_TEXT, "_body").join(listed, _TEXT), length, cell))
     live = settled(cells.join(_repeated(cells, "_c1", "_c2"), ["_c1", "_c2"]))
     place, low, high = F.shiftright("_spot", 32), F.shiftright("_spot", 16).bitwiseAND(0xFFFF), F.col("_spot").bitwiseAND(0xFFFF)
     # all windows of a cell at once, where all its bytes agree
@@ -252,18 +279,14 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     """
     import pyarrow as pa
     body = F.coalesce(F.col(text), F.lit(""))
-    # copies of a text repeat as a whole
-    copies = docs.select(*text_key(body)).groupBy("_k1", "_k2").agg(F.count("*").alias("_copies")).where("_copies > 1")
-    spans = repeated_spans(docs, text=text, length=length)
-    marks = settled(spans.join(copies, ["_k1", "_k2"], "full").select("_k1", "_k2", "_spans", F.coalesce("_copies", F.lit(1)).alias("_copies")))
-    joined = packed(docs.select(F.col(key).cast("long").alias("_key"), body.alias("_text"), *text_key(body)), "_key", *_TEXT).join(marks, _TEXT, "left")
+    every = docs.select(F.col(key).cast("long").alias("_key"), body.alias("_text"), *text_key(body), F.octet_length(body).cast("long").alias("n_bytes"))
+    texts = every.where(F.col("n_bytes") >= length)
     schema = "_key long, n_bytes long, n_removed long, n_spans long, _kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdDecompressor
         plain = ZstdDecompressor().decompress
         for batch in batches:
-            copies = batch.column(3).to_numpy(zero_copy_only=False)
             sizes, removed, spans, kept = [], [], [], []
             lists = batch.column(2)
             edges, flat = lists.offsets.to_numpy(), lists.values
@@ -271,18 +294,14 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
             valid = lists.is_valid().to_numpy(zero_copy_only=False)
             for i in range(batch.num_rows):
                 raw = plain(batch.column(1)[i].as_py())
-                n = len(raw)
-                sizes.append(n)
-                if copies[i] > 1 and n >= length:
-                    found = [(0, n)]
-                elif valid[i]:
+                sizes.append(len(raw))
+                found = []
+                if valid[i]:
                     s = slice(edges[i], edges[i + 1])
                     order = np.argsort(starts[s], kind="stable")
                     a, b = starts[s][order], np.maximum.accumulate(stops[s][order])
                     new = np.flatnonzero(np.r_[True, a[1:] > b[:-1]])
                     found = list(zip(a[new].tolist(), b[np.r_[new[1:], len(a)] - 1].tolist(), strict=True))
-                else:
-                    found = []
                 at, left = 0, []
                 for a, b in found:
                     left.append(raw[at:a])
@@ -294,5 +313,15 @@ def drop_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
                 names=["_key", "n_bytes", "n_removed", "n_spans", "_kept"])
 
-    out = joined.select("_key", "_body", "_spans", F.coalesce("_copies", F.lit(1)).alias("_copies")).mapInArrow(run, schema)
+    with text_table(texts) as stored:
+        spans = settled(repeated_spans(docs, text=text, length=length, stored=stored))
+        single = stored.where("_copies = 1").select(*_TEXT, "_key", "_body").join(spans, _TEXT, "left").select("_key", "_body", "_spans").mapInArrow(run, schema)
+        # copies of a text repeat as a whole, so only their keys are looked up; short texts stay where they are
+        total = stored.agg(F.sum("_copies")).first()[0] or 1
+        copied = stored.where("_copies > 1").select(*_TEXT, "_copies", (F.col("_copies") / total).alias("_share"))
+        repeated = left_lookup(texts.select("_key", "n_bytes", *_TEXT), copied, _TEXT, weight="_share").where("_copies is not null")
+        whole = repeated.select("_key", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit("").cast("binary").alias("_kept"))
+        nothing = F.lit(0).cast("long")
+        short = every.where(F.col("n_bytes") < length).select("_key", "n_bytes", nothing.alias("n_removed"), nothing.alias("n_spans"), F.col("_text").cast("binary").alias("_kept"))
+        out = settled(single.unionByName(whole).unionByName(short))
     return out.withColumnRenamed("_key", key)
