@@ -113,6 +113,29 @@ def test_repeated_strings_of_odd_rows(spark, odd):
     assert substrings.drop_repeats(odd.limit(0)).count() == 0
 
 
+def test_texts_are_joined_where_their_table_lies_and_the_table_is_removed(spark):
+    """Copies are one row, joins by key move only the other side, and a failure leaves no table behind."""
+    docs = spark.createDataFrame([(1, "abc"), (2, "abc"), (None, "de"), (4, "é" * 500)], "_key long, _text string")
+    docs = docs.select("*", *substrings.text_key(F.col("_text")))
+    with substrings.text_table(docs) as stored:
+        assert sorted(r["_copies"] for r in stored.collect()) == [1, 1, 2]
+        other = docs.select("_k1", "_k2", F.lit(1).alias("one")).hint("merge")
+        joined = stored.join(other, ["_k1", "_k2"])
+        assert joined.count() == 4
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    with pytest.raises(KeyError), substrings.text_table(docs):
+        raise KeyError
+    assert not [r[0] for r in spark.sql("SHOW DATABASES").collect() if r[0].startswith("texts_")]
+
+
+def test_copies_of_a_hot_text_leave_whole_with_their_own_keys(spark):
+    rows = [(i, "hot " * 120) for i in range(60)] + [(100, "hot " * 99 + "end"), (101, "x" * 399), (None, "hot " * 120), (102, "y" * 400)]
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in substrings.drop_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {*((i, 480, 480, 1) for i in (*range(60), None)), (100, 399, 0, 0), (101, 399, 0, 0), (102, 400, 0, 0)}
+
+
 def fingerprinted(df):
     return sorted((r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in df.collect())
 
