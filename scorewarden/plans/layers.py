@@ -15,7 +15,7 @@ from scorewarden import vocabulary as v
 from scorewarden.operators import cleaning, contract, drift, encoders, features, splits
 from scorewarden.operators.audit import audit_row
 from scorewarden.sources.readers import read_raw_csv, read_table
-from scorewarden.sources.writers import write_by_month, write_encoders, write_report, write_table
+from scorewarden.sources.writers import write_by_month, write_counted, write_encoders, write_report, write_table
 from scorewarden.storage import settled
 
 STAMPS = ["bronze_load_timestamp", "silver_process_timestamp", "gold_process_timestamp"]
@@ -23,9 +23,8 @@ STAMPS = ["bronze_load_timestamp", "silver_process_timestamp", "gold_process_tim
 
 # ---- bronze ---------------------------------------------------------------------
 def run_bronze(spark: SparkSession, csv: str, out: str) -> int:
-    """Raw text to Parquet; returns the number of rows written, read back from file footers."""
-    write_table(read_raw_csv(spark, csv), out)
-    return read_table(spark, out).count()
+    """Raw text to Parquet; returns the number of rows written."""
+    return write_counted(read_raw_csv(spark, csv), out)
 
 
 # ---- silver ---------------------------------------------------------------------
@@ -106,9 +105,9 @@ def run_silver(
         problems = [f"{r['check']} {r['column']}" for r in checks.where("not is_valid").orderBy("check", "column").collect()]
         if status == "FAIL" and fail_on_error:
             raise ValueError(f"input breaks the contract: {problems}")
-    write_table(silver_table(bronze), out)
-    # the first and last count come from file footers, the middle one reads three columns
-    before, after = bronze.count(), read_table(spark, out).count()
+    # The first count comes from file footers and the last from the write. The middle one reads three columns: observed
+    # before the shuffle, it would count a task again that a lost executor makes Spark repeat.
+    before, after = bronze.count(), write_counted(silver_table(bronze), out)
     complete = cleaning.keyed(cleaned_table(bronze), [v.CASE, v.DAY, v.OUTCOME]).count()
     if validate:
         write_report(silver_checks(read_table(spark, out)), f"{reports}/validation", run_id, "silver")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -13,6 +13,17 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Overwrite a table and return its number of rows, counted while they are written.
+
+    The count is taken in the stage that writes, where Spark counts each finished task once; a task that ran again
+    after an executor was lost adds nothing.
+    """
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def write_by_month(df: DataFrame, path: str, month: str, first: Sequence[str] = ()) -> None:
     """Overwrite a table with one folder per month, below folders for the ``first`` columns.
 

@@ -31,6 +31,21 @@ def gold(spark, tmp_path_factory):
     return root, paths
 
 
+def test_rows_are_counted_by_the_job_that_writes_them(spark, tmp_path):
+    source = spark.read.parquet(f"{SMALL}/orders.parquet")
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        rows = writers.write_counted(source.select("o_orderkey"), f"{tmp_path}/all")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows == source.count() and len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) == 1
+    shuffled = source.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last"))
+    assert writers.write_counted(shuffled, f"{tmp_path}/grouped") == shuffled.count()
+    assert writers.write_counted(source.where("o_orderkey < 0"), f"{tmp_path}/grouped") == 0
+    assert writers.write_counted(source.limit(0), f"{tmp_path}/none") == 0
+    assert spark.read.parquet(f"{tmp_path}/grouped").count() == 0
+
+
 def test_layers_and_reports(spark, gold):
     root, paths = gold
     bronze = readers.read_table(spark, f"{root}/bronze")
