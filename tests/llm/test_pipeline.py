@@ -34,3 +34,24 @@ def test_stages_keep_their_contracts(spark, documents, tmp_path):
 
 def test_there_are_five_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination", "mixing"]
+
+
+def test_stages_on_odd_rows_and_without_rows(spark, odd):
+    given = [r["text"] for r in odd.collect()]
+    none = odd.limit(0)
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        rows = stage(spark, odd, SMALL).collect()
+        if name == "line_dedup":
+            # no line is in ten of these documents
+            assert sorted(r["text"] for r in rows) == sorted(t or "" for t in given)
+        elif name == "near_duplicates":
+            # repeated texts leave one, texts without words stay
+            assert sorted(r["text"] for r in rows if (r["text"] or "").split()) == sorted({t for t in given if (t or "").split()})
+            assert sum(not (r["text"] or "").split() for r in rows) == sum(not (t or "").split() for t in given)
+        elif name in ("decontamination", "mixing"):
+            assert len(rows) == len(given)
+        else:
+            assert all(r["text"] in given for r in rows)
+        if i < 4:
+            assert not rows or rows[0].asDict().keys() == set(corpus_pipeline.COLUMNS)
+        assert stage(spark, none, SMALL).count() == 0
