@@ -97,7 +97,8 @@ def large_differences(pairs: DataFrame) -> DataFrame:
     """(_id, _side, _differing) of pairs (_id, _side, _a, _b) of digest arrays whose small sketches failed.
 
     Cells are rows here, so that a version of any length is spread over tasks. Widths follow the number of digests, and
-    pairs that still fail come back with tables four times as wide.
+    pairs that still fail come back with tables four times as wide. Pairs that fail at the widest table are compared digest
+    by digest.
     """
     done, factor = None, 1
     open_pairs = settled(pairs)
@@ -130,7 +131,14 @@ def large_differences(pairs: DataFrame) -> DataFrame:
         read = read.withColumn("_differing", F.lit(0).cast("long")) if found is None else read.join(
             found.groupBy("_id", "_side").agg(F.sum("_n").alias("_differing")), ["_id", "_side"], "left").fillna(0, ["_differing"])
         done = read if done is None else done.unionByName(read)
-        open_pairs, factor = settled(open_pairs.join(left, ["_id", "_side"], "left_semi")), factor * 4
+        failed = settled(both.select("_id", "_side", "_width").join(left, ["_id", "_side"], "left_semi"))
+        widest = failed.where(F.col("_width") == 1 << _FIELD).select("_id", "_side")
+        if not widest.isEmpty():
+            exact = signed.join(widest, ["_id", "_side"], "left_semi").groupBy("_id", "_side", "key").agg(F.sum("n").alias("n")).where("n != 0")
+            done = done.unionByName(widest.join(
+                exact.groupBy("_id", "_side").agg(F.count("*").alias("_differing")), ["_id", "_side"], "left").fillna(0, ["_differing"]))
+        again = failed.where(F.col("_width") < 1 << _FIELD).select("_id", "_side")
+        open_pairs, factor = settled(open_pairs.join(again, ["_id", "_side"], "left_semi")), factor * 4
     return done if done is not None else pairs.select("_id", "_side", F.lit(0).cast("long").alias("_differing")).limit(0)
 
 

@@ -173,3 +173,11 @@ def test_fingerprints_of_odd_rows(spark, odd):
     assert fingerprints.version_fingerprints(odd.limit(0)).count() == 0
     one = fingerprints.version_fingerprints(odd.where("doc_id = 11")).first()
     assert one["near_next"] == 1.0
+
+
+def test_differences_beyond_the_widest_table_are_counted_by_digest(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "_FIELD", 4)
+    rows = [(1, 0, list(range(1, 120)), list(range(60, 150))), (2, 0, [7, 8], [8, 9])]
+    pairs = spark.createDataFrame(rows, "_id long, _side int, _a array<long>, _b array<long>")
+    got = {r["_id"]: r["_differing"] for r in fingerprints.large_differences(pairs).collect()}
+    assert got == {i: len(set(a) ^ set(b)) for i, _, a, b in rows}
