@@ -123,3 +123,42 @@ def test_all_strategies_fit_every_set(spark, rows, strategy):
     of = {"boosted": boosting.Spec(trees=3, depth=2, rate=0.3, min_leaf=1.0)}
     models = learners.fit_trees(rows.drop("weight", "_aside", "_spot"), FEATURES, "y", of, strategy=strategy, keys=["id"])
     assert sorted(r["_set"] for r in models.collect()) == [0, 1] and models.where("array_max(feature) < 0").count() == 0
+
+
+@pytest.mark.parametrize("rows_", [50, 5000])
+def test_rows_find_their_places_node_by_node_and_row_by_row(rows_):
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 16, (3, rows_)).astype(np.uint8)
+    feature, cut = rng.integers(-1, 3, 31), rng.integers(0, 16, 31)
+    for i in range(15):  # nothing splits below a leaf
+        if feature[i] < 0:
+            feature[[2 * i + 1, 2 * i + 2]] = -2
+    got = boosting.reached(feature, 4)[boosting.paths(bins, feature, cut, 4)]
+    for x, node in zip(bins.T, got, strict=True):
+        at = 0
+        while at < 15 and feature[at] >= 0:
+            at = 2 * at + 1 + int(x[feature[at]] > cut[at])
+        assert at == node
+
+
+def test_leaves_at_the_full_depth_need_no_pass_over_the_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    bins, seen = rng.integers(0, 8, (500, 2)).astype(np.uint8), []
+    plain = boosting.histograms
+    monkeypatch.setattr(boosting, "histograms", lambda *a: seen.append(a[2]) or plain(*a))
+    y = (bins[:, 0] + bins[:, 1] > 6).astype(float)
+    tree = boosting.grow(bins, y, np.ones(500), np.arange(500, dtype=np.uint64), np.zeros(500), 0, boosting.Spec(depth=2, min_leaf=0), 8)
+    assert seen == [1, 2]
+    at = boosting.reached(tree.feature, 2)[boosting.paths(bins.T, tree.feature, tree.cut, 2)]
+    for leaf in np.flatnonzero(tree.feature == -1):
+        assert tree.rows[leaf] == (at == leaf).sum() and tree.value[leaf] == pytest.approx(-(0.5 - y[at == leaf]).sum() / (0.25 * (at == leaf).sum()))
+
+
+def test_terms_of_a_leaf_are_worked_out_once_for_all_batches(monkeypatch, rows):
+    model = boosting.model_of(boosting.fit_many(rows, FEATURES, "y", SPECS), 0, "forest", SPECS["forest"])
+    seen, plain = [], boosting.shapley_patterns
+    monkeypatch.setattr(boosting, "shapley_patterns", lambda z: seen.append(len(z)) or plain(z))
+    x = np.array([[0.1, -0.2, 0.3], [float("nan"), 1.0, 2.0]])
+    first = model.contributions(x)
+    leaves = sum(seen)
+    assert leaves == (model.feature == -1).sum() and np.array_equal(first, model.contributions(x)) and sum(seen) == leaves
