@@ -46,3 +46,15 @@ def test_windows_of_the_same_rows_do_not_multiply_what_is_shuffled(spark):
     rows, _ = seen[0]
     # each row is counted in two train windows, a monitor window and a fold at most; what goes in has it once per model
     assert figures.agg(F.sum("rows")).first()[0] > rows * 1.5 and rows == 3 * spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+def test_rows_of_shared_days_are_neither_unfolded_nor_sorted_per_group(spark):
+    made = [(dt.date(2020, 1, 1 + i % 6), i % 2, i % 101 / 101) for i in range(400)]
+    rows = spark.createDataFrame(made, "day date, y int, p double")
+    groups = spark.createDataFrame([(dt.date(2020, 1, 1 + d), g) for d in range(6) for g in range(40)], "day date, g int")
+    found = overlapping_metrics(rows, "y", "p", groups, "day")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") <= 1  # rows meet the span of their day, and no group of it
+    want = classification_metrics(rows, "y", "p").first()
+    got = found.collect()
+    assert len(got) == 40 and all(np.allclose(r[1:], want) for r in got)
