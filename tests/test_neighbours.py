@@ -37,3 +37,17 @@ def test_few_rows_have_few_neighbours(spark):
     assert nearest_rows(one, 3).count() == 0 and nearest_rows(one.limit(0), 3).count() == 0
     two = spark.createDataFrame([("a", [1.0]), ("b", [4.0])], "_key string, _x array<double>")
     assert sorted(map(tuple, nearest_rows(two, 3).collect())) == [("a", 1, 9.0, [4.0]), ("b", 1, 9.0, [1.0])]
+
+
+def test_parts_stay_small_and_groups_are_not_repeated_for_all_rows(spark, monkeypatch):
+    from scorewarden.operators import neighbours
+    seen, plain_ = [], neighbours.settled
+    monkeypatch.setattr(neighbours, "settled", lambda df: seen.append(plain_(df)) or seen[-1])
+    rng = np.random.default_rng(3)
+    rows = [(f"r{i}", rng.random(2).tolist()) for i in range(1500)]
+    found = nearest_rows(spark.createDataFrame(rows, "_key string, _x array<double>"), 3, part_rows=5, block_rows=300)
+    assert found.count() == 4500
+    placed = next(d for d in seen if "_part" in d.columns)
+    assert placed.select("_part").distinct().count() > 256
+    blocks = next(d for d in seen if "_blocks" in d.columns)  # five blocks each, if all rows counted
+    assert blocks.agg({"_blocks": "sum"}).first()[0] < 2 * blocks.count()
