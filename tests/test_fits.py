@@ -162,3 +162,53 @@ def test_terms_of_a_leaf_are_worked_out_once_for_all_batches(monkeypatch, rows):
     first = model.contributions(x)
     leaves = sum(seen)
     assert leaves == (model.feature == -1).sum() and np.array_equal(first, model.contributions(x)) and sum(seen) == leaves
+
+
+def test_groups_of_equal_rows_give_the_trees_of_single_rows():
+    rng = np.random.default_rng(4)
+    n, s = 4000, boosting.Spec(trees=1, depth=3, min_leaf=3, subsample=0.7, l2=1)
+    bins, h = rng.integers(0, 5, (3, n)).astype(np.uint8), rng.integers(0, 1 << 62, n).astype(np.uint64)
+    y = (rng.random(n) < (1 + bins[0]) / 7).astype(float)
+    w = np.where(y == 1, 2.0, 1.0)
+    for spec in (s, boosting.Spec(trees=1, depth=4, min_leaf=5, forest=True)):
+        kept, labels, weights, hashes, start, learned = boosting.grouped(bins, y, w, h, np.zeros(n, bool))
+        assert learned == len(start) == len(labels) <= 2 * 5 ** 3 and sorted(hashes) == sorted(h)
+        margin = rng.normal(size=5 ** 3)
+        own = lambda b: margin[np.ravel_multi_index(tuple(b.astype(int)), (5, 5, 5))]  # noqa: B023, E731
+        one = boosting.grow(bins.T, y, w, h, own(bins), 3, spec, 5)
+        many = boosting.grow(kept.T, labels, weights, hashes, own(kept), 3, spec, 5, start)
+        assert one.feature.tolist() == many.feature.tolist() and one.cut.tolist() == many.cut.tolist() and (one.feature >= 0).sum() > 2
+        assert np.allclose(one.value, many.value) and np.allclose(one.cover, many.cover) and one.rows.tolist() == many.rows.tolist()
+
+
+def test_draws_are_those_of_the_shares():
+    h = np.arange(50_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    share = boosting.shares(h, 5)
+    assert (boosting.drawn_weights(h, 5, boosting.Spec(subsample=0.7)) == (share < 0.7)).all()
+    steps = np.cumsum([np.exp(-1.0) / factorial(i) for i in range(12)])
+    assert (boosting.drawn_weights(h, 5, boosting.Spec(forest=True)) == np.searchsorted(steps, share, "right")).all()
+
+
+@pytest.mark.parametrize("name", list(SPECS))
+def test_cells_between_cuts_are_scored_once(rows, name, monkeypatch):
+    model = boosting.model_of(boosting.fit_many(rows, FEATURES, "y", SPECS), 1, name, SPECS[name])
+    x = np.random.default_rng(2).normal(size=(3000, 3))
+    x[5] = np.nan
+    worked_out = []
+    sums = boosting.TreeModel._sums
+    monkeypatch.setattr(boosting.TreeModel, "_sums", lambda self, bins, values: worked_out.append(bins.shape[1]) or sums(self, bins, values))
+    once, again = model.margins(x), model.margins(x)
+    assert sum(worked_out) == len(np.unique(model.bins(x), axis=1).T) < 3000
+    monkeypatch.setattr(boosting, "SCORE_CELLS", 0)
+    assert (once == again).all() and (once == model.margins(x)).all()
+
+
+def test_a_sigmoid_map_is_a_column_and_agrees_with_the_fitted_model(rows):
+    from pyspark.ml.linalg import Vectors
+    one = rows.where("_set = 0 and y is not null")
+    model = learners.fit_calibrated(one, FEATURES, "y", "logistic_regression", {"C": 0.5, "max_iter": 50}, keys=["id"], method="sigmoid", folds=2)
+    scored = model.score(one)
+    assert "UDF" not in scored._jdf.queryExecution().executedPlan().toString()
+    raw = {r["id"]: r["_raw"] for r in learners.scored(one, model.model, FEATURES, "_raw").collect()}
+    for r in scored.orderBy("id").limit(20).collect():
+        assert r["pred_prob"] == pytest.approx(model.mapping.predictProbability(Vectors.dense(raw[r["id"]]))[1], abs=1e-12)
