@@ -212,3 +212,18 @@ def test_a_sigmoid_map_is_a_column_and_agrees_with_the_fitted_model(rows):
     raw = {r["id"]: r["_raw"] for r in learners.scored(one, model.model, FEATURES, "_raw").collect()}
     for r in scored.orderBy("id").limit(20).collect():
         assert r["pred_prob"] == pytest.approx(model.mapping.predictProbability(Vectors.dense(raw[r["id"]]))[1], abs=1e-12)
+
+
+def test_permuted_rows_are_scored_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.assign(pred_prob=1 / (1 + np.exp(-batch["a"])))
+
+    one = rows.where("_set = 0").select("id", "y", "a", "b")
+    scored = lambda df: df.mapInPandas(score, df.schema.add("pred_prob", "double"))
+    found = {r["feature"]: r for r in learners.permutation_importance(one, scored, ["a", "b"], "y", ["id"]).collect()}
+    assert seen.value == 3 * one.where("y is not null").count()
+    assert found["b"]["importance"] == 0 and found["a"]["importance"] > 0
