@@ -223,7 +223,17 @@ def test_permuted_rows_are_scored_once(spark, rows):
             yield batch.assign(pred_prob=1 / (1 + np.exp(-batch["a"])))
 
     one = rows.where("_set = 0").select("id", "y", "a", "b")
-    scored = lambda df: df.mapInPandas(score, df.schema.add("pred_prob", "double"))
+    scored = lambda df: df.mapInPandas(score, "id long, y int, feature string, a double, b double, pred_prob double")
     found = {r["feature"]: r for r in learners.permutation_importance(one, scored, ["a", "b"], "y", ["id"]).collect()}
     assert seen.value == 3 * one.where("y is not null").count()
     assert found["b"]["importance"] == 0 and found["a"]["importance"] > 0
+
+
+def test_models_sent_out_hold_what_scores_need(rows):
+    found = boosting.fit_many(rows, FEATURES, "y", SPECS)
+    whole = boosting.model_of(found, 1, "forest", SPECS["forest"])
+    slim = boosting.model_of(found, 1, "forest", SPECS["forest"]).slim()
+    x = np.random.default_rng(3).normal(size=(5000, 3))
+    assert (whole.probabilities(x) == slim.probabilities(x)).all()
+    held = [v for v in vars(slim).values() if isinstance(v, np.ndarray)]
+    assert sum(v.nbytes for v in held) == boosting.SLIM_BYTES * slim.value.size
