@@ -181,3 +181,13 @@ def test_differences_beyond_the_widest_table_are_counted_by_digest(spark, monkey
     pairs = spark.createDataFrame(rows, "_id long, _side int, _a array<long>, _b array<long>")
     got = {r["_id"]: r["_differing"] for r in fingerprints.large_differences(pairs).collect()}
     assert got == {i: len(set(a) ^ set(b)) for i, _, a, b in rows}
+
+
+def test_repeats_are_found_in_small_batches_of_texts(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, before, plain = [], spark.conf.get(key), substrings.settled
+    monkeypatch.setattr(substrings, "settled", lambda df: seen.append(int(spark.conf.get(key))) or plain(df))
+    docs = spark.createDataFrame([(i, f"{i % 3} " * 300) for i in range(6)], "doc_id long, text string")
+    found = substrings.drop_repeats(docs).collect()
+    assert len(found) == 6 and all(r["n_removed"] == r["n_bytes"] for r in found)
+    assert len(seen) >= 2 and max(seen) <= substrings.BATCH_TEXTS and spark.conf.get(key) == before
