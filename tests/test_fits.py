@@ -237,3 +237,33 @@ def test_models_sent_out_hold_what_scores_need(rows):
     assert (whole.probabilities(x) == slim.probabilities(x)).all()
     held = [v for v in vars(slim).values() if isinstance(v, np.ndarray)]
     assert sum(v.nbytes for v in held) == boosting.SLIM_BYTES * slim.value.size
+
+
+def test_linear_steps_read_blocks_and_both_ways_of_adding_up_agree(rows, monkeypatch):
+    kept, plain = [], linear.settled
+    monkeypatch.setattr(linear, "settled", lambda df: kept.append(plain(df)) or kept[-1])
+    of = {"c1": {"C": 0.5, "max_iter": 50}}
+    found = linear.fit_linear(rows.coalesce(1), FEATURES, "y", of)
+    assert kept[0].count() == 2 and sum(len(r["_y"]) // 8 for r in kept[0].collect()) == rows.where("y is not null").count()
+    monkeypatch.setattr(linear, "SUMS_BYTES", 0)
+    monkeypatch.setattr(linear, "WAITING_ROWS", 1)
+    spread = linear.fit_linear(rows, FEATURES, "y", of)
+    assert set(found) == set(spread) and all(np.allclose(found[k].weights, spread[k].weights, atol=1e-9) for k in found)
+
+
+def test_both_kinds_of_trees_share_their_cut_points_and_models_lie_in_few_parts(spark, rows, monkeypatch):
+    seen, plain = [], boosting.cut_points
+    counted = lambda *a: seen.append(1) or plain(*a)
+    monkeypatch.setattr(boosting, "cut_points", counted)
+    monkeypatch.setattr(learners, "cut_points", counted, raising=False)
+    models = learners.fit_trees(rows.drop("weight", "_aside", "_spot"), FEATURES, "y", SPECS, strategy="scale_weight", keys=["id"])
+    assert sum(seen) == 1 and models.count() == 4
+    assert models.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_gains_are_those_of_the_leaf_weights():
+    rng = np.random.default_rng(6)
+    g, h = rng.normal(size=500) * 5, np.concatenate([np.zeros(5), rng.random(495) * 4])
+    for s in (boosting.Spec(), boosting.Spec(l1=1.0, l2=2.0), boosting.Spec(l1=0.5, max_step=0.3), boosting.Spec(l2=1.0, max_step=2.0)):
+        w = boosting.leaf_weight(g, h, s)
+        assert np.allclose(boosting.leaf_gain(g, h, s)[5:], -(2 * g * w + (h + s.l2) * w * w + 2 * s.l1 * np.abs(w))[5:])
