@@ -57,12 +57,14 @@ def zone_outcomes(df: DataFrame, label: str, zone: str, by: Sequence[str] = ())
         (rate * 100).alias("approve_pct"), ((1 - rate) * 100).alias("reject_pct"))
 
 
-def routing_kpis_from_zones(df: DataFrame, label: str, zone: str, by: Sequence[str] = ()) -> DataFrame:
-    """Zone ratios, precisions and workload of a table that already has zones."""
-    z, good = F.col(zone), F.col(label)
+def routing_kpis_from_zones(df: DataFrame, label: str, zone: str, by: Sequence[str] = (), count: str | None = None) -> DataFrame:
+    """Zone ratios, precisions and workload of a table that already has zones; ``count`` names the number of rows that each stands for."""
+    z, good, n = F.col(zone), F.col(label).cast("double"), (F.lit(1) if count is None else F.col(count)).cast("long")
+    rows = lambda test: F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+    mean = lambda code, v: F.try_divide(F.sum(F.when(z == code, v * n)), rows((z == code) & v.isNotNull()))
     counts = df.groupBy(*by).agg(
-        F.count("*").alias("n"), *(F.count_if(z == code).alias(f"_{code}") for code in (0, 1, 2)),
-        F.avg(F.when(z == 2, good.cast("double"))).alias("_hp"), F.avg(F.when(z == 0, 1 - good.cast("double"))).alias("_lp"))
+        rows(F.lit(True)).alias("n"), *(rows(z == code).alias(f"_{code}") for code in (0, 1, 2)),
+        mean(2, good).alias("_hp"), mean(0, 1 - good).alias("_lp"))
     high, manual, low = (ratio(F.col(f"_{code}"), F.col("n")) for code in (2, 1, 0))
     return counts.select(
         *by, "n",
@@ -75,10 +77,10 @@ def routing_kpis_from_zones(df: DataFrame, label: str, zone: str, by: Sequence[s
 
 
 def routing_kpis(
-    df: DataFrame, label: str, score: str, lower, upper, by: Sequence[str] = ()
+    df: DataFrame, label: str, score: str, lower, upper, by: Sequence[str] = (), count: str | None = None
 ) -> DataFrame:
     kept = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    return routing_kpis_from_zones(kept.withColumn("_zone", score_zone(F.col(score), lower, upper)), label, "_zone", by)
+    return routing_kpis_from_zones(kept.withColumn("_zone", score_zone(F.col(score), lower, upper)), label, "_zone", by, count)
 
 
 def grid_pairs(lowers: Sequence[float], uppers: Sequence[float], min_gap: float | None = None) -> list[tuple[float, float]]:
@@ -88,20 +90,20 @@ def grid_pairs(lowers: Sequence[float], uppers: Sequence[float], min_gap: float
 
 def threshold_grid(
     df: DataFrame, label: str, score: str, lowers: Sequence[float], uppers: Sequence[float], by: Sequence[str] = (),
-    min_gap: float | None = None,
+    min_gap: float | None = None, count: str | None = None,
 ) -> DataFrame:
     """All zone figures for every threshold pair, from one pass whose cost ignores the grid.
 
     Scores are counted between neighbouring thresholds first; a pair's zones are
-    sums of those few counts.
+    sums of those few counts. ``count`` names the number of rows that each stands for.
     """
     cuts = sorted({*lowers, *uppers})
     step = " + ".join(f"int(`{score}` >= {c}D)" for c in cuts)
     cells = (
         df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .selectExpr(*(f"`{c}`" for c in by), f"double(`{label}`) as y", f"`{score}` as s", f"{step} as place")
+        .selectExpr(*(f"`{c}`" for c in by), f"double(`{label}`) as y", f"`{score}` as s", f"{step} as place", "1L as _n" if count is None else f"`{count}` as _n")
         .groupBy(*by, "place")
-        .agg(F.count("*").alias("n"), F.sum("y").alias("good"), F.sum("s").alias("score"))
+        .agg(F.sum("_n").alias("n"), F.sum(F.col("y") * F.col("_n")).alias("good"), F.sum(F.col("s") * F.col("_n")).alias("score"))
     )
     pairs = ", ".join(
         f"struct({a}D as lower_threshold, {b}D as upper_threshold, {cuts.index(a)} as lo, {cuts.index(b)} as hi)"
