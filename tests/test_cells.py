@@ -123,3 +123,12 @@ def test_judged_rows_are_cells_for_trees_and_rows_for_lines(rows):
     cells = learners.judged_cells(rows, [of(tree)], FEATURES, ["y"])
     assert cells.agg(F.sum("_n")).first()[0] == rows.count() > 15 * cells.count()
     assert learners.judged_cells(rows, [of(tree), of(line)], FEATURES, ["y"]).count() == rows.count()
+
+
+def test_linear_scores_are_sums_of_columns(rows):
+    found = {(0, "line"): linear.LinearModel([1.0, 0.5, 0.1])}
+    scores = linear.score_linear(rows, found, FEATURES, ["id"])
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "zip_with" not in plan and "lambda" not in plan
+    want = {r["id"]: r["p"] for r in rows.select("id", found[0, "line"].probability(FEATURES).alias("p")).collect()}
+    assert all(r["pred_prob"] == pytest.approx(want[r["id"]], abs=1e-15) for r in scores.collect())
